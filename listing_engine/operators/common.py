@@ -1,0 +1,36 @@
+"""Shared plan helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a side may have to be broadcast.  Only narrow frames are broadcast
+# (key lists, dictionary pairs: tens of bytes a row), so 1M rows stays in the
+# tens of MB; a side above it takes the shuffle join instead.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when `df` provably has at most `max_rows` rows (reads <= n+1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if(flag: bool):
+    """`F.broadcast` when a size check passed, identity otherwise."""
+    return F.broadcast if flag else (lambda d: d)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast `df` only after proving it has at most `max_rows` rows.
+
+    `limit(n + 1).count()` stops as soon as the bound is exceeded, so the
+    check costs at most n + 1 rows.  Above the bound the plain DataFrame is
+    returned and Spark plans a shuffle join (AQE may still pick broadcast at
+    run time from measured sizes)."""
+    return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def order_key(*cols: str):
+    """Total order used for 'first' / 'last' in feed order."""
+    return F.struct(*[F.col(c) for c in cols])
