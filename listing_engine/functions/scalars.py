@@ -83,14 +83,19 @@ def payload(data: Column | str) -> Column:
 
 
 def vkind(v: Column) -> Column:
-    """missing | null | string | number | bool | array | object."""
+    """missing | null | string | number | bool | array | object.
+
+    Objects and non-empty arrays are recognised in O(1) (a cast to an empty
+    struct, a probe of element 0), so `schema_of_variant` -- which walks a
+    whole nested value -- only ever sees scalars and empty arrays."""
     t = F.schema_of_variant(v)
     return (
         F.when(v.isNull(), F.lit("missing"))
         .when(F.is_variant_null(v), F.lit("null"))
+        .when(F.try_variant_get(v, "$", "struct<>").isNotNull(), F.lit("object"))
+        .when(F.try_variant_get(v, "$[0]", "variant").isNotNull(), F.lit("array"))
         .when(t == "STRING", F.lit("string"))
         .when(t == "BOOLEAN", F.lit("bool"))
-        .when(t.startswith("OBJECT"), F.lit("object"))
         .when(t.startswith("ARRAY"), F.lit("array"))
         .otherwise(F.lit("number"))
     )
@@ -104,9 +109,10 @@ def vget(v: Column, path: str, type_: str = "variant") -> Column:
     return F.try_variant_get(v, path, type_)
 
 
-def falsy(v: Column) -> Column:
-    """Python truthiness of a JSON value: null, "", 0, false, [] and {}."""
-    k = vkind(v)
+def falsy(v: Column, k: Column | None = None) -> Column:
+    """Python truthiness of a JSON value: null, "", 0, false, [] and {}.
+    `k` is the value's `vkind`, when the caller already has it."""
+    k = vkind(v) if k is None else k
     return (
         F.when(k.isin("missing", "null"), F.lit(True))
         .when(k == "string", vstr(v) == F.lit(""))
@@ -128,64 +134,49 @@ def pass_text(v: Column) -> Column:
     return vstr(v)
 
 
-def guarded_text(v: Column) -> Column:
+def guarded_text(v: Column, k: Column | None = None) -> Column:
     """B2 before the lookup: falsy -> NULL, else the value as text."""
-    return F.when(falsy(v), F.lit(None).cast("string")).otherwise(vstr(v))
+    return F.when(falsy(v, k), F.lit(None).cast("string")).otherwise(vstr(v))
 
 
 # ---------------------------------------------------------------------------
 # B3 / B4 numbers
 # ---------------------------------------------------------------------------
 
-# More significant digits than this cannot pass any range check; they become
-# +inf so the row is rejected, as the reference rejects (not nulls) them.
-_MAX_SIGNIFICANT = 18
-
-
 def _toward_zero(x: Column) -> Column:
     return F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x)).cast("double")
 
 
-def digits_int(v: Column) -> Column:
+def digits_int(v: Column, k: Column | None = None) -> Column:
     """Year, price, km_age, power -> DOUBLE holding an integer.
 
     Strings keep only digit characters (so '.', '-' and ',' vanish), numbers
-    truncate toward zero, `true` is 1, anything else is NULL."""
+    truncate toward zero, `true` is 1, anything else is NULL.  After the
+    filter only digits remain, so one `try_cast` covers the rest: empty ->
+    NULL, a kept digit-only character such as '²' -> NULL (as int() fails),
+    and an oversized number stays huge, so range validation rejects the row
+    (the reference rejects, it does not null)."""
     t = _digit_tables()
-    k = vkind(v)
-    digits = F.regexp_replace(vstr(v), f"[^{t['keep']}]", "")
-    ascii_ = _ascii_digits(digits)
-    significant = F.regexp_replace(ascii_, "^0+", "")
-    from_string = (
-        F.when(digits == "", F.lit(None).cast("double"))
-        .when(digits.rlike(f"[{t['digit_only']}]"), F.lit(None).cast("double"))
-        .when(F.length(significant) > _MAX_SIGNIFICANT, F.lit(float("inf")))
-        .otherwise(ascii_.try_cast("double"))
-    )
+    k = vkind(v) if k is None else k
+    digits = _ascii_digits(F.regexp_replace(vstr(v), f"[^{t['keep']}]", ""))
     return (
-        F.when(falsy(v), F.lit(None).cast("double"))
-        .when(k == "string", from_string)
+        F.when(falsy(v, k), F.lit(None).cast("double"))
+        .when(k == "string", digits.try_cast("double"))
         .when(k == "number", _toward_zero(F.try_variant_get(v, "$", "double")))
         .when(k == "bool", F.lit(1.0))
         .otherwise(F.lit(None).cast("double"))
     )
 
 
-def digits_float(v: Column) -> Column:
-    """Displacement; digits and '.' kept; two dots or a lone dot -> NULL."""
+def digits_float(v: Column, k: Column | None = None) -> Column:
+    """Displacement; digits and '.' kept; two dots or a lone dot -> NULL
+    (the cast of such text fails)."""
     t = _digit_tables()
-    k = vkind(v)
-    kept = F.regexp_replace(vstr(v), f"[^{t['keep']}.]", "")
-    ascii_ = _ascii_digits(kept)
-    from_string = (
-        F.when(kept == "", F.lit(None).cast("double"))
-        .when(kept.rlike(f"[{t['digit_only']}]"), F.lit(None).cast("double"))
-        .when(~ascii_.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), F.lit(None).cast("double"))
-        .otherwise(ascii_.try_cast("double"))
-    )
+    k = vkind(v) if k is None else k
+    kept = _ascii_digits(F.regexp_replace(vstr(v), f"[^{t['keep']}.]", ""))
     return (
-        F.when(falsy(v), F.lit(None).cast("double"))
-        .when(k == "string", from_string)
+        F.when(falsy(v, k), F.lit(None).cast("double"))
+        .when(k == "string", kept.try_cast("double"))
         .when(k == "number", F.try_variant_get(v, "$", "double"))
         .when(k == "bool", F.lit(1.0))
         .otherwise(F.lit(None).cast("double"))
@@ -208,9 +199,10 @@ def flex_date_str(s: Column) -> Column:
     )
 
 
-def flex_date(v: Column) -> Column:
+def flex_date(v: Column, k: Column | None = None) -> Column:
     """B5 over a VARIANT: falsy or non-string -> NULL."""
-    return F.when((~falsy(v)) & (vkind(v) == "string"), flex_date_str(vstr(v)))
+    k = vkind(v) if k is None else k
+    return F.when((k == "string") & ~falsy(v, k), flex_date_str(vstr(v)))
 
 
 _OFFSET = r"(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"
@@ -236,35 +228,66 @@ def _empty_strings() -> Column:
     return F.array().cast("array<string>")
 
 
-def image_list(v: Column) -> Column:
+def image_list(v: Column, k: Column | None = None) -> Column:
     """List as is; JSON text of a list parsed; anything else []."""
-    k = vkind(v)
+    k = vkind(v) if k is None else k
     return (
-        F.when(falsy(v), _empty_strings())
+        F.when(falsy(v, k), _empty_strings())
         .when(k == "array", F.coalesce(F.try_variant_get(v, "$", "array<string>"), _empty_strings()))
         .when(k == "string", F.coalesce(F.from_json(vstr(v), "array<string>"), _empty_strings()))
         .otherwise(_empty_strings())
     )
 
 
-def _names(items: Column) -> Column:
-    """optionname of every element, falsy ones dropped, as text."""
-    picked = F.transform(items, lambda o: F.try_variant_get(o, "$.optionname", "variant"))
-    return F.transform(F.filter(picked, lambda x: ~falsy(x)), vstr)
+def _bad_shape(v: Column) -> Column:
+    """An entry the reference indexes like an object but that is a number,
+    a boolean or null (it raises, and the row is quarantined)."""
+    return vkind(v).isin("number", "bool", "null")
+
+
+def _entry(o: Column) -> Column:
+    return F.struct(_bad_shape(o).alias("bad"), F.try_variant_get(o, "$.optionname", "variant").alias("nv"))
+
+
+def option_entries(extra: Column) -> tuple[Column, Column]:
+    """(display entries, groups) of `extra.option`, each entry a struct
+    (bad, nv): its shape flag and its `optionname` VARIANT.  Both the option
+    list (B7) and the quarantine checks (C4) read these, so the option
+    arrays are walked once."""
+    empty = F.array().cast("array<variant>")
+    display = F.coalesce(F.try_variant_get(extra, "$.option.displayopts", "array<variant>"), empty)
+    groups = F.coalesce(F.try_variant_get(extra, "$.option.moreoptions", "array<variant>"), empty)
+    d = F.transform(display, _entry)
+    g = F.transform(groups, lambda grp: F.struct(
+        _bad_shape(grp).alias("bad"),
+        F.transform(F.coalesce(F.try_variant_get(grp, "$.opts", "array<variant>"), empty), _entry).alias("opts")))
+    return d, g
+
+
+def option_used(extra: Column, extra_kind: Column, option: Column, option_kind: Column) -> Column:
+    """`extra` is an object and `extra.option` is truthy."""
+    return (extra_kind == "object") & ~falsy(option, option_kind)
+
+
+def _names(entries: Column) -> Column:
+    """optionname of every entry, falsy ones dropped, as text."""
+    return F.transform(F.filter(entries, lambda e: ~falsy(e["nv"])), lambda e: vstr(e["nv"]))
+
+
+def option_names_of(display: Column, groups: Column, used: Column) -> Column:
+    """B7 from `option_entries`: displayopts then moreoptions[].opts names,
+    in order, duplicates kept (removed after translation)."""
+    more = F.flatten(F.transform(groups, lambda g: _names(g["opts"])))
+    return F.when(used, F.concat(_names(display), more)).otherwise(_empty_strings())
 
 
-def option_names(m: Column) -> Column:
-    """B7 before translation: displayopts then moreoptions[].opts, in order,
-    duplicates kept (they are removed after translation)."""
+def option_names(m: Column, extra_kind: Column | None = None) -> Column:
+    """B7 before translation, straight from the payload map."""
     extra = m["extra"]
-    has_option = (~falsy(extra)) & (vkind(extra) == "object") & (~falsy(F.try_variant_get(extra, "$.option", "variant")))
-    display = F.coalesce(F.try_variant_get(extra, "$.option.displayopts", "array<variant>"),
-                         F.array().cast("array<variant>"))
-    groups = F.coalesce(F.try_variant_get(extra, "$.option.moreoptions", "array<variant>"),
-                        F.array().cast("array<variant>"))
-    more = F.flatten(F.transform(groups, lambda g: F.coalesce(
-        _names(F.try_variant_get(g, "$.opts", "array<variant>")), _empty_strings())))
-    return F.when(has_option, F.concat(F.coalesce(_names(display), _empty_strings()), more)).otherwise(_empty_strings())
+    extra_kind = vkind(extra) if extra_kind is None else extra_kind
+    option = F.try_variant_get(extra, "$.option", "variant")
+    d, g = option_entries(extra)
+    return option_names_of(d, g, option_used(extra, extra_kind, option, vkind(option)))
 
 
 # Configuration parameter ids the normaliser keeps, as given
@@ -289,20 +312,21 @@ def _param_text(item: Column, key: str) -> Column:
     return F.when(v.isNull(), F.lit("")).when(F.is_variant_null(v), F.lit(None).cast("string")).otherwise(vstr(v))
 
 
-def config_source(m: Column) -> Column:
+def config_source(m: Column, extra_kind: Column | None = None) -> Column:
     """`configuration`, else `extra.configuration` when extra is an object."""
     top = m["configuration"]
     nested = F.try_variant_get(m["extra"], "$.configuration", "variant")
+    extra_kind = vkind(m["extra"]) if extra_kind is None else extra_kind
     return (
         F.when(~falsy(top), top)
-        .when((vkind(m["extra"]) == "object") & (~falsy(nested)), nested)
+        .when((extra_kind == "object") & (~falsy(nested)), nested)
     )
 
 
-def config_entries(m: Column, ids=CONFIG_PARAM_IDS) -> Column:
+def config_entries(m: Column, ids=CONFIG_PARAM_IDS, extra_kind: Column | None = None) -> Column:
     """B8 before translation: ARRAY<STRUCT<id STRING, name, value>> in
     document order, only wanted ids, repeats kept (last one wins later)."""
-    cfg = config_source(m)
+    cfg = config_source(m, extra_kind)
     types = F.coalesce(F.try_variant_get(cfg, "$.paramtypeitems", "array<variant>"),
                        F.array().cast("array<variant>"))
     items = F.flatten(F.transform(types, lambda p: F.coalesce(
