@@ -57,6 +57,7 @@ def _digit_tables() -> dict[str, str]:
             digit_only.append(cp)
     return {
         "keep": _ranges(sorted(decimal + digit_only)),
+        "keep_ascii": "0-9" + _ranges(digit_only),
         "digit_only": _ranges(digit_only),
         "from": "".join(src),
         "to": "".join(dst),
@@ -158,7 +159,9 @@ def digits_int(v: Column, k: Column | None = None) -> Column:
     (the reference rejects, it does not null)."""
     t = _digit_tables()
     k = vkind(v) if k is None else k
-    digits = _ascii_digits(F.regexp_replace(vstr(v), f"[^{t['keep']}]", ""))
+    # Unicode decimal digits -> ASCII first (a cheap per-char map), so the
+    # filter's character class stays small.
+    digits = F.regexp_replace(_ascii_digits(vstr(v)), f"[^{t['keep_ascii']}]", "")
     return (
         F.when(falsy(v, k), F.lit(None).cast("double"))
         .when(k == "string", digits.try_cast("double"))
@@ -173,7 +176,7 @@ def digits_float(v: Column, k: Column | None = None) -> Column:
     (the cast of such text fails)."""
     t = _digit_tables()
     k = vkind(v) if k is None else k
-    kept = _ascii_digits(F.regexp_replace(vstr(v), f"[^{t['keep']}.]", ""))
+    kept = F.regexp_replace(_ascii_digits(vstr(v)), f"[^{t['keep_ascii']}.]", "")
     return (
         F.when(falsy(v, k), F.lit(None).cast("double"))
         .when(k == "string", kept.try_cast("double"))

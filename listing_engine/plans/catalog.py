@@ -19,7 +19,11 @@ from ..operators import market as MK
 from ..operators import mining as MI
 from ..operators import serving as SV
 from ..operators.normalise import normalise_rows, project_payload
-from ..session import ensure_runtime_confs
+from ..schemas import CHANGE_PAGE
+from ..session import checkpoint_dir, ensure_runtime_confs
+from ..sources import pages as PG
+from ..sources import stores as ST
+from ..streaming import apply as SA
 from . import adapters as A
 
 CURRENT_YEAR = 2026
@@ -384,4 +388,61 @@ def q36_delisted(spark, sf):
     return MK.delisted_on(A.change_feed(spark, sf), dt.date(2024, 1, 15)).select("id", "inner_id")
 
 
+# --- pages, streaming ------------------------------------------------------------
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q30_page_gaps(spark, sf):
+    """A4: the change feed landed as pages of 20, chain check (gaps and the
+    terminal page)."""
+    path = _scratch(spark, "pages")
+    PG.write_change_pages(A.change_feed(spark, sf), path, 20)
+    pages = spark.read.schema(CHANGE_PAGE).json(path)
+    return PG.page_chain_gaps(pages.select("meta.*", F.size("result").alias("n")),
+                              "cur_change_id", "next_change_id", "n")
+
+
+def q30b_page_records(spark, sf):
+    """A2 + A6 + B10 + B17: landed pages read back from change id 5000."""
+    path = _scratch(spark, "pages")
+    PG.write_change_pages(A.change_feed(spark, sf), path, 20)
+    recs, bad = PG.read_change_pages(spark, path, A.RUN_TIME, from_change_id=5000, multi_line=False)
+    return recs.groupBy("change_type").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                           F.min("id").alias("min_id"), F.max("id").alias("max_id"),
+                                           F.lit(bad).cast("bigint").alias("bad_pages"))
+
+
+def q37_stream_apply(spark, sf):
+    """H2 + A3 + A7: the feed replayed as a stream of 4 page files into a
+    bucketed raw store holding the snapshot; must equal q01."""
+    ensure_runtime_confs(spark)
+    root = _scratch(spark, "stream")
+    SA.land_in_order(A.change_feed(spark, sf), f"{root}/pages", chunks=4)
+    store = ST.raw_store(spark, f"{root}/raw", buckets=16)
+    store.replace(A.snapshot_raw(spark, sf))
+    SA.stream_apply(spark, f"{root}/pages/*", store, f"{root}/checkpoint", A.RUN_TIME, max_files=1,
+                    multi_line=False)
+    m = payload("data")
+    return store.read().select(
+        "inner_id", digits_int(m["price"]).cast("int").alias("price"),
+        digits_int(m["km_age"]).cast("int").alias("km_age"), "active_status", "change_type")
+
+
+def q38_stateful_apply(spark, sf):
+    """H3: sequential per-key rules in streaming state over the feed replayed
+    as 4 page files (no base rows); equals the closed-form fold."""
+    ensure_runtime_confs(spark)
+    root = _scratch(spark, "stateful")
+    SA.land_in_order(A.change_feed(spark, sf), f"{root}/pages", chunks=4)
+    out = SA.stream_stateful_apply(spark, f"{root}/pages/*", f"{root}/out", f"{root}/checkpoint", A.RUN_TIME,
+                                   max_files=1, multi_line=False)
+    m = payload("data")
+    return out.select("inner_id", digits_int(m["price"]).cast("int").alias("price"),
+                      digits_int(m["km_age"]).cast("int").alias("km_age"), "active_status", "change_type")
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("q") and name[1:3].isdigit()}

@@ -59,7 +59,7 @@ CONFIG_ROWS = f"""
     FROM lineitem
   ) WHERE param_id IS NOT NULL AND rn = 1"""
 
-_CHANGES = """
+_CHANGES_TEMPLATE = """
   ch AS (
     SELECT event_id AS id,
            CAST(user_id * 20 + event_id % 20 AS VARCHAR) AS inner_id,
@@ -75,7 +75,7 @@ _CHANGES = """
     SELECT CAST(p_partkey AS VARCHAR) AS inner_id,
            CAST(round(p_retailprice * 10) AS BIGINT) AS price,
            CAST(p_size * 1000 AS BIGINT) AS km_age
-    FROM part
+    FROM part __BASE_FILTER__
   ),
   first_ev AS (
     SELECT inner_id, min(id) AS fid, arg_min(event_type, id) AS fe, arg_min(k, id) AS fk
@@ -114,6 +114,9 @@ _CHANGES = """
     LEFT JOIN agg a ON a.inner_id = keys.inner_id
   )"""
 
+_CHANGES = _CHANGES_TEMPLATE.replace("__BASE_FILTER__", "")
+_CHANGES_NO_BASE = _CHANGES_TEMPLATE.replace("__BASE_FILTER__", "WHERE false")
+
 # Untranslated texts of the mining input (parts + orders), one row per
 # occurrence, with the mining dictionary's known flag.
 _MINED = f"""
@@ -492,3 +495,23 @@ ORACLES["q36_delisted"] = """
 SELECT event_id AS id, CAST(user_id * 20 + event_id % 20 AS VARCHAR) AS inner_id
 FROM events WHERE event_type = 'error' AND CAST(ts AS DATE) = DATE '2024-01-15'
 """
+
+ORACLES["q30_page_gaps"] = """
+SELECT CAST(max(event_id) // 20 * 20 AS BIGINT) AS cur, CAST(NULL AS BIGINT) AS nxt, 'terminal' AS kind
+FROM events
+"""
+
+ORACLES["q30b_page_records"] = """
+SELECT CASE WHEN event_type = 'signup' THEN 'added' WHEN event_type IN ('purchase', 'view') THEN 'changed'
+            WHEN event_type = 'error' THEN 'removed' ELSE 'other' END AS change_type,
+       CAST(count(*) AS BIGINT) AS n, min(event_id) AS min_id, max(event_id) AS max_id,
+       CAST(0 AS BIGINT) AS bad_pages
+FROM events WHERE event_id >= 5000 GROUP BY 1
+"""
+
+ORACLES["q37_stream_apply"] = ORACLES["q01_change_fold"]
+
+ORACLES["q38_stateful_apply"] = f"""
+WITH {_CHANGES_NO_BASE}
+SELECT inner_id, price, km_age, active_status, change_type FROM folded
+"""
