@@ -445,4 +445,28 @@ def q38_stateful_apply(spark, sf):
                       digits_int(m["km_age"]).cast("int").alias("km_age"), "active_status", "change_type")
 
 
+def code_point_translator(texts):
+    """A deterministic stand-in for a machine translator (I3 hook): every
+    Han character becomes `U<code point>`."""
+    import re
+    return texts.map(lambda t: re.sub("[\u4e00-\u9fff]", lambda m: f"U{ord(m.group(0)):X}", t)
+                     if isinstance(t, str) else t)
+
+
+def q39_enrich(spark, sf):
+    """I4 (+ I1, E1, I3, D9, H6, E9): the enrichment loop over parts and
+    orders from the seed dictionary until no Han text is left."""
+    from . import jobs as J
+    ensure_runtime_confs(spark)
+    raw = A.snapshot_raw(spark, sf).unionByName(A.config_payloads(spark, sf))
+    empty = spark.createDataFrame([], FL.FLAT)
+    res = J.enrich(raw, empty, A.seed_dictionary(spark), code_point_translator, A.RUN_TIME, CURRENT_YEAR)
+    added = sum(r.get("dict_added", 0) for r in res.rounds)
+    left = MI.untranslated_records(res.flat)
+    return left.select(F.lit(len(res.rounds)).cast("int").alias("rounds"),
+                       F.lit(added).cast("bigint").alias("added"),
+                       F.lit(res.dictionary.count()).cast("bigint").alias("dictionary_size"),
+                       F.col("records_with_han"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("q") and name[1:3].isdigit()}

@@ -515,3 +515,14 @@ ORACLES["q38_stateful_apply"] = f"""
 WITH {_CHANGES_NO_BASE}
 SELECT inner_id, price, km_age, active_status, change_type FROM folded
 """
+
+_MINED_SEED = _MINED.replace(
+    "text IN (" + ", ".join(_q(k) for k in MINING_DICT) + ")", "text IN (" + ", ".join(_q(k) for k in SEED) + ")")
+
+ORACLES["q39_enrich"] = f"""
+WITH {_MINED_SEED}
+SELECT 2 AS rounds, CAST(count(DISTINCT text) AS BIGINT) AS added,
+       CAST(count(DISTINCT text) + {len(SEED)} AS BIGINT) AS dictionary_size,
+       CAST(0 AS BIGINT) AS records_with_han
+FROM new_entries
+"""
