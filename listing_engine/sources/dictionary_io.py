@@ -16,38 +16,44 @@ from pyspark.sql import functions as F
 
 
 def _docs(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.option("wholetext", True).text(path)
-            .select(F.input_file_name().alias("file"), F.try_parse_json("value").alias("v")))
+    """One row per file: its name, its text and the `translations_by_field`
+    object as JSON text (NULL in the flat format).  Maps are parsed with
+    `from_json`, which keeps document order (VARIANT objects sort keys)."""
+    return (spark.read.text(path, wholetext=True)
+            .select(F.input_file_name().alias("file"), F.col("value"),
+                    F.from_json("value", "struct<translations_by_field: string>")
+                    ["translations_by_field"].alias("tbf")))
+
+
+def _structured(docs: DataFrame) -> DataFrame:
+    """(file, fpos, field, epos, cn, info VARIANT) of format (a)."""
+    return (docs.filter(F.col("tbf").isNotNull())
+            .select("file", F.posexplode(F.from_json("tbf", "map<string,string>")).alias("fpos", "field", "fv"))
+            .select("file", "fpos", "field",
+                    F.posexplode(F.from_json("fv", "map<string,variant>")).alias("epos", "cn", "info")))
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """(cn, ru) pairs with unique cn."""
-    docs = _docs(spark, path).select("file", "v", F.try_variant_get("v", "$.translations_by_field", "variant")
-                                     .alias("tbf"))
-    structured = (docs.filter(F.col("tbf").isNotNull())
-                  .selectExpr("file", "variant_explode(tbf) AS (fpos, field, fv)")
-                  .selectExpr("file", "fpos", "variant_explode(fv) AS (epos, cn, info)")
-                  .select("file", "fpos", "epos", "cn",
-                          F.coalesce(F.try_variant_get("info", "$.translation", "string"),
-                                     F.try_variant_get("info", "$.ru", "string")).alias("ru")))
+    docs = _docs(spark, path)
+    structured = _structured(docs).select(
+        "file", "fpos", "epos", "cn",
+        F.coalesce(F.try_variant_get("info", "$.translation", "string"),
+                   F.try_variant_get("info", "$.ru", "string")).alias("ru"))
     flat = (docs.filter(F.col("tbf").isNull())
-            .selectExpr("file", "variant_explode(v) AS (epos, cn, value)")
-            .filter(F.schema_of_variant("value") == "STRING")
-            .select("file", F.lit(0).alias("fpos"), "epos", "cn",
-                    F.try_variant_get("value", "$", "string").alias("ru")))
+            .select("file", F.posexplode(F.from_json("value", "map<string,variant>")).alias("epos", "cn", "v"))
+            .filter(F.schema_of_variant("v") == "STRING")
+            .select("file", F.lit(0).alias("fpos"), "epos", "cn", F.try_variant_get("v", "$", "string").alias("ru")))
     entries = structured.unionByName(flat).filter(F.col("ru").isNotNull())
     return entries.groupBy("cn").agg(F.max_by("ru", F.struct("file", "fpos", "epos")).alias("ru"))
 
 
 def read_mined_file(spark: SparkSession, path: str) -> DataFrame:
     """A14 in: (field, text, count, priority) of a mining report file."""
-    docs = _docs(spark, path).select(F.try_variant_get("v", "$.translations_by_field", "variant").alias("tbf"))
-    return (docs.filter(F.col("tbf").isNotNull())
-            .selectExpr("variant_explode(tbf) AS (fpos, field, fv)")
-            .selectExpr("field", "variant_explode(fv) AS (epos, text, info)")
-            .select("field", "text",
-                    F.try_variant_get("info", "$.count", "bigint").alias("count"),
-                    F.try_variant_get("info", "$.priority", "string").alias("priority")))
+    return _structured(_docs(spark, path)).select(
+        "field", F.col("cn").alias("text"),
+        F.try_variant_get("info", "$.count", "bigint").alias("count"),
+        F.try_variant_get("info", "$.priority", "string").alias("priority"))
 
 
 def write_dictionary(dictionary: DataFrame, path: str) -> None:
