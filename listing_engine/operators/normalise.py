@@ -50,31 +50,27 @@ SCALAR_FIELDS = ["url", *TEXT, *INT_FIELDS, "offer_created", "description", "dis
                  "first_registration", "images", "extra"]
 
 
-def project_payload(raw: DataFrame) -> DataFrame:
-    """Parse and type every payload field (before translation).
+_COLUMN_CACHE: dict = {}
+
 
-    Three projections: parse once; pick each field and its JSON kind once;
-    derive the typed columns from those (the optimizer keeps the stages
-    apart because their expensive outputs are used more than once)."""
-    ensure_runtime_confs(raw.sparkSession)
-    parsed = raw.select("id", "inner_id", "active_status", "created_at", S.payload("data").alias("m"))
+def _projection_columns(spark) -> tuple[list, list, list, list]:
+    """The three projection stages' column lists.  Columns are unresolved
+    expressions, so they are built once per session (building them costs
+    thousands of gateway calls) and reused by every normalise plan."""
+    key = id(spark.sparkContext)
+    if key in _COLUMN_CACHE:
+        return _COLUMN_CACHE[key]
     m = F.col("m")
-    picked = parsed.select(
-        "id", "inner_id", "active_status", "created_at", "m",
-        *[m[f].alias(f"v_{f}") for f in SCALAR_FIELDS],
-        *[S.vkind(m[f]).alias(f"k_{f}") for f in SCALAR_FIELDS],
-    )
+    picked = [*[m[f].alias(f"v_{f}") for f in SCALAR_FIELDS],
+              *[S.vkind(m[f]).alias(f"k_{f}") for f in SCALAR_FIELDS]]
     opt_display, opt_groups = S.option_entries(F.col("v_extra"))
-    picked = picked.select(
-        "*",
-        F.try_variant_get(F.col("v_extra"), "$.option", "variant").alias("v_option"),
-        opt_display.alias("o_display"), opt_groups.alias("o_groups"))
-    picked = picked.select("*", S.vkind(F.col("v_option")).alias("k_option"))
+    options = [F.try_variant_get(F.col("v_extra"), "$.option", "variant").alias("v_option"),
+               opt_display.alias("o_display"), opt_groups.alias("o_groups")]
+    option_kind = [S.vkind(F.col("v_option")).alias("k_option")]
     v = lambda f: F.col(f"v_{f}")
     k = lambda f: F.col(f"k_{f}")
     used = S.option_used(v("extra"), k("extra"), v("option"), k("option"))
-    return picked.select(
-        "id", "inner_id", "active_status", "created_at",
+    final = [
         S.pass_text(v("url")).alias("url"),
         *[S.guarded_text(v(c), k(c)).alias(c) for c in TEXT],
         *[S.digits_int(v(c), k(c)).alias(c) for c in INT_FIELDS],
@@ -88,7 +84,27 @@ def project_payload(raw: DataFrame) -> DataFrame:
         S.config_entries(m, extra_kind=k("extra")).alias("config_raw"),
         quarantine_reason_of(m, v("extra"), k("extra"), k("option"), used, F.col("o_display"),
                              F.col("o_groups")).alias("quarantine_reason"),
-    )
+    ]
+    _COLUMN_CACHE[key] = (picked, options, option_kind, final)
+    return _COLUMN_CACHE[key]
+
+
+def project_payload(raw: DataFrame) -> DataFrame:
+    """Parse and type every payload field (before translation).
+
+    Stages: parse once; pick each field and its JSON kind once (plus the
+    option entries, which both the option list and the quarantine checks
+    read); derive the typed columns from those.  The optimizer keeps the
+    stages apart because their expensive outputs are used more than once."""
+    spark = raw.sparkSession
+    ensure_runtime_confs(spark)
+    picked_cols, option_cols, option_kind, final_cols = _projection_columns(spark)
+    keys = ["id", "inner_id", "active_status", "created_at"]
+    parsed = raw.select(*keys, S.payload("data").alias("m"))
+    picked = parsed.select(*keys, "m", *picked_cols)
+    picked = picked.select("*", *option_cols)
+    picked = picked.select("*", *option_kind)
+    return picked.select(*keys, *final_cols)
 
 
 def _long_texts(pre: DataFrame) -> DataFrame:
