@@ -102,6 +102,14 @@ def vkind(v: Column) -> Column:
     )
 
 
+def with_fields(df, payload_col: str, fields: list[str]):
+    """Add `v_<f>` (the field's VARIANT) and `k_<f>` (its `vkind`) columns in
+    one projection, so later expressions that test the kind several times
+    read a column instead of re-deriving it."""
+    m = F.col(payload_col)
+    return df.select("*", *[m[f].alias(f"v_{f}") for f in fields], *[vkind(m[f]).alias(f"k_{f}") for f in fields])
+
+
 def vstr(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.quality import reject_reason
-from ..functions.scalars import digits_float, digits_int, falsy, flex_date_str, guarded_text, payload, vkind
+from ..functions.scalars import (digits_float, digits_int, falsy, flex_date_str, guarded_text, payload, vkind,
+                                 with_fields)
 from ..operators import changes as C
 from ..operators import dictionary as D
 from ..operators import flat as FL
@@ -125,12 +126,14 @@ def q05_digits(spark, sf):
         F.concat(F.col("l_discount").cast("string"), F.lit("L")).alias("d1"),
         F.concat(F.col("l_tax").cast("string"), F.lit("."), F.col("l_linenumber").cast("string")).alias("d2"),
     ))
-    m = F.col("m")
-    return li.select("l_orderkey", "l_linenumber", payload(data).alias("m")).select(
+    fields = ["s1", "s2", "s3", "n1", "d1", "d2"]
+    picked = with_fields(li.select("l_orderkey", "l_linenumber", payload(data).alias("m")), "m", fields)
+    v = lambda f: F.col(f"v_{f}")
+    k = lambda f: F.col(f"k_{f}")
+    return picked.select(
         "l_orderkey", "l_linenumber",
-        digits_int(m["s1"]).cast("bigint").alias("s1"), digits_int(m["s2"]).cast("bigint").alias("s2"),
-        digits_int(m["s3"]).cast("bigint").alias("s3"), digits_int(m["n1"]).cast("bigint").alias("n1"),
-        digits_float(m["d1"]).alias("d1"), digits_float(m["d2"]).alias("d2"))
+        *[digits_int(v(f), k(f)).cast("bigint").alias(f) for f in ("s1", "s2", "s3", "n1")],
+        *[digits_float(v(f), k(f)).alias(f) for f in ("d1", "d2")])
 
 
 def q06_dates(spark, sf):
