@@ -110,6 +110,15 @@ def with_fields(df, payload_col: str, fields: list[str]):
     return df.select("*", *[m[f].alias(f"v_{f}") for f in fields], *[vkind(m[f]).alias(f"k_{f}") for f in fields])
 
 
+def ntz(value) -> Column:
+    """A wall-clock TIMESTAMP_NTZ literal (or the column as is).  Built from
+    ISO text, so neither the Python process zone nor the session zone can
+    shift it (a `lit(datetime)` goes through an instant first)."""
+    if isinstance(value, Column):
+        return value
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def vstr(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 
@@ -222,7 +231,7 @@ _OFFSET = r"(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 def event_time(s: Column, now) -> Column:
     """ISO-8601 text -> TIMESTAMP_NTZ in UTC; offsets are converted,
     missing or unparseable -> `now` (a parameter, never the wall clock)."""
-    now_col = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
+    now_col = ntz(now)
     with_zone = F.convert_timezone(
         F.current_timezone(), F.lit("UTC"), s.try_cast("timestamp").cast("timestamp_ntz")
     )

@@ -24,6 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import ntz
+
 from ..functions.scalars import map_new_keys, payload
 from ..schemas import RAW
 from ..session import ensure_runtime_confs
@@ -33,7 +35,7 @@ RECOGNISED = ("added", "changed", "removed")
 
 
 def _now(now) -> Column:
-    return now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
+    return ntz(now)
 
 
 def _with_order(changes: DataFrame) -> DataFrame:

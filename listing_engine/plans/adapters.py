@@ -19,6 +19,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import ntz
 from ..schemas import DICTIONARY
 
 # Fixed values of the test adapters (not reference data): Han renderings of
@@ -99,7 +100,7 @@ def listing_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("pos"),
         F.col("p_partkey").cast("string").alias("inner_id"),
         F.lit("added").alias("change_type"),
-        F.lit(SNAPSHOT_TIME).cast("timestamp_ntz").alias("created_at"),
+        ntz(SNAPSHOT_TIME).alias("created_at"),
         data.alias("data"),
     )
 
@@ -107,7 +108,7 @@ def listing_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The snapshot as a raw table (RAW schema), all rows active, unprocessed."""
     s = listing_snapshot(spark, sf_dir)
-    t = F.lit(SNAPSHOT_TIME).cast("timestamp_ntz")
+    t = ntz(SNAPSHOT_TIME)
     return s.select(
         "id", "inner_id", "change_type", "created_at", "data",
         t.alias("first_loaded_at"), t.alias("last_updated_at"), F.lit("initial_load").alias("source"),
@@ -153,7 +154,7 @@ def config_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  lambda s: s["j"]), ",").alias("items"))
     data = F.concat(F.lit('{"mark":"Brand#1","configuration":{"paramtypeitems":[{"paramitems":['),
                     F.col("items"), F.lit("]}]}}"))
-    t = F.lit(SNAPSHOT_TIME).cast("timestamp_ntz")
+    t = ntz(SNAPSHOT_TIME)
     return per_order.select(
         F.col("l_orderkey").alias("id"),
         F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("inner_id"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.quality import reject_reason
 from ..functions.scalars import (digits_float, digits_int, falsy, flex_date_str, guarded_text, payload, vkind,
-                                 with_fields)
+                                 ntz, with_fields)
 from ..operators import changes as C
 from ..operators import dictionary as D
 from ..operators import flat as FL
@@ -170,7 +170,7 @@ def q08_validate(spark, sf):
     raw = li.select(
         F.col("l_orderkey").alias("id"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("inner_id"),
-        F.lit(0).alias("active_status"), F.lit(A.SNAPSHOT_TIME).cast("timestamp_ntz").alias("created_at"),
+        F.lit(0).alias("active_status"), ntz(A.SNAPSHOT_TIME).alias("created_at"),
         F.to_json(F.struct(
             (F.lit(1880) + F.col("l_quantity") * 3).cast("bigint").alias("year"),
             (F.round(F.col("l_extendedprice") * 100).cast("bigint") * 10).alias("price"),
@@ -208,12 +208,12 @@ def q11_config(spark, sf):
 def q12_flat_upsert(spark, sf):
     """D3: the snapshot normalised into flat, then the folded raw table
     normalised and upserted over it (ids and created_at kept)."""
-    flat0 = snapshot_flat(spark, sf).withColumn("updated_at", F.lit(A.SNAPSHOT_TIME).cast("timestamp_ntz"))
+    flat0 = snapshot_flat(spark, sf).withColumn("updated_at", ntz(A.SNAPSHOT_TIME))
     folded = _fold(spark, sf).table
     rows = normalise_rows(folded, A.seed_dictionary(spark), CURRENT_YEAR).rows
     table, _ = FL.upsert_flat(flat0, rows, A.RUN_TIME)
     return table.select("inner_id", "id", "price", "km_age", "active_status",
-                        (F.col("created_at") == F.lit(A.SNAPSHOT_TIME).cast("timestamp_ntz")).alias("kept_created"))
+                        (F.col("created_at") == ntz(A.SNAPSHOT_TIME)).alias("kept_created"))
 
 
 # --- mining, dictionary ---------------------------------------------------------
@@ -335,7 +335,7 @@ def q26_offer(spark, sf):
 
 def q27_retranslate(spark, sf):
     """Rows with Han re-normalised with the mining dictionary."""
-    flat = snapshot_flat(spark, sf).withColumn("updated_at", F.lit(A.SNAPSHOT_TIME).cast("timestamp_ntz"))
+    flat = snapshot_flat(spark, sf).withColumn("updated_at", ntz(A.SNAPSHOT_TIME))
     table, _ = FL.retranslate(flat, A.snapshot_raw(spark, sf), mining_dictionary(spark), A.RUN_TIME,
                               CURRENT_YEAR, fields=["model", "color", "options", "no_such_field"])
     return table.select("inner_id", "model", "color", F.array_join("options", "|").alias("options"))
@@ -472,4 +472,68 @@ def q39_enrich(spark, sf):
                        F.col("records_with_han"))
 
 
+# --- dictionary, seller fields, translation hook, reports --------------------------
+
+def q40_dictionary_coverage(spark, sf):
+    """Distinct mined texts in / not in the mining dictionary."""
+    return D.dictionary_coverage(_mined(spark, sf), mining_dictionary(spark))
+
+
+def q41_translate_cols(spark, sf):
+    """D4 standalone: three Han columns of every part through the seed
+    dictionary (broadcast hash joins, no shuffle of the part table)."""
+    p = A.read(spark, sf, "part")
+    words = F.split("p_name", " ")
+    df = p.select(F.col("p_partkey").cast("string").alias("inner_id"), A.han_type(F.col("p_type")).alias("model"),
+                  A.han_word(words[0]).alias("color"), A.han_word(words[1]).alias("option"))
+    return D.translate_cols(df, ["model", "color", "option"], A.seed_dictionary(spark))
+
+
+def q42_seller_fields(spark, sf):
+    """Seller fields of payloads derived from every customer."""
+    c = A.read(spark, sf, "customer")
+    flag = (F.when(F.col("c_custkey") % 4 == 0, F.lit("yes")).when(F.col("c_custkey") % 4 == 1, F.lit("TRUE"))
+            .when(F.col("c_custkey") % 4 == 2, F.lit("1")).otherwise(F.lit("no")))
+    raw = c.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("inner_id"),
+                   F.to_json(F.struct(F.col("c_mktsegment").alias("seller_type"),
+                                      F.col("c_nationkey").alias("salon_id"), flag.alias("is_dealer"))).alias("data"))
+    return MK.seller_fields(raw)
+
+
+def identity_translator(texts):
+    """A translator that returns its input (I3 hook): acceptance then rests
+    on the field and on non-Han characters alone (B15)."""
+    return texts
+
+
+def q43_translate_texts(spark, sf):
+    """I3 + B15: every new entry through the hook, with its acceptance."""
+    from . import jobs as J
+    entries, _ = J.translate_texts(MI.new_entries(_mined(spark, sf)), identity_translator)
+    return entries.select("field", "text", "translation", "accepted")
+
+
+def q44_mining_report(spark, sf):
+    """A12 written, then A14 read back: the report's entries."""
+    from ..sources import dictionary_io as DI
+    from ..sources import reports as RP
+    mined = _mined(spark, sf)
+    entries = MI.new_entries(mined)
+    path = _scratch(spark, "report")
+    RP.write_mining_report(entries, MI.mining_metadata(mining_flat(spark, sf), mined), MI.priority_summary(entries),
+                           path, A.RUN_TIME.isoformat())
+    return DI.read_mined_file(spark, path)
+
+
+def q45_enrich_once(spark, sf):
+    """I5 (dry run): mine with the seed dictionary, translate, count what
+    would be added."""
+    from . import jobs as J
+    flat = mining_flat(spark, sf)
+    out = J.enrich_once(None, flat, A.seed_dictionary(spark), code_point_translator, A.RUN_TIME, CURRENT_YEAR,
+                        dry_run=True)
+    return spark.createDataFrame([(out["new_entries"], out["translated"], out["dict_added"])],
+                                 "new_entries long, translated long, dict_added long")
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("q") and name[1:3].isdigit()}

@@ -526,3 +526,40 @@ SELECT 2 AS rounds, CAST(count(DISTINCT text) AS BIGINT) AS added,
        CAST(0 AS BIGINT) AS records_with_han
 FROM new_entries
 """
+
+ORACLES["q40_dictionary_coverage"] = f"""
+WITH {_MINED}
+SELECT CAST(count(DISTINCT text) FILTER (WHERE known) AS BIGINT) AS known_texts,
+       CAST(count(DISTINCT text) FILTER (WHERE NOT known) AS BIGINT) AS missing_texts
+FROM mined
+"""
+
+ORACLES["q41_translate_cols"] = f"""
+SELECT CAST(p_partkey AS VARCHAR) AS inner_id, {T(TYPE)} AS model, {T(WORD1)} AS color, {T(WORD2)} AS option
+FROM part
+"""
+
+ORACLES["q42_seller_fields"] = """
+SELECT 'c' || CAST(c_custkey AS VARCHAR) AS inner_id, c_mktsegment AS seller_type,
+       CAST(c_nationkey AS VARCHAR) AS salon_id, c_custkey % 4 <> 3 AS is_dealer
+FROM customer
+"""
+
+ORACLES["q43_translate_texts"] = f"""
+WITH {_MINED}
+SELECT field, text, text AS translation,
+       field = 'address' OR regexp_matches(text, '[^一-鿿\\s,，。、]') AS accepted
+FROM new_entries
+"""
+
+ORACLES["q44_mining_report"] = f"""
+WITH {_MINED}
+SELECT field, text, count, priority FROM new_entries
+"""
+
+ORACLES["q45_enrich_once"] = f"""
+WITH {_MINED_SEED}
+SELECT CAST(count(*) AS BIGINT) AS new_entries, CAST(count(*) AS BIGINT) AS translated,
+       CAST(count(DISTINCT text) AS BIGINT) AS dict_added
+FROM new_entries
+"""
