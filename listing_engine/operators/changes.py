@@ -106,7 +106,10 @@ def apply_changes(raw: DataFrame, changes: DataFrame, now, source: str = "daily_
     # One size check per batch: only key columns are ever broadcast, and every
     # key frame below is a subset of this one, so they share the decision.
     key_list = per_key.select("inner_id")
-    bc = broadcast_if(fits(key_list, max_broadcast_rows))
+    # The feed's row count bounds its key count: a limit(n+1) scan of the key
+    # column settles most batches without aggregating the feed twice.
+    small = fits(rec.select("inner_id"), max_broadcast_rows) or fits(key_list, max_broadcast_rows)
+    bc = broadcast_if(small)
     # Raw is read once and filtered by the broadcast key list (no raw shuffle);
     # the small per-key frames then shuffle on inner_id.
     existing = raw.join(bc(key_list), "inner_id", "left_semi")
