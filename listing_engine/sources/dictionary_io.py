@@ -16,20 +16,27 @@ from pyspark.sql import functions as F
 
 
 def _docs(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: its name, its text and the `translations_by_field`
-    object as JSON text (NULL in the flat format).  Maps are parsed with
-    `from_json`, which keeps document order (VARIANT objects sort keys)."""
-    return (spark.read.text(path, wholetext=True)
-            .select(F.input_file_name().alias("file"), F.col("value"),
-                    F.from_json("value", "struct<translations_by_field: string>")
-                    ["translations_by_field"].alias("tbf")))
+    """One row per JSON document: its file, its position in the file, its
+    text and the `translations_by_field` object as JSON text (NULL in the
+    flat format).  A file is either one (pretty-printed) document or JSON
+    Lines; maps are parsed with `from_json`, which keeps document order
+    (VARIANT objects sort their keys)."""
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    lines = F.filter(F.split("value", "\n"), lambda ln: F.trim(ln) != "")
+    json_lines = F.forall(lines, lambda ln: F.try_parse_json(ln).isNotNull())
+    docs = files.select("file", F.when(json_lines, lines).otherwise(F.array("value")).alias("lines")) \
+        .select("file", F.posexplode("lines").alias("line", "value")) \
+        .filter(F.trim("value") != "")
+    return docs.select("file", "line", "value",
+                       F.from_json("value", "struct<translations_by_field: string>")
+                       ["translations_by_field"].alias("tbf"))
 
 
 def _structured(docs: DataFrame) -> DataFrame:
     """(file, fpos, field, epos, cn, info VARIANT) of format (a)."""
     return (docs.filter(F.col("tbf").isNotNull())
-            .select("file", F.posexplode(F.from_json("tbf", "map<string,string>")).alias("fpos", "field", "fv"))
-            .select("file", "fpos", "field",
+            .select("file", "line", F.posexplode(F.from_json("tbf", "map<string,string>")).alias("fpos", "field", "fv"))
+            .select("file", "line", "fpos", "field",
                     F.posexplode(F.from_json("fv", "map<string,variant>")).alias("epos", "cn", "info")))
 
 
@@ -37,15 +44,16 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """(cn, ru) pairs with unique cn."""
     docs = _docs(spark, path)
     structured = _structured(docs).select(
-        "file", "fpos", "epos", "cn",
+        "file", "line", "fpos", "epos", "cn",
         F.coalesce(F.try_variant_get("info", "$.translation", "string"),
                    F.try_variant_get("info", "$.ru", "string")).alias("ru"))
     flat = (docs.filter(F.col("tbf").isNull())
-            .select("file", F.posexplode(F.from_json("value", "map<string,variant>")).alias("epos", "cn", "v"))
+            .select("file", "line", F.posexplode(F.from_json("value", "map<string,variant>")).alias("epos", "cn", "v"))
             .filter(F.schema_of_variant("v") == "STRING")
-            .select("file", F.lit(0).alias("fpos"), "epos", "cn", F.try_variant_get("v", "$", "string").alias("ru")))
+            .select("file", "line", F.lit(0).alias("fpos"), "epos", "cn",
+                    F.try_variant_get("v", "$", "string").alias("ru")))
     entries = structured.unionByName(flat).filter(F.col("ru").isNotNull())
-    return entries.groupBy("cn").agg(F.max_by("ru", F.struct("file", "fpos", "epos")).alias("ru"))
+    return entries.groupBy("cn").agg(F.max_by("ru", F.struct("file", "line", "fpos", "epos")).alias("ru"))
 
 
 def read_mined_file(spark: SparkSession, path: str) -> DataFrame:
@@ -57,7 +65,6 @@ def read_mined_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_dictionary(dictionary: DataFrame, path: str) -> None:
-    """Format (b), one JSON object per file partition (readable by A11)."""
-    (dictionary.groupBy(F.spark_partition_id().alias("p"))
-     .agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("cn", "ru")))).alias("value"))
-     .select("value").write.mode("overwrite").text(path))
+    """Format (b) as JSON Lines, one {cn: ru} object a line (readable by
+    A11), written in parallel."""
+    dictionary.select(F.to_json(F.create_map("cn", "ru")).alias("value")).write.mode("overwrite").text(path)

@@ -14,22 +14,24 @@ from ..schemas import EXPORT
 
 def write_mining_report(entries: DataFrame, metadata: DataFrame, summary: DataFrame, path: str,
                         extracted_at: str) -> None:
-    """One JSON document {metadata, translations_by_field, summary_by_priority}.
+    """A12 as JSON Lines, written in parallel: one line
+    {"metadata": ..., "summary_by_priority": ...} and one line per entry
+    {"translations_by_field": {field: {text: {count, priority[, translation,
+    auto_translated]}}}}, so each line is itself a document of the
+    structured format and no task or group holds the whole report.
 
     `entries`: (field, text, count, priority[, translation]); `metadata`:
     one row (E3); `summary`: one row (E4)."""
     info_cols = [F.col("count"), F.col("priority")] + \
         ([F.col("translation"), F.lit(True).alias("auto_translated")] if "translation" in entries.columns else [])
-    per_field = entries.groupBy("field").agg(
-        F.map_from_entries(F.collect_list(F.struct("text", F.struct(*info_cols)))).alias("texts"))
-    by_field = per_field.agg(F.map_from_entries(F.collect_list(F.struct("field", "texts"))).alias("tbf"))
+    entry_lines = entries.select(F.to_json(F.struct(F.create_map(
+        F.col("field"), F.create_map(F.col("text"), F.struct(*info_cols)))
+        .alias("translations_by_field"))).alias("value"))
     meta = metadata.withColumn("extracted_at", F.lit(extracted_at))
-    doc = by_field.withColumn("_k", F.lit(1)) \
-        .join(meta.select(F.struct(*meta.columns).alias("metadata")).withColumn("_k", F.lit(1)), "_k") \
-        .join(summary.select(F.struct(*summary.columns).alias("summary_by_priority")).withColumn("_k", F.lit(1)), "_k")
-    doc.select(F.to_json(F.struct("metadata", F.col("tbf").alias("translations_by_field"),
-                                  "summary_by_priority")).alias("value")) \
-        .coalesce(1).write.mode("overwrite").text(path)
+    head = meta.select(F.struct(*meta.columns).alias("metadata"), F.lit(1).alias("_k")).join(
+        summary.select(F.struct(*summary.columns).alias("summary_by_priority"), F.lit(1).alias("_k")), "_k")
+    head_line = head.select(F.to_json(F.struct("metadata", "summary_by_priority")).alias("value"))
+    head_line.unionByName(entry_lines).write.mode("overwrite").text(path)
 
 
 def untranslated_report_lines(entries: DataFrame, freq: DataFrame, top: int = 100) -> DataFrame:
