@@ -6,7 +6,6 @@ session already has and only fills in values that are unset (tests, bench).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,20 +49,24 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "listi
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster (`spark.checkpoint.dir`).
+    """The shared checkpoint folder, as the session names it.
 
-    Only when the session leaves it unset (local tests) a scratch folder is
-    created and registered, so cluster jobs always cut lineage into shared
-    storage that survives executor loss.
+    A folder already given to the context wins, then `spark.checkpoint.dir`.
+    Where neither is set, a local master (tests, bench) gets a scratch folder
+    of its own; a cluster is refused, because executors and driver would each
+    write to their own disk and later reads would miss those files.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="listing-engine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        configured = tempfile.mkdtemp(prefix="listing-engine-ckpt-")
+    sc.setCheckpointDir(configured)
+    return configured
 
 
 def cut_lineage(df):
