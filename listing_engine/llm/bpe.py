@@ -21,7 +21,7 @@ from __future__ import annotations
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 PIECE_CHARS = 1 << 16
 
@@ -87,7 +87,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...]
                            pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*batch.schema.names[:-1], "ids"])
 
-    schema = rows.drop("__text").schema.add("ids", "array<int>")
+    schema = rows.drop("__text").schema.add("ids", T.ArrayType(T.IntegerType()))
     return rows.mapInArrow(run, schema)
 
 
@@ -107,7 +107,7 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             raw = pa.array([encoding.decode_bytes(x or []) for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, raw], [*batch.schema.names, "bytes"])
 
-    return tokens.mapInArrow(run, tokens.schema.add("bytes", "binary"))
+    return tokens.mapInArrow(run, T.StructType([*tokens.schema, T.StructField("bytes", T.BinaryType())]))
 
 
 def digests(tokens: DataFrame) -> DataFrame:
