@@ -1,3 +1,47 @@
 """DuckDB SQL for the training-data queries that SQL can express on whole tables."""
 
 ORACLES: dict[str, str] = {}
+
+# One exact pass in the order of the keys instead of buckets.
+ORACLES["op3_source_mix"] = r"""
+WITH w AS (
+  SELECT doc_id, source, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), sized AS (
+  SELECT doc_id, source, len(words)::BIGINT AS size,
+         greatest(0.05, coalesce(ln(1 + len(list_distinct(words))::DOUBLE) / nullif(ln(1 + len(words)::DOUBLE), 0), 0.05)) AS weight
+  FROM w
+), keyed AS (
+  SELECT doc_id, source, size,
+         -ln((('0x' || md5(concat_ws('/', 'mix', coalesce(doc_id::VARCHAR, ''), size::VARCHAR))[1:12])::BIGINT::DOUBLE + 0.5)
+             / 281474976710656.0::DOUBLE) / weight AS key
+  FROM sized
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM keyed GROUP BY source
+), filled AS (
+  SELECT *, 3 * source_size AS cap,
+         sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0) AS remaining,
+         sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left
+  FROM sources
+  WINDOW before AS (ORDER BY 3 * source_size / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), share AS (
+  SELECT coalesce(min(remaining::DOUBLE / weight_left::DOUBLE) FILTER (cap * weight_left > remaining * weight), 0) AS least,
+         arg_max(remaining::DOUBLE / weight_left::DOUBLE, weight_left) FILTER (cap * weight_left > remaining * weight) AS share
+  FROM filled
+), targets AS (
+  SELECT source, source_size,
+         CASE WHEN cap * weight_left <= remaining * weight THEN cap::DOUBLE ELSE weight::DOUBLE * share END AS target
+  FROM filled, share
+), split AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size) END::BIGINT AS epochs FROM targets
+), placed AS (
+  SELECT k.doc_id, k.size, s.source_size, s.target, s.epochs, s.target - s.epochs * s.source_size AS rest,
+         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM keyed k JOIN split s ON k.source IS NOT DISTINCT FROM s.source
+)
+SELECT doc_id, size, source_size, target,
+       ((epochs + CASE WHEN start + size / 2.0::DOUBLE < rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM placed
+"""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe
+from . import bpe, mixing, sharding
 from .common import documents
 from .oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 
@@ -17,4 +17,14 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(tokens, ranks, public.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op9_byte_bpe,)}
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(documents(spark, sf_dir), shards=40, vnodes=128).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {f.__name__: f for f in (op3_source_mix, op7_ring_shards, op9_byte_bpe)}
