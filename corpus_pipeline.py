@@ -23,7 +23,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     import public_tokenizers as public
 
     ranks = public.path("byte_bpe_50k.tiktoken")
-    return bpe.digests(bpe.decode(bpe.encode(docs, ranks, public.PATTERN), ranks, public.PATTERN))
+    return bpe.digests(bpe.encode(docs, ranks, public.PATTERN, round_trip=True))
 
 
 STAGES = [

@@ -24,6 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 PIECE_CHARS = 1 << 16
+SLICE_ROWS = 128
 
 
 def _load_ranks(path: str) -> bytes:
@@ -69,26 +70,45 @@ def encode_text(encoding, text: str, matcher, limit: int) -> list[int]:
     return ids
 
 
+def _in_slices(batches):
+    """Arrow batches of a few rows, so that the ids held as Python objects stay few."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
+def _ids(encoding, matcher, texts, piece_chars: int) -> list[list[int]]:
+    return [encode_text(encoding, text or "", matcher, piece_chars) for text in texts.to_pylist()]
+
+
+def _bytes(encoding, ids: list[list[int] | None]) -> list[bytes]:
+    return [encoding.decode_bytes(x or []) for x in ids]
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",),
-           piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """`keep` columns plus `ids array<int>`, the tokens of `text`."""
+           piece_chars: int = PIECE_CHARS, round_trip: bool = False) -> DataFrame:
+    """`keep` columns plus `ids array<int>`, the tokens of `text`; with
+    `round_trip` also `bytes binary`, decoded from these ids in the same pass."""
     import pyarrow as pa
 
     ranks = docs.sparkSession.sparkContext.broadcast(_load_ranks(ranks_path))
     rows = docs.select(*keep, F.col("text").alias("__text"))
+    made = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    made += [T.StructField("bytes", T.BinaryType())] * round_trip
 
     def run(batches):
         import regex
 
         encoding, matcher = _encoding(ranks.value, pattern), regex.compile(pattern)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            ids = pa.array([encode_text(encoding, t or "", matcher, piece_chars) for t in texts],
-                           pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*batch.schema.names[:-1], "ids"])
+        for batch in _in_slices(batches):
+            ids = _ids(encoding, matcher, batch.column(batch.num_columns - 1), piece_chars)
+            out = [pa.array(ids, pa.list_(pa.int32()))]
+            if round_trip:
+                out.append(pa.array(_bytes(encoding, ids), pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out],
+                                             [*batch.schema.names[:-1], *(f.name for f in made)])
 
-    schema = rows.drop("__text").schema.add("ids", T.ArrayType(T.IntegerType()))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], *made]))
 
 
 def decode(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -102,9 +122,8 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         encoding = _encoding(ranks.value, pattern)
-        for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            raw = pa.array([encoding.decode_bytes(x or []) for x in ids], pa.binary())
+        for batch in _in_slices(batches):
+            raw = pa.array(_bytes(encoding, batch.column("ids").to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, raw], [*batch.schema.names, "bytes"])
 
     return tokens.mapInArrow(run, T.StructType([*tokens.schema, T.StructField("bytes", T.BinaryType())]))
