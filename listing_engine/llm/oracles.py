@@ -45,3 +45,24 @@ SELECT doc_id, size, source_size, target,
        ((epochs + CASE WHEN start + size / 2.0::DOUBLE < rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM placed
 """
+
+ORACLES["op5_perspective_rotation"] = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS said
+  FROM conversations
+), people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said
+), rows AS (
+  SELECT s.*, p.perspective,
+         CASE WHEN speaker = perspective THEN '<|assistant|>' || chr(10)
+              ELSE '<|user name=' || replace(speaker, '|', '/') || '|>' || chr(10) END AS head
+  FROM said s JOIN people p ON s.conv_id IS NOT DISTINCT FROM p.conv_id
+), whole AS (SELECT *, head || said || '<|end|>' || chr(10) AS segment FROM rows
+), placed AS (
+  SELECT *, coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY turn ASC NULLS FIRST, speaker, said
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM whole
+)
+SELECT conv_id, perspective, turn, speaker, segment, start,
+       CASE WHEN speaker = perspective THEN start + length(head) END AS train_start,
+       CASE WHEN speaker = perspective THEN start + length(head) + length(said) + 7 END AS train_end
+FROM placed
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, sharding
+from . import bpe, chat, mixing, sharding
 from .common import documents
 from .oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 
@@ -13,18 +13,21 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
     ranks = public.path("byte_bpe_50k.tiktoken")
-    tokens = bpe.encode(documents(spark, sf_dir), ranks, public.PATTERN)
-    return bpe.digests(bpe.decode(tokens, ranks, public.PATTERN))
+    return bpe.digests(bpe.encode(documents(spark, sf_dir), ranks, public.PATTERN, round_trip=True))
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.segments(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir), shards=40, vnodes=128).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op7_ring_shards, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_source_mix, op5_perspective_rotation, op7_ring_shards, op9_byte_bpe)}
