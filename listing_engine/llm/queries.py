@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, mixing, sharding
+from ..session import cut_lineage
+from . import bpe, chat, mixing, quality_rules, sharding
 from .common import documents
 from .oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 
 
+def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One pass over the texts; learning and judging read the narrow counts.
+    features = quality_rules.with_features(cut_lineage(quality_rules.statistics(documents(spark, sf_dir))))
+    rules = quality_rules.learn(features, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_rules.judge(features, rules)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
@@ -30,4 +38,4 @@ def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op5_perspective_rotation, op7_ring_shards, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_source_mix, op5_perspective_rotation, op7_ring_shards, op8_decision_list, op9_byte_bpe)}
