@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
-from . import bpe, chat, mixing, quality_rules, sharding
+from . import bpe, chat, license_scan, mixing, quality_rules, sharding
 from .common import documents
 from .oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 
@@ -32,10 +32,14 @@ def op5_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.segments(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(license_scan.scan(documents(spark, sf_dir)))
+
+
 def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir), shards=40, vnodes=128).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op5_perspective_rotation, op7_ring_shards, op8_decision_list, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_source_mix, op5_perspective_rotation, op6_license_scan, op7_ring_shards, op8_decision_list, op9_byte_bpe)}
