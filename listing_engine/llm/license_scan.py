@@ -152,4 +152,4 @@ def report(scanned: DataFrame) -> DataFrame:
         "doc_id", "n_words", F.size(starts).cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
         labels(base).alias("base_labels"), labels(F.col("found")).alias("labels"),
-        F.least(F.lit(1.0), F.coalesce(F.array_max(F.transform("found", lambda f: f.evidence)), F.lit(0.0))).alias("score"))
+        F.round(F.coalesce(F.array_max(F.transform("found", lambda f: f.evidence)), F.lit(0.0)), 6).alias("score"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
-from . import bpe, chat, license_scan, mixing, quality_rules, sharding
+from . import bpe, chat, language, license_scan, mixing, quality_rules, sharding
 from .common import documents
 from .oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 
@@ -28,6 +28,13 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    profiles = language.learn(language.training_rows(docs))
+    return language.predict(docs, profiles).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.segments(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -42,4 +49,4 @@ def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op5_perspective_rotation, op6_license_scan, op7_ring_shards, op8_decision_list, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_source_mix, op4_rank_order_language, op5_perspective_rotation, op6_license_scan, op7_ring_shards, op8_decision_list, op9_byte_bpe)}
