@@ -66,3 +66,25 @@ SELECT conv_id, perspective, turn, speaker, segment, start,
        CASE WHEN speaker = perspective THEN start + length(head) + length(said) + 7 END AS train_end
 FROM placed
 """
+
+ORACLES["op10_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), win AS (
+  SELECT doc_id, unnest(range(1, len(words) - 48)) AS i,
+         unnest(list_transform(range(1, len(words) - 48), lambda i: md5(array_to_string(words[i:i + 49], ' ')))) AS h
+  FROM w WHERE len(words) >= 50
+), least AS (SELECT h, min(doc_id) AS first_doc FROM win GROUP BY h
+), gone AS (
+  SELECT doc_id, list(DISTINCT place) AS places
+  FROM (SELECT doc_id, unnest(range(i, i + 50)) AS place FROM win JOIN least USING (h) WHERE first_doc < doc_id)
+  GROUP BY doc_id
+), kept AS (
+  SELECT w.doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
+         CASE WHEN places IS NULL THEN words
+              ELSE list_filter(words, lambda x, i: NOT list_contains(places, i)) END AS kept
+  FROM w LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
+       sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM kept
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
-from . import bpe, chat, language, license_scan, lz_fingerprint, mixing, quality_rules, sharding
+from . import bpe, chat, language, license_scan, lz_fingerprint, mixing, quality_rules, sharding, substring_dedup
 from .common import documents
 from .oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 
@@ -53,4 +53,10 @@ def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op2_lz_fingerprint, op3_source_mix, op4_rank_order_language, op5_perspective_rotation, op6_license_scan, op7_ring_shards, op8_decision_list, op9_byte_bpe)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.kept(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op2_lz_fingerprint, op3_source_mix, op4_rank_order_language, op5_perspective_rotation, op6_license_scan, op7_ring_shards, op8_decision_list, op9_byte_bpe,
+                                 op10_substring_dedup)}
