@@ -88,3 +88,29 @@ WITH w AS (
 SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
        sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM kept
 """
+
+# Every pair that shares a five-word run, then the components of the links.
+ORACLES["op1_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS gram
+  FROM w
+), sets AS (
+  SELECT doc_id, count(*) AS n, md5(string_agg(gram, chr(10) ORDER BY gram)) AS set_id FROM grams GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT x, y FROM common JOIN sets s ON s.doc_id = x JOIN sets t ON t.doc_id = y
+  WHERE common.n * 5 >= 4 * (s.n + t.n - common.n)
+), reach AS (
+  SELECT doc_id, doc_id AS label FROM documents
+  UNION
+  SELECT links.y, reach.label FROM reach JOIN links ON links.x = reach.doc_id
+), classes AS (SELECT doc_id, min(label) AS class_id FROM reach GROUP BY doc_id
+), degree AS (SELECT x AS doc_id, count(*) AS n_links FROM links GROUP BY x)
+SELECT doc_id, class_id, min(doc_id) OVER (PARTITION BY set_id) AS copy_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM sets JOIN classes USING (doc_id) LEFT JOIN degree USING (doc_id)
+"""

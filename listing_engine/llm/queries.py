@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
-from . import bpe, chat, language, license_scan, lz_fingerprint, mixing, quality_rules, sharding, substring_dedup
+from . import bpe, chat, language, license_scan, lz_fingerprint, mixing, ngram_join, quality_rules, sharding, substring_dedup
 from .common import documents
 from .oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 
@@ -24,6 +24,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(documents(spark, sf_dir), ranks, public.PATTERN, round_trip=True))
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.report(ngram_join.join(documents(spark, sf_dir), n=5, threshold=0.8))
+
+
 def op2_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.with_neighbours(documents(spark, sf_dir))
 
@@ -58,5 +62,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_lz_fingerprint, op3_source_mix, op4_rank_order_language, op5_perspective_rotation, op6_license_scan, op7_ring_shards, op8_decision_list, op9_byte_bpe,
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_lz_fingerprint, op3_source_mix, op4_rank_order_language, op5_perspective_rotation, op6_license_scan, op7_ring_shards, op8_decision_list, op9_byte_bpe,
                                  op10_substring_dedup)}
