@@ -126,8 +126,8 @@ def learn(labelled: DataFrame, ranks: int = RANKS, sample_per_language: int = SA
 
 def predict(docs: DataFrame, profiles: dict[str, list[int]], keep: tuple[str, ...] = ("doc_id",), ranks: int = RANKS) -> DataFrame:
     """`keep` columns plus `lang_pred` and `score`, 1 less the share of the longest distance."""
-    rows = docs.select(*keep, F.col("text").alias("__text"))
-    names = sorted(profiles)
+    rows = docs.select(*keep, F.col("text").alias("__text")) if "text" not in keep else docs.select(*keep)
+    names, text_at, kept = sorted(profiles), (keep.index("text") if "text" in keep else len(keep)), len(keep)
 
     def run(batches):
         import numpy as np
@@ -151,13 +151,12 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], keep: tuple[str, ..
             return names[best], 1.0 - float(distance[best]) / (ranks * len(own))
 
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            judged = [judge(text.as_py()) for text in texts]
+            judged = [judge(text.as_py()) for text in batch.column(text_at)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([x for x, _ in judged], pa.string()), pa.array([x for _, x in judged], pa.float64())],
-                [*batch.schema.names[:-1], "lang_pred", "score"])
+                [*batch.columns[:kept], pa.array([x for x, _ in judged], pa.string()), pa.array([x for _, x in judged], pa.float64())],
+                [*batch.schema.names[:kept], "lang_pred", "score"])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("lang_pred", T.StringType()),
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:kept], T.StructField("lang_pred", T.StringType()),
                                               T.StructField("score", T.DoubleType())]))
 
 

@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import sys
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
@@ -189,36 +190,64 @@ def repeated_starts(rows: DataFrame, window: int = WINDOW, seed: int = SEED, max
             .groupBy("doc", "tie").agg(F.collect_set("place").alias("starts")))
 
 
+def without(raw: bytes, starts, window: int) -> tuple[list[bytes], list[bytes]]:
+    """(all words, words that no window at `starts` covers) of a text."""
+    import numpy as np
+
+    words = raw.split()
+    if starts is None or not len(starts):
+        return words, words
+    edge, at = np.zeros(len(words) + 1, dtype=np.int64), np.asarray(starts)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + window, -1)
+    stays = np.cumsum(edge[:-1]) == 0
+    return words, [w for w, s in zip(words, stays.tolist()) if s]
+
+
 def kept(docs: DataFrame, window: int = WINDOW, seed: int = SEED, max_sketch_bits: int = MAX_SKETCH_BITS) -> DataFrame:
     """doc_id, n_words, n_removed and `kept`, the words that stay joined by one space."""
     rows = keyed(docs)
     starts = repeated_starts(rows, window, seed, max_sketch_bits)
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        names = ["doc", "tie", "n_words", "n_removed", "kept"]
+        names = ["doc", "n_words", "n_removed", "kept"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
-                part, out = batch.slice(low, 256), []
-                for doc, tie, raw, at in zip(*part.columns):
-                    words, at, covered = raw.as_py().split(), at.as_py(), 0
-                    if at:
-                        edge = np.zeros(len(words) + 1, dtype=np.int64)
-                        at = np.array(at)
-                        np.add.at(edge, at, 1)
-                        np.add.at(edge, at + window, -1)
-                        stays = np.cumsum(edge[:-1]) == 0
-                        covered = int(len(words) - stays.sum())
-                    text = b" ".join(np.array(words, dtype=object)[stays] if covered else words)
-                    out.append((doc.as_py(), tie.as_py(), len(words), covered, text.decode()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()])], names)
-
-    joined = rows.join(starts, ["doc", "tie"], "left").select("doc", "tie", "raw", "starts")
-    return (joined.mapInArrow(run, "doc long, tie long, n_words long, n_removed long, kept string")
+                out = []
+                for doc, raw, at in zip(*batch.slice(low, 256).columns):
+                    words, stay = without(raw.as_py(), at.as_py(), window)
+                    out.append((doc.as_py(), len(words), len(words) - len(stay), b" ".join(stay).decode()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+    joined = rows.join(starts, ["doc", "tie"], "left").select("doc", "raw", "starts")
+    return (joined.mapInArrow(run, "doc long, n_words long, n_removed long, kept string")
             .select(F.nullif("doc", F.lit(LAST_ID)).alias("doc_id"), "n_words", "n_removed", "kept"))
 
 
+def dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED, max_sketch_bits: int = MAX_SKETCH_BITS) -> DataFrame:
+    """`docs` without repeated passages, all columns; documents of which no word stays go.
+
+    A document that loses nothing keeps its text as it is; in others the words
+    that stay are joined by one space.
+    """
+    starts = (repeated_starts(keyed(docs), window, seed, max_sketch_bits)
+              .select(F.col("doc").alias("__s_doc"), F.col("tie").alias("__s_tie"), F.col("starts").alias("__starts")))
+    text = F.coalesce("text", F.lit(""))
+
+    @F.pandas_udf("string")
+    def remaining(raw: pd.Series, at: pd.Series) -> pd.Series:
+        return pd.Series([b" ".join(without(r, a, window)[1]).decode() if a is not None else None for r, a in zip(raw, at)],
+                         dtype=object)
+
+    marked = docs.withColumns({"__doc": F.coalesce(F.col("doc_id"), F.lit(LAST_ID)), "__tie": F.xxhash64(text)})
+    joined = marked.join(starts, (F.col("__doc") == F.col("__s_doc")) & (F.col("__tie") == F.col("__s_tie")), "left")
+    left = joined.withColumn("__left", remaining(text.cast("binary"), "__starts"))
+    return (left.where("__starts is null or __left <> ''")
+            .select(*[F.when(F.col("__starts").isNull(), F.col("text")).otherwise(F.col("__left")).alias(c) if c == "text" else F.col(c)
+                      for c in docs.columns]))
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
