@@ -8,12 +8,6 @@ from pyspark.sql import functions as F
 from .scalars import falsy, vkind
 
 
-def split_keyless(df: DataFrame, key: str = "inner_id") -> tuple[DataFrame, DataFrame]:
-    """(records with a key, records without one)."""
-    has = F.col(key).isNotNull() & (F.col(key) != "")
-    return df.filter(has), df.filter(~has)
-
-
 # Accepted ranges of the normalised numbers (inclusive); the
 # year's upper bound is the reference year + 1 and is passed in.
 YEAR_MIN = 1900
@@ -41,13 +35,6 @@ def reject_reason(current_year: int, key: str = "inner_id") -> Column:
     )
 
 
-def validate(df: DataFrame, current_year: int) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected rows with `reject_reason`)."""
-    tagged = df.withColumn("reject_reason", reject_reason(current_year))
-    return tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason"), \
-        tagged.filter(F.col("reject_reason").isNotNull())
-
-
 QUARANTINE_CHECKS = ("payload_not_object", "extra_type", "option_type", "option_entry_type",
                      "option_group_type", "option_opts_type")
 
@@ -64,15 +51,3 @@ def quarantine_reason_of(m: Column, extra: Column, extra_kind: Column, option_ki
         .when(used & F.exists(groups, lambda g: g["bad"]), F.lit("option_group_type"))
         .when(used & F.exists(groups, lambda g: F.exists(g["opts"], lambda e: e["bad"])), F.lit("option_opts_type"))
     )
-
-
-def quarantine_reason(m: Column) -> Column:
-    """C4: shape errors that make the reference skip the row (it stays
-    unprocessed).  NULL when the payload is usable."""
-    from .scalars import option_entries, option_used
-    extra = m["extra"]
-    ek = vkind(extra)
-    option = F.try_variant_get(extra, "$.option", "variant")
-    ok = vkind(option)
-    d, g = option_entries(extra)
-    return quarantine_reason_of(m, extra, ek, ok, option_used(extra, ek, option, ok), d, g)

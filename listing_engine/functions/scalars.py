@@ -10,6 +10,7 @@ false, [] and {} are "falsy"); it lives in exactly one helper, `falsy`.
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 import sys
 import unicodedata
@@ -123,10 +124,6 @@ def vstr(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 
 
-def vget(v: Column, path: str, type_: str = "variant") -> Column:
-    return F.try_variant_get(v, path, type_)
-
-
 def falsy(v: Column, k: Column | None = None) -> Column:
     """Python truthiness of a JSON value: null, "", 0, false, [] and {}.
     `k` is the value's `vkind`, when the caller already has it."""
@@ -232,9 +229,11 @@ def event_time(s: Column, now) -> Column:
     """ISO-8601 text -> TIMESTAMP_NTZ in UTC; offsets are converted,
     missing or unparseable -> `now` (a parameter, never the wall clock)."""
     now_col = ntz(now)
-    with_zone = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), s.try_cast("timestamp").cast("timestamp_ntz")
-    )
+    # From the instant itself: by way of the session's wall clock, the hour that
+    # a zone repeats in autumn would be read twice.
+    seconds = (F.unix_micros(s.try_cast("timestamp")).cast("decimal(24,6)") / 1_000_000).cast("decimal(18,6)")
+    epoch = ntz(dt.datetime(1970, 1, 1))
+    with_zone = epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     naive = s.try_cast("timestamp_ntz")
     parsed = F.when(s.rlike(_OFFSET), with_zone).otherwise(naive)
     return F.coalesce(parsed, now_col)
@@ -301,15 +300,6 @@ def option_names_of(display: Column, groups: Column, used: Column) -> Column:
     return F.when(used, F.concat(_names(display), more)).otherwise(_empty_strings())
 
 
-def option_names(m: Column, extra_kind: Column | None = None) -> Column:
-    """B7 before translation, straight from the payload map."""
-    extra = m["extra"]
-    extra_kind = vkind(extra) if extra_kind is None else extra_kind
-    option = F.try_variant_get(extra, "$.option", "variant")
-    d, g = option_entries(extra)
-    return option_names_of(d, g, option_used(extra, extra_kind, option, vkind(option)))
-
-
 # Configuration parameter ids the normaliser keeps, as given
 # by the reference data model.
 CONFIG_PARAM_IDS = (93, 91, 90, 88, 116, 101, 108, 92, 115, 97, 95, 38, 58, 3, 13, 6, 11, 14,
@@ -320,7 +310,8 @@ def _param_id(v: Column) -> Column:
     """int or int-like text (Python `int(str)` rules); others NULL."""
     k = vkind(v)
     text = F.regexp_replace(_ascii_digits(F.trim(vstr(v))), r"(?<=[0-9])_(?=[0-9])", "")
-    from_text = F.when(text.rlike(r"^[+-]?[0-9]{1,18}$"), text.try_cast("bigint"))
+    digits = F.regexp_replace(text, r"^([+-]?)0+(?=[0-9])", "$1")
+    from_text = F.when(text.rlike(r"^[+-]?[0-9]+$"), digits.try_cast("bigint"))
     as_int = F.when(F.schema_of_variant(v) == "BIGINT", F.try_variant_get(v, "$", "bigint"))
     return F.when(k == "string", from_text).when(k == "number", as_int).when(
         k == "bool", F.try_variant_get(v, "$", "boolean").cast("bigint"))
@@ -404,8 +395,7 @@ def priority(field: Column, n: Column) -> Column:
     hot = field.isin(*HOT_FIELDS)
     return (
         F.when(hot & (n >= 10), F.lit("high"))
-        .when(hot | (n >= 50), F.lit("medium"))
-        .when(n >= 10, F.lit("medium"))
+        .when(hot | (n >= 10), F.lit("medium"))
         .otherwise(F.lit("low"))
     )
 

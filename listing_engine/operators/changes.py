@@ -29,7 +29,6 @@ from ..functions.scalars import ntz
 from ..functions.scalars import map_new_keys, payload
 from ..schemas import RAW
 from ..session import ensure_runtime_confs
-from .common import DEFAULT_BROADCAST_ROWS, broadcast_if, fits
 
 RECOGNISED = ("added", "changed", "removed")
 
@@ -49,6 +48,12 @@ def _has_key(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
+def empty_base(text: Column) -> Column:
+    """Whether a stored payload is missing or an empty JSON value, which an
+    update starts afresh from (as from `{}`)."""
+    return text.isNull() | F.regexp_replace(text, r"\s", "").isin("null", "{}", "[]", '""', "0", "false")
+
+
 @dataclass
 class ChangeResult:
     table: DataFrame    # whole raw table after the batch
@@ -57,8 +62,7 @@ class ChangeResult:
     stats: DataFrame    # one row of run counters (E10)
 
 
-def apply_changes(raw: DataFrame, changes: DataFrame, now, source: str = "daily_update",
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> ChangeResult:
+def apply_changes(raw: DataFrame, changes: DataFrame, now, source: str = "daily_update") -> ChangeResult:
     """Fold an ordered change feed into the raw table.
 
     `changes`: id, inner_id, change_type, created_at (TIMESTAMP_NTZ), data
@@ -103,35 +107,29 @@ def apply_changes(raw: DataFrame, changes: DataFrame, now, source: str = "daily_
         .agg(F.collect_list(F.struct("first_w", "key", "w", "value")).alias("fields"))
     )
 
-    # One size check per batch: only key columns are ever broadcast, and every
-    # key frame below is a subset of this one, so they share the decision.
+    # Joins on the key; Spark broadcasts the key list where its measured size allows.
     key_list = per_key.select("inner_id")
-    # The feed's row count bounds its key count: a limit(n+1) scan of the key
-    # column settles most batches without aggregating the feed twice.
-    small = fits(rec.select("inner_id"), max_broadcast_rows) or fits(key_list, max_broadcast_rows)
-    bc = broadcast_if(small)
-    # Raw is read once and filtered by the broadcast key list (no raw shuffle);
-    # the small per-key frames then shuffle on inner_id.
-    existing = raw.join(bc(key_list), "inner_id", "left_semi")
-    existing = existing.select(*[F.col(c).alias(f"r_{c}") if c != "inner_id" else F.col(c) for c in raw.columns])
+    existing = raw.join(key_list, "inner_id", "left_semi").withColumn("present", F.lit(True))
+    existing = existing.select("present", *[F.col(c).alias(f"r_{c}") if c != "inner_id" else F.col(c) for c in raw.columns])
     joined = existing.join(per_key, "inner_id", "right").join(fields, "inner_id", "left")
 
-    exists = F.col("r_id").isNotNull()
+    exists = F.coalesce(F.col("present"), F.lit(False))
     first = F.col("first")
     absent_base = ~exists
-    base_map = (
-        F.when(exists, payload(F.col("r_data")))
-        .when(first["change_type"] == "removed", F.create_map().cast("map<string,variant>"))
-        .otherwise(payload(first["data"]))
-    )
+    base_text = F.when(exists, F.col("r_data")).when(first["change_type"] == "removed", F.lit("{}")).otherwise(first["data"])
+    # An empty base counts as {}, and an update of it keeps what it brings; a
+    # base that is some other value can't be updated: its row is an error.
+    base_map = F.when(empty_base(base_text), F.create_map().cast("map<string,variant>")).otherwise(payload(base_text))
+    base_ok = base_map.isNotNull()
     overlay = F.filter(F.coalesce(F.col("fields"), F.array()), lambda f: exists | (f["w"] > first["ord"]))
     overlay = F.array_sort(overlay, lambda a, b: F.when(a["first_w"] < b["first_w"], -1)
                            .when(a["first_w"] > b["first_w"], 1).otherwise(0))
     merged = F.map_concat(base_map, F.map_from_entries(F.transform(overlay, lambda f: F.struct(f["key"], f["value"]))))
-    base_text = F.when(exists, F.col("r_data")).when(first["change_type"] == "removed", F.lit("{}")).otherwise(first["data"])
-    data = F.when(base_map.isNull(), base_text).otherwise(F.to_json(merged))
+    n_updates = F.when(base_ok, F.col("n_changed_ok")).otherwise(F.lit(0))
+    own = (absent_base & (first["change_type"] == "changed") & first["obj_ok"]).cast("int")
+    data = F.when(base_ok & (F.col("n_changed_ok") > own), F.to_json(merged)).otherwise(base_text)
 
-    modified = absent_base | (F.col("n_changed_ok") + F.col("n_removed") > 0)
+    modified = absent_base | (n_updates + F.col("n_removed") > 0)
     base_status = F.when(exists, F.col("r_active_status")).when(first["change_type"] == "removed", 1).otherwise(0)
     status = F.when(F.col("any_removed"), F.lit(1)).otherwise(base_status)
     base_type = F.when(exists, F.col("r_change_type")).otherwise(first["change_type"])
@@ -142,8 +140,9 @@ def apply_changes(raw: DataFrame, changes: DataFrame, now, source: str = "daily_
         modified.alias("modified"),
         exists.alias("existed"),
         F.when(exists, F.col("r_id")).otherwise(first["ord"]["id"]).cast("bigint").alias("id"),
-        F.coalesce(F.col("last_cr_type"), base_type).alias("change_type"),
-        F.coalesce(F.col("last_change_at"), base_created).alias("created_at"),
+        F.coalesce(F.when(base_ok, F.col("last_cr_type")).otherwise(F.when(F.col("any_removed"), F.lit("removed"))),
+                   base_type).alias("change_type"),
+        F.coalesce(F.when(base_ok, F.col("last_change_at")), base_created).alias("created_at"),
         data.alias("data"),
         F.when(exists, F.col("r_first_loaded_at")).otherwise(now_c).alias("first_loaded_at"),
         F.when(modified, now_c).otherwise(F.col("r_last_updated_at")).alias("last_updated_at"),
@@ -151,14 +150,15 @@ def apply_changes(raw: DataFrame, changes: DataFrame, now, source: str = "daily_
         status.cast("int").alias("active_status"),
         F.when(modified, F.lit(False)).otherwise(F.col("r_is_processed")).alias("is_processed"),
         first["ord"].alias("base_ord"),
+        base_ok.alias("base_ok"),
     )
 
     touched = result.filter("modified").select(*[f.name for f in RAW.fields])
-    touched_keys = bc(touched.select("inner_id"))
+    touched_keys = touched.select("inner_id")
     table = raw.select(*[f.name for f in RAW.fields]).join(touched_keys, "inner_id", "left_anti").unionByName(touched)
 
     # Per-event outcome: one join of the feed with the small per-key table.
-    key_info = bc(result.select("inner_id", "existed", "base_ord"))
+    key_info = result.select("inner_id", "existed", "base_ord", "base_ok")
     ev = ch.join(key_info, "inner_id", "left")
     outcome = (
         F.when(~_has_key(F.col("inner_id")), F.lit("error"))
@@ -166,7 +166,7 @@ def apply_changes(raw: DataFrame, changes: DataFrame, now, source: str = "daily_
         .when(~F.col("existed") & (F.col("ord") == F.col("base_ord")), F.lit("loaded"))
         .when(F.col("change_type") == "added", F.lit("duplicate"))
         .when(F.col("change_type") == "removed", F.lit("removed"))
-        .when(payload("data").isNull(), F.lit("error"))
+        .when(payload("data").isNull() | ~F.col("base_ok"), F.lit("error"))
         .otherwise(F.lit("updated"))
     )
     events = ev.select("id", "pos", "inner_id", "change_type", "created_at", outcome.alias("outcome"))

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import entry_error
-from .common import DEFAULT_BROADCAST_ROWS, broadcast_if, fits
 
 
 def as_lookup(dictionary: DataFrame) -> DataFrame:
@@ -24,10 +23,10 @@ def as_lookup(dictionary: DataFrame) -> DataFrame:
     return d.groupBy("cn").agg(F.max("ru").alias("ru"))
 
 
-def lookup_side(dictionary: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def lookup_side(dictionary: DataFrame) -> DataFrame:
     """The dictionary prepared as the build side of lookup joins."""
     lk = as_lookup(dictionary)
-    return broadcast_if(fits(lk, max_rows))(lk)
+    return lk
 
 
 def translate_column(df: DataFrame, col: str, lookup: DataFrame, out: str | None = None) -> DataFrame:
@@ -38,11 +37,10 @@ def translate_column(df: DataFrame, col: str, lookup: DataFrame, out: str | None
     return j.withColumn(out, F.coalesce(F.col(f"__ru_{col}"), F.col(col))).drop(f"__cn_{col}", f"__ru_{col}")
 
 
-def translate_cols(df: DataFrame, cols: list[str], dictionary: DataFrame,
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def translate_cols(df: DataFrame, cols: list[str], dictionary: DataFrame) -> DataFrame:
     """Translate several text columns.  With a broadcast dictionary
     each lookup is a hash probe in the same stage (no shuffle of `df`)."""
-    lk = lookup_side(dictionary, max_rows)
+    lk = lookup_side(dictionary)
     for c in cols:
         df = translate_column(df, c, lk)
     return df
@@ -78,10 +76,9 @@ def extend_dictionary(dictionary: DataFrame, new: DataFrame, dry_run: bool = Fal
     return dictionary.select("cn", "ru").unionByName(added), stats, classified
 
 
-def dictionary_coverage(mined: DataFrame, dictionary: DataFrame,
-                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def dictionary_coverage(mined: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Distinct mined texts that are / are not in the dictionary."""
-    lk = lookup_side(dictionary, max_rows).select(F.col("cn").alias("text"), F.lit(True).alias("known"))
+    lk = lookup_side(dictionary).select(F.col("cn").alias("text"), F.lit(True).alias("known"))
     j = mined.select("text").join(lk, "text", "left")
     return j.agg(
         F.count_distinct(F.when(F.col("known"), F.col("text"))).cast("bigint").alias("known_texts"),

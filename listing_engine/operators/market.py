@@ -33,7 +33,7 @@ def change_prices(changes: DataFrame) -> DataFrame:
     payload (the later key of the two wins, as in the merge)."""
     m = F.transform_keys(payload("data"), lambda k, v: F.regexp_replace(k, "^new_", ""))
     return changes.select("id", "inner_id", "change_type", "created_at",
-                          digits_int(m["price"]).cast("bigint").alias("price"))
+                          digits_int(m["price"]).try_cast("bigint").alias("price"))
 
 
 def lag_within_key(df: DataFrame, key: str, order: str, value: str, out: str = "prev",

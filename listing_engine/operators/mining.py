@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import HAN_CLASS, has_han, priority
 from ..schemas import TRANSLATED_TEXT_COLUMNS
-from .common import DEFAULT_BROADCAST_ROWS
 from .dictionary import lookup_side
 
 # Salt buckets for the two-phase per-field top-k.
@@ -42,12 +41,11 @@ def candidate_texts(flat: DataFrame) -> DataFrame:
             .select("t.field", "t.text"))
 
 
-def mine_untranslated(flat: DataFrame, dictionary: DataFrame,
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def mine_untranslated(flat: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Occurrences per (field, text) with `known` = already in the
     dictionary.  C8 / D8 (drop known, min count) are `new_entries`."""
     counts = candidate_texts(flat).groupBy("field", "text").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
-    lk = lookup_side(dictionary, max_broadcast_rows).select(F.col("cn").alias("text"), F.lit(True).alias("known"))
+    lk = lookup_side(dictionary).select(F.col("cn").alias("text"), F.lit(True).alias("known"))
     return counts.join(lk, "text", "left").select(
         "field", "text", "count", F.coalesce(F.col("known"), F.lit(False)).alias("known"))
 

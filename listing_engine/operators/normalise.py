@@ -29,7 +29,6 @@ from ..functions import scalars as S
 from ..functions.quality import quarantine_reason_of, reject_reason
 from ..schemas import TRANSLATED_TEXT_COLUMNS
 from ..session import ensure_runtime_confs
-from .common import DEFAULT_BROADCAST_ROWS
 from .dictionary import lookup_side
 
 TEXT = TRANSLATED_TEXT_COLUMNS
@@ -131,15 +130,18 @@ def _long_texts(pre: DataFrame) -> DataFrame:
     return pre.select("inner_id", F.explode(entries).alias("e")).select("inner_id", "e.*")
 
 
-def translate_assemble(pre: DataFrame, dictionary: DataFrame,
-                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def translate_assemble(pre: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Steps 3-4: one dictionary join over the long table, one regroup.
     `pre` carries `reject_reason`; only rows where it is NULL come out."""
-    lk = lookup_side(dictionary, max_broadcast_rows)
+    lk = lookup_side(dictionary)
     lk1 = lk.select(F.col("cn").alias("cn1"), F.col("ru").alias("ru1"))
     lk2 = lk.select(F.col("cn").alias("cn2"), F.col("ru").alias("ru2"))
     long = _long_texts(pre)
-    long = long.join(lk1, long["text"] == lk1["cn1"], "left").join(lk2, long["text2"] == lk2["cn2"], "left")
+    # A missing text looks for a word that no dictionary has, another one per
+    # listing, so that the many missing ones don't meet on one key.
+    none = F.concat(F.lit("\u0000"), F.col("inner_id"))
+    long = (long.withColumns({"k1": F.coalesce("text", none), "k2": F.coalesce("text2", none)})
+            .join(lk1, F.col("k1") == F.col("cn1"), "left").join(lk2, F.col("k2") == F.col("cn2"), "left"))
     t1 = F.coalesce(F.col("ru1"), F.col("text"))
     t2 = F.coalesce(F.col("ru2"), F.col("text2"))
     slot = F.col("slot")
@@ -159,7 +161,7 @@ def translate_assemble(pre: DataFrame, dictionary: DataFrame,
     # filter placed on the projection would be pushed down through it and
     # inline (and later evaluate) the whole payload projection twice.
     return out.filter(F.col("reject_reason").isNull()).select(
-        *[F.col(c).cast("int").alias(c) if c in INT_FIELDS else F.col(c) for c in FLAT_ORDER])
+        *[F.col(c).try_cast("int").alias(c) if c in INT_FIELDS else F.col(c) for c in FLAT_ORDER])
 
 
 @dataclass
@@ -168,14 +170,17 @@ class Normalised:
     rejected: DataFrame  # id, inner_id, stage, reason
 
 
-def normalise_rows(raw: DataFrame, dictionary: DataFrame, current_year: int,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> Normalised:
-    """I1 core: raw rows -> validated, translated flat rows."""
+def normalise_rows(raw: DataFrame, dictionary: DataFrame, current_year: int | None,
+                   validate: bool = True) -> Normalised:
+    """I1 core: raw rows -> validated, translated flat rows.  Without
+    `validate` only the quarantine (C4) holds rows back, as D5 wants; a number
+    too large for its column is then NULL."""
+    reason = F.col("quarantine_reason")
     pre = project_payload(raw).withColumn(
-        "reject_reason", F.coalesce(F.col("quarantine_reason"), reject_reason(current_year)))
+        "reject_reason", F.coalesce(reason, reject_reason(current_year)) if validate else reason)
     rejected = pre.filter(F.col("reject_reason").isNotNull()).select(
         "id", "inner_id",
         F.when(F.col("quarantine_reason").isNotNull(), F.lit("quarantine")).otherwise(F.lit("validation"))
         .alias("stage"),
         F.col("reject_reason").alias("reason"))
-    return Normalised(rows=translate_assemble(pre, dictionary, max_broadcast_rows), rejected=rejected)
+    return Normalised(rows=translate_assemble(pre, dictionary), rejected=rejected)

@@ -51,7 +51,9 @@ def offers_page(flat: DataFrame, page: int = 1, size: int = DEFAULT_PAGE_SIZE, k
     """one page of filtered listings in key order, and a one-row frame
     with `next_page` (NULL on the last page).  The page is a top-(offset +
     size + 1) by key, not a full sort."""
-    size = max(1, min(int(size or DEFAULT_PAGE_SIZE), MAX_PAGE_SIZE))
+    size = max(1, int(size or DEFAULT_PAGE_SIZE))
+    if size > MAX_PAGE_SIZE:
+        raise ValueError(f"a page has at most {MAX_PAGE_SIZE} rows, {size} were asked for")
     page = max(1, int(page or 1))
     window = filter_offers(flat, **filters).orderBy(key).offset((page - 1) * size).limit(size + 1)
     rows = window.orderBy(key).limit(size)

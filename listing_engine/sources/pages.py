@@ -3,7 +3,9 @@
 A page file holds one envelope `{result: [...], meta: {...}}`.  Pages are read
 with a declared schema (never inferred); `data` is declared STRING so the
 payload keeps its JSON text, key order and duplicate keys.  All pages of a
-directory form one feed (G3): one multi-file scan, one task per file.
+directory form one feed (G3): one multi-file scan.  A page is parsed once, with
+its whole schema: what the count calls bad is exactly what the data leave out,
+and a record that doesn't fit its schema is left out alone, not with its page.
 """
 
 from __future__ import annotations
@@ -24,33 +26,57 @@ class BadPageBudgetExceeded(RuntimeError):
     pass
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+def _envelope(page: T.StructType) -> T.StructType:
+    """The page with its records as JSON texts, so that one bad record spoils no other."""
+    return T.StructType([T.StructField(f.name, T.ArrayType(T.StringType()) if f.name == "result" else f.dataType)
+                         for f in page.fields] + [T.StructField(CORRUPT, T.StringType())])
 
 
-def _scan(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
-    return (spark.read.schema(_with_corrupt(schema))
-            .option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .json(path)
-            .withColumn("_file", F.input_file_name()))
+def parsed_pages(texts: DataFrame, page: T.StructType) -> DataFrame:
+    """One row per page text: `meta`, `result` (record texts) and `bad`.
+
+    The envelope is parsed once, with all its fields, and both the count of
+    bad pages and the records come from that parse.  Works on a batch and on
+    a stream."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = texts.where(F.trim("value") != "").select(
+        F.from_json("value", _envelope(page), options).alias("p"), F.col("value").alias("page_text"))
+    bad = F.col(f"p.{CORRUPT}").isNotNull() | F.col("p.meta").isNull()
+    return rows.select("p.meta", "p.result", F.coalesce(bad, F.lit(True)).alias("bad"), "page_text")
+
+
+def _record_type(page: T.StructType) -> T.StructType:
+    return page["result"].dataType.elementType
+
+
+def page_records(pages: DataFrame, page: T.StructType) -> DataFrame:
+    """The records of good pages: `r` (NULL fields where a value doesn't fit
+    its type), the record's text and `bad_record`."""
+    fields = T.StructType(_record_type(page).fields + [T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rec = pages.where(~F.col("bad")).select("meta", F.posexplode("result").alias("pos", "record_text"))
+    rec = rec.withColumn("r", F.from_json("record_text", fields, options))
+    return rec.withColumn("bad_record", F.col("record_text").isNull() | F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull())
+
+
+def _texts(reader, path: str, multi_line: bool) -> DataFrame:
+    return reader.option("wholetext", multi_line).text(path)
 
 
 def split_bad_pages(pages: DataFrame, budget: int = BAD_PAGE_BUDGET) -> tuple[DataFrame, int]:
     """(good pages, number of bad pages); more than `budget` bad pages
-    raises.  The count is one aggregate over the page envelopes (the
-    payloads are not parsed), then the good pages are used lazily."""
-    bad = pages.agg(F.count_if(F.col(CORRUPT).isNotNull() | F.col("meta").isNull()).alias("n")).first()["n"]
+    raises.  The load has to stop before anything is applied, so the count is
+    an action on the same parse the records come from."""
+    bad = pages.agg(F.count_if("bad").alias("n")).first()["n"]
     if bad > budget:
         raise BadPageBudgetExceeded(f"{bad} bad pages > budget {budget}")
-    return pages.filter(F.col(CORRUPT).isNull() & F.col("meta").isNotNull()), int(bad)
+    return pages.filter(~F.col("bad")), int(bad)
 
 
-def _records(pages: DataFrame, page_col, now) -> DataFrame:
-    rec = pages.select(page_col.alias("page"), F.posexplode("result").alias("pos", "r"))
+def _records(pages: DataFrame, page: T.StructType, page_field: str, now) -> DataFrame:
+    rec = page_records(pages, page).where(~F.col("bad_record"))
     return rec.select(
-        F.col("r.id").alias("id"), "page", "pos",
+        F.col("r.id").alias("id"), F.col(f"meta.{page_field}").alias("page"), "pos",
         F.col("r.inner_id").alias("inner_id"),
         default_change_type(F.col("r.change_type")).alias("change_type"),
         event_time(F.col("r.created_at"), now).alias("created_at"),
@@ -64,10 +90,10 @@ def read_offer_pages(spark: SparkSession, path: str, now, max_pages: int | None
 
     Returns (records, bad page count).  `max_pages` keeps pages 1..n (the
     filter sits on the page number, before the records are exploded)."""
-    pages, bad = split_bad_pages(_scan(spark, path, OFFER_PAGE, multi_line), budget)
+    pages, bad = split_bad_pages(parsed_pages(_texts(spark.read, path, multi_line), OFFER_PAGE), budget)
     if max_pages:
         pages = pages.filter(F.col("meta.page") <= max_pages)
-    return _records(pages, F.col("meta.page"), now), bad
+    return _records(pages, OFFER_PAGE, "page", now), bad
 
 
 def read_change_pages(spark: SparkSession, path: str, now, from_change_id: int | None = None,
@@ -75,25 +101,47 @@ def read_change_pages(spark: SparkSession, path: str, now, from_change_id: int |
     """A2: change records in feed order (id, then position in the page).
     A page whose next cursor is not past `from_change_id` is dropped before
     its records are exploded."""
-    pages, bad = split_bad_pages(_scan(spark, path, CHANGE_PAGE, multi_line), budget)
+    pages, bad = split_bad_pages(parsed_pages(_texts(spark.read, path, multi_line), CHANGE_PAGE), budget)
     if from_change_id is not None:
         pages = pages.filter(F.col("meta.next_change_id").isNull()
                              | (F.col("meta.next_change_id") > from_change_id))
-    rec = _records(pages, F.col("meta.cur_change_id"), now)
+    rec = _records(pages, CHANGE_PAGE, "cur_change_id", now)
     if from_change_id is not None:
         rec = rec.filter(F.col("id") >= from_change_id)
     return rec, bad
 
 
+def read_bad_records(spark: SparkSession, path: str, page: T.StructType = CHANGE_PAGE,
+                     multi_line: bool = True) -> DataFrame:
+    """What a read leaves out, as text: whole bad pages and single bad records."""
+    pages = parsed_pages(_texts(spark.read, path, multi_line), page)
+    return pages.where("bad").select(F.lit("page").alias("kind"), F.col("page_text").alias("text")).unionByName(
+        page_records(pages, page).where("bad_record").select(F.lit("record").alias("kind"), F.col("record_text").alias("text")))
+
+
+def stream_pages(spark: SparkSession, path: str, max_files: int = 100, multi_line: bool = True) -> DataFrame:
+    """A3: the change feed as a stream of parsed pages, bad ones marked (one
+    page file = one unit of progress, `maxFilesPerTrigger` bounds a
+    micro-batch)."""
+    return parsed_pages(_texts(spark.readStream.option("maxFilesPerTrigger", max_files), path, multi_line), CHANGE_PAGE)
+
+
+def batch_records(pages: DataFrame, now, bad_path: str, batch_id: int, budget: int = BAD_PAGE_BUDGET) -> DataFrame:
+    """The records of one micro-batch of `stream_pages`; its bad pages and bad
+    records are written to `bad_path`, a folder per batch, so a replay writes
+    them again in place; more bad pages than `budget` stop the query."""
+    good, _ = split_bad_pages(pages, budget)
+    left_out = pages.where("bad").select(F.lit("page").alias("kind"), F.col("page_text").alias("text")).unionByName(
+        page_records(pages, CHANGE_PAGE).where("bad_record").select(F.lit("record").alias("kind"), F.col("record_text").alias("text")))
+    left_out.write.mode("overwrite").parquet(f"{bad_path.rstrip('/')}/batch_id={batch_id}")
+    return _records(good, CHANGE_PAGE, "cur_change_id", now)
+
+
 def stream_change_pages(spark: SparkSession, path: str, now, max_files: int = 100,
                         multi_line: bool = True) -> DataFrame:
-    """A3: the change feed as a stream of records (one page file = one unit
-    of progress, `maxFilesPerTrigger` bounds a micro-batch)."""
-    pages = (spark.readStream.schema(CHANGE_PAGE)
-             .option("multiLine", multi_line)
-             .option("maxFilesPerTrigger", max_files)
-             .json(path))
-    return _records(pages, F.col("meta.cur_change_id"), now)
+    """A3: the records of the good pages of the stream.  The bad ones are in
+    `stream_pages`, which a job should write to a table as H2 does."""
+    return _records(stream_pages(spark, path, max_files, multi_line), CHANGE_PAGE, "cur_change_id", now)
 
 
 def page_chain_gaps(pages: DataFrame, cur: str, nxt: str, size: str | None = None) -> DataFrame:

@@ -34,27 +34,29 @@ def write_mining_report(entries: DataFrame, metadata: DataFrame, summary: DataFr
     head_line.unionByName(entry_lines).write.mode("overwrite").text(path)
 
 
+
 def untranslated_report_lines(entries: DataFrame, freq: DataFrame, top: int = 100) -> DataFrame:
-    """Report lines (section, rank, line): totals, each field's texts by
-    count (fields by total occurrences), the global top `top`."""
-    from pyspark.sql import Window
-    totals = entries.agg(F.sum("count").alias("occ"), F.count(F.lit(1)).alias("n")).select(
-        F.lit(0).alias("section"), F.lit(0).alias("rank"),
-        F.format_string("total occurrences %d, distinct entries %d", "occ", "n").alias("line"))
-    field_rank = entries.groupBy("field").agg(F.sum("count").alias("occ")).withColumn(
-        "section", F.row_number().over(Window.orderBy(F.col("occ").desc(), "field")))
-    per_field = entries.join(field_rank.select("field", "section"), "field").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("field").orderBy(F.col("count").desc(), "text"))
-    ).select("section", "rank", F.format_string("%s\t%6d\t%s", "field", "count", "text").alias("line"))
-    g = freq.orderBy(F.col("total").desc(), "text").limit(top).withColumn(
-        "rank", F.row_number().over(Window.orderBy(F.col("total").desc(), "text"))).select(
-        F.lit(10 ** 6).alias("section"), "rank", F.format_string("TOP\t%6d\t%s", "total", "text").alias("line"))
-    return totals.unionByName(per_field).unionByName(g)
+    """Report lines with what they are ordered by: the totals, each
+    field's texts by count (fields by total occurrences), the global top
+    `top`.  The order is left to one range-partitioned sort; nothing is ranked
+    in a window over all texts of a field."""
+    line = lambda kind, total, field, n, text, shown: (
+        F.lit(kind).alias("kind"), total.cast("bigint").alias("field_total"), field.alias("field"),
+        n.cast("bigint").alias("n"), text.alias("text"), shown.alias("line"))
+    zero, empty = F.lit(0), F.lit("")
+    totals = entries.agg(F.sum("count").alias("occ"), F.count(F.lit(1)).alias("cnt")).select(*line(
+        0, zero, empty, zero, empty, F.format_string("total occurrences %d, distinct entries %d", "occ", "cnt")))
+    by_field = entries.groupBy(F.col("field")).agg(F.sum("count").alias("occ"))
+    per_field = entries.join(by_field, "field").select(*line(
+        1, F.col("occ"), F.col("field"), F.col("count"), F.col("text"), F.format_string("%s\t%6d\t%s", "field", "count", "text")))
+    most = freq.orderBy(F.col("total").desc(), "text").limit(top).select(*line(
+        2, zero, empty, F.col("total"), F.col("text"), F.format_string("TOP\t%6d\t%s", "total", "text")))
+    return totals.unionByName(per_field).unionByName(most)
 
 
 def write_untranslated_report(lines: DataFrame, path: str) -> None:
     """A13 sink: ordered text (range-partitioned sort, no single-task sort)."""
-    lines.orderBy("section", "rank").select("line").write.mode("overwrite").text(path)
+    lines.orderBy("kind", F.desc("field_total"), "field", F.desc("n"), "text").select("line").write.mode("overwrite").text(path)
 
 
 def preview(flat: DataFrame, n: int = 3) -> DataFrame:

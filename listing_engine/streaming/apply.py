@@ -1,123 +1,93 @@
 """Structured Streaming versions of the change apply (H2, H3, H4, H5).
 
-H2 `stream_apply`: page files -> records -> `foreachBatch` folding each
-micro-batch into the raw store with the batch operator (`apply_changes`) and
-a bucket-level merge.  A ledger of applied batch ids makes a replayed batch a
-no-op (re-folding alone is not idempotent: counters and `new_`-created rows
-differ).  `Trigger.AvailableNow` gives the daily run: drain and stop.
-
-H3 `stateful_apply`: the current row per key kept in streaming state
-(`applyInPandasWithState`), events of a key applied in feed order by the
-sequential rules; emits the updated row of every touched key.
+H2 `stream_apply`: page files -> parsed pages -> `foreachBatch` folding each
+micro-batch into the raw store with the batch operator (`apply_changes`) and a
+bucket-level merge.  The merge's commit holds the batch id, so a batch that is
+replayed after a crash is either not committed or skipped.  Bad pages go to a
+table of their own, and too many of them stop the query.
+
+H3 `stream_row_updates`: the updated row of every touched key per micro-batch,
+as an append-only log next to the initial rows.  The current row of a key, the
+state, is its last one in the log; the fold of a batch reads the rows of the
+keys it touches.  A batch's folder is its commit, and it only reads the folders
+of smaller batch ids, so a replay writes the same rows again.
 
 H5 `stream_change_stats`: daily counters with a watermark on event time.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.changes import apply_changes
-from ..sources.pages import stream_change_pages
-from ..sources.stores import BucketedStore
+from ..schemas import RAW
+from ..sources.pages import BAD_PAGE_BUDGET, batch_records, stream_pages
+from ..sources.stores import BucketedStore, path_exists
 
 
-def _ledger_path(store: BucketedStore) -> str:
-    return f"{store.path.rstrip('/')}__batches"
+def _drain(pages: DataFrame, fold_batch, checkpoint: str, available_now: bool):
+    writer = pages.writeStream.foreachBatch(fold_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    q = writer.start()
+    if available_now:
+        q.awaitTermination()
+    return q
 
 
-def applied_batches(spark: SparkSession, store: BucketedStore) -> set[int]:
-    try:
-        return {r.batch_id for r in spark.read.parquet(_ledger_path(store)).collect()}
-    except Exception:  # noqa: BLE001 - no ledger yet
-        return set()
+def bad_pages_path(base: str) -> str:
+    return f"{base.rstrip('/')}__bad_pages"
 
 
 def stream_apply(spark: SparkSession, pages_path: str, store: BucketedStore, checkpoint: str, now,
-                 max_files: int = 100, multi_line: bool = True, available_now: bool = True):
-    """H2 (+ A3, H4): drain the landed change pages into the raw store.
+                 max_files: int = 100, multi_line: bool = True, available_now: bool = True,
+                 budget: int = BAD_PAGE_BUDGET):
+    """H2 (+ A3, A6, H4): drain the landed change pages into the raw store.
     Returns the finished (or running) StreamingQuery."""
-    records = stream_change_pages(spark, pages_path, now, max_files, multi_line)
-
-    def fold_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch_id in applied_batches(spark, store):
+    def fold_batch(pages: DataFrame, batch_id: int) -> None:
+        if batch_id <= store.last_batch():
             return  # replay of a committed batch
-        res = apply_changes(store.read(), batch, now)
-        store.merge(res.touched)
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(_ledger_path(store))
+        records = batch_records(pages, now, bad_pages_path(store.path), batch_id, budget)
+        store.merge(apply_changes(store.read(), records, now).touched, batch_id)
 
-    writer = records.writeStream.foreachBatch(fold_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    q = writer.start()
-    if available_now:
-        q.awaitTermination()
-    return q
+    return _drain(stream_pages(spark, pages_path, max_files, multi_line), fold_batch, checkpoint, available_now)
 
 
-# --- H3: per-key state ------------------------------------------------------------
+# --- H3: the latest row of each key -----------------------------------------------
 
-STATE_SCHEMA = T.StructType([
-    T.StructField("data", T.StringType()),
-    T.StructField("change_type", T.StringType()),
-    T.StructField("created_at", T.TimestampNTZType()),
-    T.StructField("active_status", T.IntegerType()),
-])
-OUT_SCHEMA = T.StructType([T.StructField("inner_id", T.StringType())] + STATE_SCHEMA.fields)
+def latest_rows(log: DataFrame) -> DataFrame:
+    """The last row of every key in a log of raw rows with `batch_id`."""
+    columns = [f.name for f in RAW.fields]
+    return (log.groupBy("inner_id").agg(F.max_by(F.struct(*columns), "batch_id").alias("r")).select("r.*"))
 
 
-def _merge(old: dict, new: dict) -> dict:
-    """B12 on Python dicts: `new_` prefix dropped, later keys win."""
-    out = dict(old)
-    for k, v in new.items():
-        out[k[4:] if k.startswith("new_") else k] = v
-    return out
+def _rows_before(spark: SparkSession, initial: DataFrame, out_path: str, batch_id: int) -> DataFrame:
+    columns = [f.name for f in RAW.fields]
+    first = initial.select(*columns).withColumn("batch_id", F.lit(-1).cast("long"))
+    if not path_exists(spark, out_path):
+        return first
+    log = spark.read.parquet(out_path).where(F.col("batch_id") < batch_id)
+    return first.unionByName(log.select(*columns, F.col("batch_id").cast("long")))
+
+
+def stream_row_updates(spark: SparkSession, pages_path: str, initial: DataFrame, out_path: str, checkpoint: str, now,
+                       max_files: int = 100, multi_line: bool = True, available_now: bool = True,
+                       budget: int = BAD_PAGE_BUDGET):
+    """H3: drain the pages into a log of updated rows (`out_path`, a folder
+    per batch) over the `initial` raw rows."""
+    def fold_batch(pages: DataFrame, batch_id: int) -> None:
+        records = batch_records(pages, now, bad_pages_path(out_path), batch_id, budget)
+        before = _rows_before(spark, initial, out_path, batch_id)
+        keys = records.select("inner_id").distinct()
+        state = latest_rows(before.join(keys, "inner_id", "left_semi"))
+        apply_changes(state, records, now).touched.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
+    return _drain(stream_pages(spark, pages_path, max_files, multi_line), fold_batch, checkpoint, available_now)
 
-def _fold_key(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Sequential change rules for one key (a small helper; the work is
-    partitioned and shuffled by Spark, one key's events at a time)."""
-    if state.exists:
-        data, ctype, created, status = state.get
-        row = {"data": data, "change_type": ctype, "created_at": created, "active_status": status}
-    else:
-        row = None
-    events = pd.concat(list(batches)).sort_values(["id", "pos"])
-    for e in events.itertuples(index=False):
-        if e.change_type not in ("added", "changed", "removed"):
-            continue
-        if row is None:
-            row = {"data": e.data if e.change_type != "removed" else "{}", "change_type": e.change_type,
-                   "created_at": e.created_at, "active_status": 1 if e.change_type == "removed" else 0}
-        elif e.change_type == "changed":
-            try:
-                new = json.loads(e.data)
-                old = json.loads(row["data"])
-            except (TypeError, ValueError):
-                continue
-            if not isinstance(new, dict) or not isinstance(old, dict):
-                continue
-            row.update(data=json.dumps(_merge(old, new), ensure_ascii=False, separators=(",", ":")),
-                       change_type="changed", created_at=e.created_at)
-        elif e.change_type == "removed":
-            row.update(change_type="removed", active_status=1)
-    if row is None:
-        return
-    state.update((row["data"], row["change_type"], row["created_at"], row["active_status"]))
-    yield pd.DataFrame([{"inner_id": key[0], **row}])
-
-
-def stateful_apply(records: DataFrame) -> DataFrame:
-    """H3: streaming (or batch) records -> the updated row of each touched
-    key, with the key's current row kept in state between micro-batches."""
-    return records.groupBy("inner_id").applyInPandasWithState(
-        _fold_key, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+
+def current_rows(spark: SparkSession, initial: DataFrame, out_path: str) -> DataFrame:
+    """The raw table as of the last batch of the log."""
+    return latest_rows(_rows_before(spark, initial, out_path, (1 << 63) - 1))
 
 
 def stream_change_stats(records: DataFrame, watermark: str = "2 days") -> DataFrame:
@@ -132,10 +102,9 @@ def stream_change_stats(records: DataFrame, watermark: str = "2 days") -> DataFr
 
 
 def land_in_order(changes: DataFrame, path: str, chunks: int = 4, page_size: int = 20) -> list[str]:
-    """Land a feed as `chunks` id-ordered page files written one after the
-    other (file sources pick files up in modification order), each in its
-    own folder `path/chunk=i`; returns the folders.  Each chunk is one file,
-    i.e. one task: a replay / test helper, not a production writer."""
+    """Land a feed as `chunks` id-ordered groups of page files written one
+    after the other (file sources pick files up in modification order), each
+    in its own folder `path/chunk=i`; returns the folders."""
     from ..sources.pages import write_change_pages
     lo, hi = changes.agg(F.min("id"), F.max("id")).first()
     step = (hi - lo) // chunks + 1
@@ -143,24 +112,6 @@ def land_in_order(changes: DataFrame, path: str, chunks: int = 4, page_size: int
     for i in range(chunks):
         part = changes.filter((F.col("id") >= lo + i * step) & (F.col("id") < lo + (i + 1) * step))
         folder = f"{path.rstrip('/')}/chunk={i:04d}"
-        write_change_pages(part, folder, page_size, files=1)
+        write_change_pages(part, folder, page_size)
         out.append(folder)
     return out
-
-
-def stream_stateful_apply(spark: SparkSession, pages_path: str, out_path: str, checkpoint: str, now,
-                          max_files: int = 100, multi_line: bool = True) -> DataFrame:
-    """H3 end to end: landed pages -> per-key state -> an update-mode sink
-    (each micro-batch appends its updated rows with the batch id); returns
-    the latest row of every key."""
-    records = stream_change_pages(spark, pages_path, now, max_files, multi_line)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_path)
-
-    q = (stateful_apply(records).writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    out = spark.read.parquet(out_path)
-    cols = [f.name for f in STATE_SCHEMA.fields]
-    return out.groupBy("inner_id").agg(F.max_by(F.struct(*cols), "batch_id").alias("r")).select("inner_id", "r.*")
