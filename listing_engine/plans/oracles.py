@@ -563,3 +563,122 @@ SELECT CAST(count(*) AS BIGINT) AS new_entries, CAST(count(*) AS BIGINT) AS tran
        CAST(count(DISTINCT text) AS BIGINT) AS dict_added
 FROM new_entries
 """
+
+
+# --- readers, stores, streams and jobs (catalog_io) ---------------------------------
+
+_GOOD_EVENT = "(event_id // 20) % 50 <> 7 AND event_id % 100 <> 77"
+_CHANGES_UNDAMAGED = _CHANGES.replace("FROM events WHERE event_type", f"FROM events WHERE {_GOOD_EVENT} AND event_type")
+_BAD_PAGES = "(SELECT count(DISTINCT event_id // 20) FROM events WHERE (event_id // 20) % 50 = 7)"
+_BAD_RECORDS = "(SELECT count(*) FROM events WHERE (event_id // 20) % 50 <> 7 AND event_id % 100 = 77)"
+
+ORACLES["q50_page_bad_records"] = f"""
+SELECT kind, CAST(n AS BIGINT) AS n, CAST({_BAD_PAGES} AS BIGINT) AS bad_pages FROM (
+  SELECT 'good' AS kind, (SELECT count(*) FROM events WHERE {_GOOD_EVENT}) AS n
+  UNION ALL SELECT 'page', {_BAD_PAGES} UNION ALL SELECT 'record', {_BAD_RECORDS}) WHERE n > 0
+"""
+
+ORACLES["q51_stream_bad_page"] = f"""
+WITH {_CHANGES_UNDAMAGED}
+SELECT inner_id, price, km_age, active_status, change_type FROM folded
+UNION ALL SELECT 'bad ' || kind, NULL, NULL, CAST(n AS INTEGER), 'aside'
+FROM (SELECT 'page' AS kind, {_BAD_PAGES} AS n UNION ALL SELECT 'record', {_BAD_RECORDS}) WHERE n > 0
+"""
+
+ORACLES["q52_store_merge"] = ORACLES["q01_change_fold"]
+
+ORACLES["q53_offer_pages"] = """
+SELECT CAST(p_partkey // 20 + 1 AS BIGINT) AS page, count(*) AS n, min(p_partkey) AS first_id, count(*) AS added,
+       count(*) FILTER (p_partkey % 4 = 0) AS without_payload
+FROM part WHERE p_partkey // 20 + 1 <= 5 GROUP BY 1
+"""
+
+ORACLES["q54_sync_state"] = """
+SELECT max(CAST(ts AS DATE)) AS last_successful_date,
+       arg_max(event_id, (CAST(ts AS DATE), event_id)) + 1 AS last_change_id, false AS done_before, true AS done_after
+FROM events
+"""
+
+ORACLES["q55_daily_update"] = f"""
+WITH {_CHANGES}
+SELECT inner_id, price, km_age, active_status, true AS is_processed FROM folded
+"""
+
+ORACLES["q56_run_journal"] = """
+SELECT 'daily_update' AS operation_type, status, CAST(1 AS BIGINT) AS runs
+FROM (SELECT 'OK' AS status UNION ALL SELECT 'ERROR') WHERE (SELECT count(*) FROM events) > 0
+"""
+
+ORACLES["q57_report_text"] = f"""
+WITH {_MINED},
+  per_text AS (SELECT text, CAST(sum(count) AS BIGINT) AS total FROM mined WHERE NOT known GROUP BY text)
+SELECT printf('total occurrences %d, distinct entries %d', CAST(sum(count) AS BIGINT), count(*)) AS line FROM new_entries
+UNION ALL SELECT printf('%s' || chr(9) || '%6d' || chr(9) || '%s', field, count, text) FROM new_entries
+UNION ALL SELECT printf('TOP' || chr(9) || '%6d' || chr(9) || '%s', total, text)
+FROM (SELECT * FROM per_text ORDER BY total DESC, text LIMIT 5)
+"""
+
+ORACLES["q58_dictionary_files"] = f"""
+WITH {_MINED} SELECT DISTINCT text AS cn, 'T:' || text AS ru FROM new_entries
+"""
+
+ORACLES["q59_preview"] = f"""
+SELECT p_partkey AS id, mark, year, 3 AS n_options, o1 || '|' || o2 || '|' || mark AS options
+FROM ({PARTS_FLAT}) ORDER BY p_partkey LIMIT 3
+"""
+
+ORACLES["q60_passthrough_images"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS inner_id, 'https://example.invalid/offer/' || p_partkey AS url,
+       CAST(NULL AS VARCHAR) AS vin, CAST(NULL AS VARCHAR) AS description, 'img/' || p_partkey || '.jpg' AS images
+FROM part
+"""
+
+ORACLES["q61_rejected"] = """
+SELECT CASE p_size % 6 WHEN 3 THEN 'validation' WHEN 4 THEN 'validation' WHEN 5 THEN 'accepted' ELSE 'quarantine' END AS stage,
+       CASE p_size % 6 WHEN 0 THEN 'payload_not_object' WHEN 1 THEN 'extra_type' WHEN 2 THEN 'option_type'
+                       WHEN 3 THEN 'year' WHEN 4 THEN 'price' ELSE '' END AS reason, count(*) AS n
+FROM part GROUP BY 1, 2
+"""
+
+ORACLES["q62_event_time"] = """
+SELECT o_orderkey, strftime(CASE o_orderkey % 4 WHEN 0 THEN o_orderdate - INTERVAL 3 HOUR
+       WHEN 3 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE o_orderdate END, '%Y-%m-%d %H:%M:%S') AS at
+FROM orders
+"""
+
+ORACLES["q63_pending_batch"] = """
+SELECT p_partkey AS id, CAST(p_partkey AS VARCHAR) AS inner_id FROM part WHERE p_partkey % 2 <> 0 ORDER BY p_partkey LIMIT 50
+"""
+
+ORACLES["q64_min_count"] = f"""
+WITH {_MINED} SELECT field, text, count FROM new_entries WHERE count >= 10
+"""
+
+ORACLES["q65_stream_day_stats"] = """
+SELECT CAST(ts AS DATE) AS day, count(*) FILTER (event_type = 'signup') AS added,
+       count(*) FILTER (event_type IN ('purchase', 'view')) AS changed,
+       count(*) FILTER (event_type = 'error') AS removed, count(*) AS events
+FROM events GROUP BY 1
+"""
+
+ORACLES["q66_daily_export"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS inner_id, p_brand AS mark, p_type AS model,
+       CAST(CAST(round(p_retailprice) AS INTEGER) AS VARCHAR) AS price
+FROM part
+"""
+
+ORACLES["q67_enrich_once_applied"] = f"""
+SELECT count(*) AS listings, CAST(0 AS BIGINT) AS with_han,
+       count(*) FILTER (regexp_matches(model, {HAN})) AS retranslated_models
+FROM ({PARTS_FLAT})
+"""
+
+ORACLES["q68_unvalidated_retranslate"] = f"""
+SELECT inner_id, {T("model", MINING_DICT)} AS model,
+       CASE WHEN regexp_matches(concat_ws('', mark, model, color, address, o1, o2), {HAN}) THEN 999999999 ELSE price END AS price
+FROM ({PARTS_FLAT})
+"""
+
+ORACLES["q69_range_check"] = f"""
+SELECT CASE WHEN year > 2019 THEN 'year' ELSE 'ok' END AS reason, count(*) AS n FROM ({PARTS_FLAT}) GROUP BY 1
+"""

@@ -17,9 +17,12 @@ H5 `stream_change_stats`: daily counters with a watermark on event time.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import ntz
 from ..operators.changes import apply_changes
 from ..schemas import RAW
 from ..sources.pages import BAD_PAGE_BUDGET, batch_records, stream_pages
@@ -93,7 +96,9 @@ def current_rows(spark: SparkSession, initial: DataFrame, out_path: str) -> Data
 def stream_change_stats(records: DataFrame, watermark: str = "2 days") -> DataFrame:
     """H5 (streaming form): events per type per day of event time; a day is
     final once the watermark passes it (append mode)."""
-    return (records.withWatermark("created_at", watermark)
+    # A watermark needs an instant: the UTC wall clock of the record, read as UTC.
+    instant = F.timestamp_micros(F.timestamp_diff("MICROSECOND", ntz(dt.datetime(1970, 1, 1)), F.col("created_at")))
+    return (records.withColumn("created_at", instant).withWatermark("created_at", watermark)
             .groupBy(F.window("created_at", "1 day").alias("day"))
             .agg(F.count_if(F.col("change_type") == "added").cast("bigint").alias("added"),
                  F.count_if(F.col("change_type") == "changed").cast("bigint").alias("changed"),

@@ -20,7 +20,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.QUERIES) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -29,7 +29,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     ok, msg = OC.compare(E.queries()[name](spark, SF), con.sql(E.oracle_sql()[name]))
     assert ok, msg
