@@ -70,6 +70,15 @@ def _ascii_digits(s: Column) -> Column:
     return F.translate(s, t["from"], t["to"])
 
 
+def _kept_digits(s: Column, also: str = "") -> Column:
+    """The digit characters of a text (and `also`).  Most texts are ASCII,
+    which their byte count shows; only others need the Unicode tables: decimal
+    digits to ASCII first, so the filter's character class stays small."""
+    t = _digit_tables()
+    return F.when(F.octet_length(s) == F.length(s), F.regexp_replace(s, f"[^0-9{also}]", "")).otherwise(
+        F.regexp_replace(_ascii_digits(s), f"[^{t['keep_ascii']}{also}]", ""))
+
+
 # ---------------------------------------------------------------------------
 # B0 payload parse and VARIANT helpers
 # ---------------------------------------------------------------------------
@@ -111,6 +120,19 @@ def with_fields(df, payload_col: str, fields: list[str]):
     return df.select("*", *[m[f].alias(f"v_{f}") for f in fields], *[vkind(m[f]).alias(f"k_{f}") for f in fields])
 
 
+def with_numbers(df, numbers: dict[str, str], data: str = "data", as_type: str = "int", new_keys: bool = False):
+    """Add `digits_int` columns (name -> payload field) of the JSON text `data`.
+
+    The payload is parsed in one projection and each field picked in the next;
+    both are read more than once above, so the optimizer keeps them apart and
+    parses a payload once.  With `new_keys` a `new_` prefix is dropped first."""
+    m = payload(data)
+    parsed = df.withColumn("_m", F.transform_keys(m, lambda k, v: F.regexp_replace(k, "^new_", "")) if new_keys else m)
+    picked = with_fields(parsed, "_m", list(numbers.values()))
+    made = {out: digits_int(F.col(f"v_{f}"), F.col(f"k_{f}")).try_cast(as_type) for out, f in numbers.items()}
+    return picked.withColumns(made).drop("_m", *[f"{p}_{f}" for f in numbers.values() for p in "vk"])
+
+
 def ntz(value) -> Column:
     """A wall-clock TIMESTAMP_NTZ literal (or the column as is).  Built from
     ISO text, so neither the Python process zone nor the session zone can
@@ -171,11 +193,8 @@ def digits_int(v: Column, k: Column | None = None) -> Column:
     NULL, a kept digit-only character such as '²' -> NULL (as int() fails),
     and an oversized number stays huge, so range validation rejects the row
     (the reference rejects, it does not null)."""
-    t = _digit_tables()
     k = vkind(v) if k is None else k
-    # Unicode decimal digits -> ASCII first (a cheap per-char map), so the
-    # filter's character class stays small.
-    digits = F.regexp_replace(_ascii_digits(vstr(v)), f"[^{t['keep_ascii']}]", "")
+    digits = _kept_digits(vstr(v))
     return (
         F.when(falsy(v, k), F.lit(None).cast("double"))
         .when(k == "string", digits.try_cast("double"))
@@ -188,9 +207,8 @@ def digits_int(v: Column, k: Column | None = None) -> Column:
 def digits_float(v: Column, k: Column | None = None) -> Column:
     """Displacement; digits and '.' kept; two dots or a lone dot -> NULL
     (the cast of such text fails)."""
-    t = _digit_tables()
     k = vkind(v) if k is None else k
-    kept = F.regexp_replace(_ascii_digits(vstr(v)), f"[^{t['keep_ascii']}.]", "")
+    kept = _kept_digits(vstr(v), ".")
     return (
         F.when(falsy(v, k), F.lit(None).cast("double"))
         .when(k == "string", kept.try_cast("double"))

@@ -71,13 +71,11 @@ def apply_changes(raw: DataFrame, changes: DataFrame, now, source: str = "daily_
     spark = changes.sparkSession
     ensure_runtime_confs(spark)
     now_c = _now(now)
-    ch = _with_order(changes)
+    # The payload of a change is parsed here, and only here.
+    ch = _with_order(changes).withColumn("m", F.when(F.col("change_type") == "changed", payload("data")))
+    ch = ch.withColumn("obj_ok", (F.col("change_type") != "changed") | F.col("m").isNotNull())
     keyed = ch.filter(_has_key(F.col("inner_id")))
-    rec = (
-        keyed.filter(F.col("change_type").isin(*RECOGNISED))
-        .withColumn("obj_ok", F.when(F.col("change_type") == "changed", payload("data").isNotNull())
-                    .otherwise(F.lit(True)))
-    )
+    rec = keyed.filter(F.col("change_type").isin(*RECOGNISED))
     ct = F.col("change_type")
     applied_change = (ct == "changed") & F.col("obj_ok")
     applied_cr = applied_change | (ct == "removed")
@@ -96,7 +94,7 @@ def apply_changes(raw: DataFrame, changes: DataFrame, now, source: str = "daily_
     # Field-wise last writer over applied `changed` payloads.
     fields = (
         rec.filter(applied_change)
-        .select("inner_id", "ord", F.posexplode(map_new_keys(payload("data"))).alias("p", "key", "value"))
+        .select("inner_id", "ord", F.posexplode(map_new_keys(F.col("m"))).alias("p", "key", "value"))
         .groupBy("inner_id", "key")
         .agg(
             F.max_by("value", F.struct("ord", "p")).alias("value"),
@@ -159,14 +157,14 @@ def apply_changes(raw: DataFrame, changes: DataFrame, now, source: str = "daily_
 
     # Per-event outcome: one join of the feed with the small per-key table.
     key_info = result.select("inner_id", "existed", "base_ord", "base_ok")
-    ev = ch.join(key_info, "inner_id", "left")
+    ev = ch.drop("m").join(key_info, "inner_id", "left")
     outcome = (
         F.when(~_has_key(F.col("inner_id")), F.lit("error"))
         .when(~F.col("change_type").isin(*RECOGNISED) | F.col("change_type").isNull(), F.lit("ignored"))
         .when(~F.col("existed") & (F.col("ord") == F.col("base_ord")), F.lit("loaded"))
         .when(F.col("change_type") == "added", F.lit("duplicate"))
         .when(F.col("change_type") == "removed", F.lit("removed"))
-        .when(payload("data").isNull() | ~F.col("base_ok"), F.lit("error"))
+        .when(~F.col("obj_ok") | ~F.col("base_ok"), F.lit("error"))
         .otherwise(F.lit("updated"))
     )
     events = ev.select("id", "pos", "inner_id", "change_type", "created_at", outcome.alias("outcome"))

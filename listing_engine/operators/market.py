@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import digits_int, payload, truthy_flag
+from ..functions.scalars import payload, truthy_flag, with_numbers
 
 # Width (in change ids) of the buckets of the two-level lag.
 LAG_BUCKET_WIDTH = 1_000_000
@@ -31,9 +31,16 @@ def price_stats(flat: DataFrame) -> DataFrame:
 def change_prices(changes: DataFrame) -> DataFrame:
     """Price observations of a change feed: `price` or `new_price` of each
     payload (the later key of the two wins, as in the merge)."""
-    m = F.transform_keys(payload("data"), lambda k, v: F.regexp_replace(k, "^new_", ""))
-    return changes.select("id", "inner_id", "change_type", "created_at",
-                          digits_int(m["price"]).try_cast("bigint").alias("price"))
+    return with_numbers(changes, {"price": "price"}, as_type="bigint", new_keys=True).select(
+        "id", "inner_id", "change_type", "created_at", "price")
+
+
+def observed_prices(changes: DataFrame) -> DataFrame:
+    """The changes that name a price.  Rows without one are dropped by an
+    explode, not by a filter: a filter would be pushed below the projections
+    and repeat the payload's parse in its condition."""
+    rows = change_prices(changes)
+    return rows.select(*rows.columns[:-1], F.explode(F.array_compact(F.array("price"))).alias("price"))
 
 
 def lag_within_key(df: DataFrame, key: str, order: str, value: str, out: str = "prev",
@@ -56,7 +63,7 @@ def lag_within_key(df: DataFrame, key: str, order: str, value: str, out: str = "
 def price_changes(changes: DataFrame, bucket_width: int = LAG_BUCKET_WIDTH) -> DataFrame:
     """Every price observation with the previous one of its listing and
     the difference."""
-    obs = change_prices(changes).filter(F.col("price").isNotNull())
+    obs = observed_prices(changes)
     j = lag_within_key(obs, "inner_id", "id", "price", "prev_price", bucket_width)
     return j.withColumn("delta", F.col("price") - F.col("prev_price"))
 
@@ -79,7 +86,7 @@ def exposure(changes: DataFrame) -> DataFrame:
 def price_trend(changes: DataFrame, days: int = 7) -> DataFrame:
     """Mean observed price per day and its moving mean over `days`
     days (the window runs over per-day rows only)."""
-    daily = change_prices(changes).filter(F.col("price").isNotNull()).groupBy(
+    daily = observed_prices(changes).groupBy(
         F.to_date("created_at").alias("day")).agg(F.avg("price").alias("avg_price"),
                                                     F.count(F.lit(1)).cast("bigint").alias("observations"))
     w = Window.orderBy("day").rowsBetween(-(days - 1), 0)

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.quality import reject_reason
-from ..functions.scalars import (digits_float, digits_int, falsy, flex_date_str, guarded_text, payload, vkind,
-                                 ntz, with_fields)
+from ..functions.scalars import (digits_float, digits_int, falsy, flex_date_str, guarded_text, ntz, payload,
+                                 with_fields, with_numbers)
 from ..operators import changes as C
 from ..operators import dictionary as D
 from ..operators import flat as FL
@@ -38,6 +38,12 @@ def _fold(spark: SparkSession, sf: str) -> C.ChangeResult:
     return C.apply_changes(A.snapshot_raw(spark, sf), A.change_feed(spark, sf), A.RUN_TIME)
 
 
+def raw_view(raw: DataFrame) -> DataFrame:
+    """The numbers of raw rows, with their status and type."""
+    return with_numbers(raw, {"price": "price", "km_age": "km_age"}).select(
+        "inner_id", "price", "km_age", "active_status", "change_type")
+
+
 def snapshot_flat(spark: SparkSession, sf: str) -> DataFrame:
     return normalise_rows(A.snapshot_raw(spark, sf), A.seed_dictionary(spark), CURRENT_YEAR).rows
 
@@ -62,14 +68,7 @@ def _mined(spark, sf):
 
 def q01_change_fold(spark: SparkSession, sf: str) -> DataFrame:
     """A2 + H1/D2 + B12 + B3: fold the event feed into the part snapshot."""
-    m = payload("data")
-    return _fold(spark, sf).table.select(
-        "inner_id",
-        digits_int(m["price"]).try_cast("int").alias("price"),
-        digits_int(m["km_age"]).try_cast("int").alias("km_age"),
-        "active_status",
-        "change_type",
-    )
+    return raw_view(_fold(spark, sf).table)
 
 
 def q02_change_stats(spark, sf):
@@ -157,11 +156,11 @@ def q07_truthiness(spark, sf):
          .when(case == 3, F.lit("[]")).when(case == 4, F.lit("{}")).otherwise(F.lit("0")))
     data = F.concat(F.lit('{"a":'), F.when(case == 5, F.regexp_replace(F.to_json(F.array("p_brand")), r"^\[|\]$", ""))
                     .otherwise(a), F.lit("}"))
-    m = payload(data)
-    v = m["a"]
-    return p.select(F.col("p_partkey").cast("string").alias("inner_id"),
-                    falsy(v).alias("is_falsy"), guarded_text(v).alias("as_text"),
-                    digits_int(v).cast("bigint").alias("as_int"), vkind(v).alias("kind"))
+    picked = with_fields(p.select("p_partkey", payload(data).alias("m")), "m", ["a"])
+    v, k = F.col("v_a"), F.col("k_a")
+    return picked.select(F.col("p_partkey").cast("string").alias("inner_id"),
+                         falsy(v, k).alias("is_falsy"), guarded_text(v, k).alias("as_text"),
+                         digits_int(v, k).try_cast("bigint").alias("as_int"), k.alias("kind"))
 
 
 def q08_validate(spark, sf):
@@ -428,10 +427,7 @@ def q37_stream_apply(spark, sf):
     store = ST.raw_store(spark, f"{root}/raw")
     store.replace(A.snapshot_raw(spark, sf))
     SA.stream_apply(spark, f"{root}/pages/*", store, f"{root}/checkpoint", A.RUN_TIME, multi_line=False)
-    m = payload("data")
-    return store.read().select(
-        "inner_id", digits_int(m["price"]).try_cast("int").alias("price"),
-        digits_int(m["km_age"]).try_cast("int").alias("km_age"), "active_status", "change_type")
+    return raw_view(store.read())
 
 
 def q38_stateful_apply(spark, sf):
@@ -443,10 +439,7 @@ def q38_stateful_apply(spark, sf):
     none = spark.createDataFrame([], RAW)
     SA.stream_row_updates(spark, f"{root}/pages/*", none, f"{root}/out", f"{root}/checkpoint", A.RUN_TIME,
                           multi_line=False)
-    m = payload("data")
-    return SA.current_rows(spark, none, f"{root}/out").select(
-        "inner_id", digits_int(m["price"]).try_cast("int").alias("price"),
-        digits_int(m["km_age"]).try_cast("int").alias("km_age"), "active_status", "change_type")
+    return raw_view(SA.current_rows(spark, none, f"{root}/out"))
 
 
 def code_point_translator(texts):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.quality import reject_reason
-from ..functions.scalars import digits_int, event_time, payload
+from ..functions.scalars import event_time
 from ..operators import flat as FL
 from ..operators import mining as MI
 from ..operators import serving as SV
@@ -24,7 +24,7 @@ from ..sources import stores as ST
 from ..streaming import apply as SA
 from . import adapters as A
 from . import jobs as J
-from .catalog import CURRENT_YEAR, _fold, _mined, _scratch, code_point_translator, mining_dictionary, mining_flat, snapshot_flat
+from .catalog import CURRENT_YEAR, _fold, _mined, _scratch, code_point_translator, mining_dictionary, mining_flat, raw_view, snapshot_flat
 
 # Damage of the landed feed: pages (of 20 change ids) whose text breaks off,
 # and records whose id is not a number.
@@ -44,12 +44,6 @@ def _damaged_feed(spark: SparkSession, sf: str, root: str) -> str:
     return f"{root}/pages"
 
 
-def _raw_view(raw: DataFrame) -> DataFrame:
-    m = payload("data")
-    return raw.select("inner_id", digits_int(m["price"]).try_cast("int").alias("price"),
-                      digits_int(m["km_age"]).try_cast("int").alias("km_age"), "active_status", "change_type")
-
-
 def q50_page_bad_records(spark, sf):
     """A2 + A6: what a read of the damaged feed keeps and what it sets aside."""
     path = _damaged_feed(spark, sf, _scratch(spark, "damaged"))
@@ -69,7 +63,7 @@ def q51_stream_bad_page(spark, sf):
     SA.stream_apply(spark, _damaged_feed(spark, sf, root), store, f"{root}/checkpoint", A.RUN_TIME,
                     multi_line=False, budget=NO_BUDGET)
     aside = spark.read.parquet(SA.bad_pages_path(store.path)).groupBy("kind").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    return _raw_view(store.read()).unionByName(aside.select(
+    return raw_view(store.read()).unionByName(aside.select(
         F.concat(F.lit("bad "), "kind").alias("inner_id"), F.lit(None).cast("int").alias("price"),
         F.lit(None).cast("int").alias("km_age"), F.col("n").alias("active_status"), F.lit("aside").alias("change_type")))
 
@@ -82,7 +76,7 @@ def q52_store_merge(spark, sf):
     touched = _fold(spark, sf).touched
     store.merge(touched, batch_id=0)
     store.merge(touched.withColumn("active_status", F.lit(9)), batch_id=0)
-    return _raw_view(store.read())
+    return raw_view(store.read())
 
 
 def q53_offer_pages(spark, sf):
