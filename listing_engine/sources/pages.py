@@ -60,7 +60,7 @@ def page_records(pages: DataFrame, page: T.StructType) -> DataFrame:
 
 
 def _texts(reader, path: str, multi_line: bool) -> DataFrame:
-    return reader.option("wholetext", multi_line).text(path)
+    return reader.text(path, wholetext=multi_line)
 
 
 def split_bad_pages(pages: DataFrame, budget: int = BAD_PAGE_BUDGET) -> tuple[DataFrame, int]:

@@ -50,81 +50,66 @@ def test_merge_golden_on_existing(spark):
 
 # --- differential ------------------------------------------------------------------
 
-def _py_fold(base, events):
-    """The sequential rules, one event at a time."""
-    rows = {k: dict(v) for k, v in base.items()}
-    stats = dict(loaded=0, updated=0, removed=0, duplicates=0, errors=0, ignored=0)
-    for i, k, t, d in sorted(events):
-        if not k:
-            stats["errors"] += 1
-            continue
-        if t not in ("added", "changed", "removed"):
-            stats["ignored"] += 1
-            continue
-        cur = rows.get(k)
-        if t == "added":
-            if cur:
-                stats["duplicates"] += 1
-            else:
-                rows[k] = dict(data=json.loads(d), status=0, ct=t, at=i)
-                stats["loaded"] += 1
-        elif t == "changed":
-            new = json.loads(d)
-            if cur is None:
-                rows[k] = dict(data=new, status=0, ct=t, at=i)
-                stats["loaded"] += 1
-            elif not isinstance(new, dict):
-                stats["errors"] += 1
-            else:
-                merged = dict(cur["data"])
-                for kk, vv in new.items():
-                    merged[kk[4:] if kk.startswith("new_") else kk] = vv
-                cur.update(data=merged, ct=t, at=i)
-                stats["updated"] += 1
-        else:
-            if cur is None:
-                rows[k] = dict(data={}, status=1, ct=t, at=i)
-                stats["loaded"] += 1
-            else:
-                cur.update(ct=t, status=1)
-                stats["removed"] += 1
+# What an event does, by its type and whether its key has a row.
+RULES = {
+    ("added", False): "insert", ("changed", False): "insert", ("removed", False): "insert inactive",
+    ("added", True): "duplicate", ("changed", True): "update", ("removed", True): "deactivate",
+}
+COUNTED = {"insert": "loaded", "insert inactive": "loaded", "duplicate": "duplicates", "deactivate": "removed"}
+
+
+def _updated(base, change):
+    """The base payload with the change laid over it, None if either can't be."""
+    if not isinstance(change, dict) or not isinstance(base or {}, dict):
+        return None
+    return (base or {}) | {k.removeprefix("new_"): v for k, v in change.items()}
+
+
+def _sequential(base, events):
+    """The rules, one event at a time: (rows, counters)."""
+    rows, stats = {k: dict(v) for k, v in base.items()}, dict.fromkeys(
+        ("loaded", "updated", "removed", "duplicates", "errors", "ignored"), 0)
+    for at, key, kind, text in sorted(events):
+        action = RULES.get((kind, key in rows), "ignore") if key else "keyless"
+        if action.startswith("insert"):
+            inactive = action.endswith("inactive")
+            rows[key] = dict(data={} if inactive else json.loads(text), status=int(inactive), ct=kind)
+        elif action == "deactivate":
+            rows[key].update(status=1, ct=kind)
+        elif action == "update":
+            merged = _updated(rows[key]["data"], json.loads(text))
+            if merged is not None:
+                rows[key].update(data=merged, ct=kind)
+            action = "updated" if merged is not None else "failed"
+        stats[COUNTED.get(action, {"updated": "updated", "ignore": "ignored"}.get(action, "errors"))] += 1
     return rows, stats
 
 
-def _random_case(rng, n_keys=6, n_events=40):
-    keys = [f"k{i}" for i in range(n_keys)] + [""]
-    base = {}
-    for k in keys[:3]:
-        base[k] = dict(data={"price": rng.randint(1, 9), "mark": "m"}, status=rng.choice([0, 1]), ct="added", at=-1)
-    events = []
-    for i in range(n_events):
-        k = rng.choice(keys)
-        t = rng.choice(["added", "changed", "changed", "removed", "other"])
-        payload = rng.choice([
-            {"price": rng.randint(1, 99)}, {"new_price": rng.randint(1, 99)}, {"km_age": rng.randint(1, 9)},
-            {"new_price": 1, "price": 2}, {"price": 3, "new_price": 4}, {"nested": {"a": rng.randint(1, 5)}},
-            {"x": None}, [1, 2],
-        ])
-        if t == "removed":
-            payload = {}
-        events.append((i, k, t, json.dumps(payload)))
-    return base, events
+BASES = [{"price": 3, "mark": "m"}, {"price": 5}, {}, [], None, "", 0, [1, 2], "text", 7]
+PAYLOADS = [{"price": 11}, {"new_price": 12}, {"km_age": 4}, {"new_price": 1, "price": 2}, {"price": 3, "new_price": 4},
+            {"nested": {"a": 5}}, {"x": None}, [1, 2], "text"]
 
 
 def test_closed_form_equals_sequential(spark):
+    """300 random feeds over their own keys, folded in one run: bases of every
+    JSON kind, rows without an id, keyless events, unknown types."""
     rng = random.Random(7)
-    for case in range(6):
-        base, events = _random_case(rng)
-        exp_rows, exp_stats = _py_fold(base, events)
-        raw = _raw(spark, [(100 + j, k, json.dumps(v["data"]), v["status"]) for j, (k, v) in enumerate(base.items())])
-        res = apply_changes(raw, _changes(spark, events), NOW)
-        got = {r.inner_id: r for r in res.table.collect()}
-        assert set(got) == set(exp_rows), case
-        for k, v in exp_rows.items():
-            assert json.loads(got[k].data) == v["data"], (case, k)
-            assert got[k].active_status == v["status"], (case, k)
-            assert got[k].change_type == v["ct"], (case, k)
-        assert res.stats.first().asDict() == exp_stats, case
+    base, events = {}, []
+    for case in range(300):
+        keys = [f"{case}-{i}" for i in range(4)]
+        for k in keys[:2]:
+            base[k] = dict(data=rng.choice(BASES), status=rng.choice([0, 1]), ct="added")
+        for _ in range(14):
+            kind = rng.choice(["added", "changed", "changed", "removed", "other"])
+            events.append((len(events), rng.choice([*keys, ""]), kind, json.dumps({} if kind == "removed" else rng.choice(PAYLOADS))))
+    rows, stats = _sequential(base, events)
+    raw = _raw(spark, [(None if j % 5 == 0 else 100 + j, k, json.dumps(v["data"]), v["status"]) for j, (k, v) in enumerate(base.items())])
+    res = apply_changes(raw, _changes(spark, events), NOW)
+    got = {r.inner_id: r for r in res.table.collect()}
+    assert set(got) == set(rows)
+    for k, v in rows.items():
+        assert (json.loads(got[k].data), got[k].active_status, got[k].change_type) == (v["data"], v["status"], v["ct"]), k
+    assert res.stats.first().asDict() == stats
 
 
 def test_insert_new_first_wins(spark):

@@ -55,3 +55,36 @@ def test_normalise_goldens(spark):
     assert str(r0.first_registration) == "2019-02-01"
     assert rows["k4"].configuration is None
     assert (rows["k5"].price, rows["k5"].year) == (0, 0)
+
+
+def test_each_text_is_translated_once(spark, tmp_path):
+    """The hook appends every text it is given to a file of its own task."""
+    import pandas as pd
+    from listing_engine.plans import jobs as J
+    calls = str(tmp_path)
+
+    def hook(texts: pd.Series) -> pd.Series:
+        import uuid
+        with open(f"{calls}/{uuid.uuid4().hex}", "w", encoding="utf-8") as f:
+            f.write("\n".join(texts))
+        return texts.map(lambda t: "T" + t if t != "坏" else 1 / 0)
+
+    mined = spark.createDataFrame([("mark", "红", 3), ("color", "红", 1), ("mark", "蓝", 1), ("address", "坏", 1)], "field string, text string, count long")
+    entries, counts = J.translate_texts(mined, hook)
+    assert entries.count() == 4
+    row = counts.first()
+    assert row.translated + row.skipped + row.error == 4
+    seen = [t for f in tmp_path.iterdir() for t in f.read_text(encoding="utf-8").split("\n")]
+    assert seen.count("红") <= 2 and {r.text: r.translation for r in entries.collect()}["坏"] == "坏"
+
+
+def test_a_failing_step_does_not_end_the_loop(spark):
+    from listing_engine.plans import adapters as A, catalog as C, jobs as J
+    import listing_engine.schemas as SC
+    raw = A.snapshot_raw(spark, "/root/testdata/sf0.001")
+
+    def broken(texts):
+        raise SystemError("no service")
+
+    res = J.enrich(raw, spark.createDataFrame([], SC.FLAT), A.seed_dictionary(spark), broken, A.RUN_TIME, C.CURRENT_YEAR, max_iterations=1)
+    assert not res.converged and len(res.rounds) == 1

@@ -72,6 +72,57 @@ def test_bucketed_store_merge_and_lookup(spark):
     assert store.lookup("1").first().active_status == 1
 
 
+def test_bad_pages_and_bad_records_are_set_aside(spark):
+    d = tempfile.mkdtemp(prefix="bad-", dir="/tmp")
+    meta = {"cur_change_id": 1, "next_change_id": 9, "limit": 2}
+    good = {"id": 1, "inner_id": "a", "change_type": "added", "created_at": "2025-01-01T00:00:00Z", "data": {"p": 1}}
+    _write(d, "a.json", {"result": [good, {**good, "id": "x"}], "meta": meta})
+    _write(d, "b.json", {"result": "oops", "meta": meta})
+    _write(d, "c.json", "{broken")
+    _write(d, "d.json", {"result": [], "meta": None})
+    recs, bad = PG.read_change_pages(spark, d, NOW)
+    assert bad == 3 and [r.id for r in recs.collect()] == [1]
+    kinds = sorted(r.kind for r in PG.read_bad_records(spark, d).collect())
+    assert kinds == ["page", "page", "page", "record"]
+    with pytest.raises(PG.BadPageBudgetExceeded):
+        PG.read_change_pages(spark, d, NOW, budget=2)
+
+
+def test_store_errors_are_not_an_empty_table(spark):
+    root = tempfile.mkdtemp(prefix="store-", dir="/tmp")
+    store = ST.raw_store(spark, f"{root}/raw", buckets=2)
+    base = snapshot_raw(spark, "/root/testdata/sf0.001").limit(20)
+    assert not store.exists() and store.read().count() == 0
+    store.replace(base)
+    for data in [os.path.join(p, f) for p, _, files in os.walk(f"{root}/raw/data") for f in files if f.endswith(".parquet")]:
+        with open(data, "wb") as f:
+            f.write(b"not a parquet file")
+    with pytest.raises(Exception):
+        store.merge(base.limit(1).withColumn("inner_id", F.lit("new")))
+    assert ST.raw_store(spark, f"{root}/raw").last_batch() == -1
+
+
+def test_store_commit_is_the_switch(spark):
+    root = tempfile.mkdtemp(prefix="store-", dir="/tmp")
+    store = ST.raw_store(spark, f"{root}/raw", buckets=4)
+    base = snapshot_raw(spark, "/root/testdata/sf0.001")
+    store.replace(base, batch_id=0)
+    before = store.read()
+    # A crash after the data and before the commit: a folder that nothing names.
+    store._write(store._with_bucket(base.withColumn("active_status", F.lit(7)), 4))
+    assert store.read().where("active_status = 7").count() == 0
+    changed = base.where("id < 3").withColumn("active_status", F.lit(1))
+    store.merge(changed, batch_id=1)
+    store.merge(changed.withColumn("active_status", F.lit(5)), batch_id=1)
+    assert store.last_batch() == 1 and store.read().where("active_status = 1").count() == 3
+    assert before.where("active_status = 1").count() == 0  # an older read still has its files
+    store.merge(base.limit(0), batch_id=2)
+    assert store.last_batch() == 2 and store.read().count() == base.count()
+    assert store.vacuum() >= 1 and store.read().count() == base.count()
+    store.replace(base.limit(5))
+    assert store.read().count() == 5 and store.lookup("1").count() <= 1
+
+
 def test_sync_state_and_journal(spark):
     root = tempfile.mkdtemp(prefix="state-", dir="/tmp")
     assert ST.read_sync_state(spark, f"{root}/s").count() == 0
