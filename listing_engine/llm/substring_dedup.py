@@ -12,7 +12,7 @@ word sequence also starts in a document with a smaller doc_id goes.
    cell is at least as full as the number of documents that have the seed, so
    the merged sketch overestimates in how many documents a window occurs.
 2. Exact.  Windows whose seed is estimated to be in two documents or more are
-   grouped by their own hash together with the seed (128 bits), with the
+   grouped by their own hash together with the seed (128 bits) into the
    smallest doc_id of each; a window of a larger doc_id is repeated.  What the
    sketch rules out occurs in one document only, so nothing is lost.
 3. Rebuild.  The repeated starts of each document meet its text.
@@ -22,7 +22,8 @@ bytes up to `max_sketch_bits` a row, which bounds what is collected and
 broadcast (2 x 64 MB by default).  Beyond that size the filter lets more
 windows through to the exact step; the result is the same.  A window that a
 third of all documents share is reduced to its smallest doc_id before the
-shuffle, and the join with it is one that adaptive execution can split.
+shuffle.  The join that takes this back to the occurrences streams those of one
+window through one partition, as narrow rows that are never held together.
 
 Defined results: NULL text has no words; NULL doc_id counts as larger than any
 other; rows of equal doc_id don't remove from each other; texts of fewer than
@@ -36,7 +37,7 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .shingles import byte_tables, window_hashes, word_hashes
 
@@ -47,6 +48,8 @@ CELLS_PER_SEED = 4
 MAX_SKETCH_BITS = 1 << 29
 FLUSH = 1 << 20
 LAST_ID = (1 << 63) - 1
+TIE_BITS = 31
+TIE_MASK = (1 << TIE_BITS) - 1
 
 
 def seeds(words, window: int, seed: int):
@@ -145,7 +148,11 @@ def sketch_bits(rows: DataFrame, max_bits: int) -> int:
 
 
 def estimated_repeated(rows: DataFrame, window: int, seed: int, max_sketch_bits: int) -> DataFrame:
-    """doc, tie, place, hash and seed of every window that the sketch doesn't rule out."""
+    """doc, at, hash and seed of every window that the sketch doesn't rule out.
+
+    `at` has the window's place and, below it, TIE_BITS of the text's hash,
+    which tell rows of one doc_id apart: these rows are the bulk of what is
+    shuffled, so they are kept narrow."""
     bits = sketch_bits(rows, max_sketch_bits // 2)
     merged = rows.sparkSession.sparkContext.broadcast(sketch(rows, bits, window, seed))
 
@@ -155,7 +162,7 @@ def estimated_repeated(rows: DataFrame, window: int, seed: int, max_sketch_bits:
 
         tables = byte_tables()
         filled = [np.frombuffer(x, dtype=np.uint8) for x in merged.value]
-        names = ["doc", "tie", "place", "hash", "seed"]
+        names = ["doc", "at", "hash", "seed"]
 
         def many(row, at):
             return (filled[row][at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
@@ -169,8 +176,8 @@ def estimated_repeated(rows: DataFrame, window: int, seed: int, max_sketch_bits:
                 place = np.flatnonzero(many(0, first) & many(1, second))
                 if not len(place):
                     continue
-                held.append((np.full(len(place), doc.as_py(), dtype=np.int64), np.full(len(place), tie.as_py(), dtype=np.int64),
-                             place.astype(np.int32), window_hashes(words, window)[place].view(np.int64), of[place].view(np.int64)))
+                held.append((np.full(len(place), doc.as_py(), dtype=np.int64), place << TIE_BITS | (tie.as_py() & TIE_MASK),
+                             window_hashes(words, window)[place].view(np.int64), of[place].view(np.int64)))
                 n += len(place)
                 if n >= FLUSH // 8:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names)
@@ -178,16 +185,20 @@ def estimated_repeated(rows: DataFrame, window: int, seed: int, max_sketch_bits:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names)
 
-    return rows.mapInArrow(run, "doc long, tie long, place int, hash long, seed long")
+    return rows.mapInArrow(run, "doc long, at long, hash long, seed long")
 
 
 def repeated_starts(rows: DataFrame, window: int = WINDOW, seed: int = SEED, max_sketch_bits: int = MAX_SKETCH_BITS) -> DataFrame:
-    """doc, tie and `starts`, the places of its windows that start in a smaller doc."""
+    """doc, mark (the low bits of tie) and `starts`, the places of its windows that start in a smaller doc."""
     windows = estimated_repeated(rows, window, seed, max_sketch_bits)
-    shared = (windows.groupBy("hash", "seed").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-              .where("least < most").drop("most"))
-    return (windows.join(shared, ["hash", "seed"]).where("doc > least")
-            .groupBy("doc", "tie").agg(F.collect_set("place").alias("starts")))
+    first = windows.groupBy("hash", "seed").agg(F.min("doc").alias("least"))
+    mark, place = F.col("at").bitwiseAND(F.lit(TIE_MASK)), F.shiftright("at", TIE_BITS).cast("int")
+    return (windows.join(first, ["hash", "seed"]).where("doc > least")
+            .groupBy("doc", mark.alias("mark")).agg(F.collect_set(place).alias("starts")))
+
+
+def mark_of(tie: Column) -> Column:
+    return tie.bitwiseAND(F.lit(TIE_MASK))
 
 
 def without(raw: bytes, starts, window: int) -> tuple[list[bytes], list[bytes]]:
@@ -222,7 +233,8 @@ def kept(docs: DataFrame, window: int = WINDOW, seed: int = SEED, max_sketch_bit
                     out.append((doc.as_py(), len(words), len(words) - len(stay), b" ".join(stay).decode()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    joined = rows.join(starts, ["doc", "tie"], "left").select("doc", "raw", "starts")
+    marked = rows.select("doc", mark_of(F.col("tie")).alias("mark"), "raw")
+    joined = marked.join(starts, ["doc", "mark"], "left").select("doc", "raw", "starts")
     return (joined.mapInArrow(run, "doc long, n_words long, n_removed long, kept string")
             .select(F.nullif("doc", F.lit(LAST_ID)).alias("doc_id"), "n_words", "n_removed", "kept"))
 
@@ -234,7 +246,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED, max_sketch_bi
     that stay are joined by one space.
     """
     starts = (repeated_starts(keyed(docs), window, seed, max_sketch_bits)
-              .select(F.col("doc").alias("__s_doc"), F.col("tie").alias("__s_tie"), F.col("starts").alias("__starts")))
+              .select(F.col("doc").alias("__s_doc"), F.col("mark").alias("__s_mark"), F.col("starts").alias("__starts")))
     text = F.coalesce("text", F.lit(""))
 
     @F.pandas_udf("string")
@@ -242,8 +254,8 @@ def dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED, max_sketch_bi
         return pd.Series([b" ".join(without(r, a, window)[1]).decode() if a is not None else None for r, a in zip(raw, at)],
                          dtype=object)
 
-    marked = docs.withColumns({"__doc": F.coalesce(F.col("doc_id"), F.lit(LAST_ID)), "__tie": F.xxhash64(text)})
-    joined = marked.join(starts, (F.col("__doc") == F.col("__s_doc")) & (F.col("__tie") == F.col("__s_tie")), "left")
+    marked = docs.withColumns({"__doc": F.coalesce(F.col("doc_id"), F.lit(LAST_ID)), "__mark": mark_of(F.xxhash64(text))})
+    joined = marked.join(starts, (F.col("__doc") == F.col("__s_doc")) & (F.col("__mark") == F.col("__s_mark")), "left")
     left = joined.withColumn("__left", remaining(text.cast("binary"), "__starts"))
     return (left.where("__starts is null or __left <> ''")
             .select(*[F.when(F.col("__starts").isNull(), F.col("text")).otherwise(F.col("__left")).alias(c) if c == "text" else F.col(c)
