@@ -37,6 +37,7 @@ from ..session import cut_lineage
 from .common import let, words
 
 LEAST_WEIGHT = 0.05
+MOST_BROADCAST = 100_000  # sources, of some 100 bytes each
 SALT = "mix"
 
 
@@ -123,8 +124,12 @@ def order_key() -> Column:
 
 
 def with_bucket(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """`targets` has a row per source and is read from a checkpoint, so that
+    counting it is cheap: up to MOST_BROADCAST rows it is broadcast, and rows
+    that may carry whole texts aren't shuffled by a hot source."""
     n = F.ceil(F.sqrt("n_rows"))
-    return (rows.join(targets, F.col("source").eqNullSafe(F.col("t_source")))
+    small = targets.count() <= MOST_BROADCAST
+    return (rows.join(F.broadcast(targets) if small else targets, F.col("source").eqNullSafe(F.col("t_source")))
             .withColumn("bucket", F.least(n - 1, F.floor((1 - F.exp(-F.col("key"))) * n))))
 
 
