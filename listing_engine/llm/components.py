@@ -13,6 +13,16 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import cut_lineage
 
 
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """`edges` with the `m` of their `u`.
+
+    The join has a second key, so that it doesn't run in the partitions of the
+    aggregation but in a shuffle of its own, which adaptive execution can
+    split where a node has very many edges."""
+    hashed = F.xxhash64("u").alias("h")
+    return edges.select("u", "v", hashed).join(least.select("u", "m", hashed), ["u", "h"])
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of `edges` (a, b) that is not its component's smallest.
 
@@ -27,7 +37,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         before = now
         both = stars.union(stars.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _with_least(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _with_least(large, least).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = cut_lineage(small.union(least.select("u", "m")).distinct())
