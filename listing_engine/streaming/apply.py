@@ -6,6 +6,10 @@ bucket-level merge.  The merge's commit holds the batch id, so a batch that is
 replayed after a crash is either not committed or skipped.  Bad pages go to a
 table of their own, and too many of them stop the query.
 
+Files may come in any order and be dealt to batches in any way: each batch's
+events are kept in a log (`fold_batch_events`), and a key with an event that
+comes after a later one was folded is folded anew from all its events.
+
 H3 `stream_row_updates`: the updated row of every touched key per micro-batch,
 as an append-only log next to the initial rows.  The current row of a key, the
 state, is its last one in the log; the fold of a batch reads the rows of the
@@ -21,10 +25,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import ntz
 from ..operators.changes import apply_changes
 from ..schemas import RAW
+from ..session import cut_lineage
 from ..sources.pages import BAD_PAGE_BUDGET, batch_records, stream_pages
 from ..sources.stores import BucketedStore, path_exists
 
@@ -42,16 +48,70 @@ def bad_pages_path(base: str) -> str:
     return f"{base.rstrip('/')}__bad_pages"
 
 
+def events_path(base: str) -> str:
+    return f"{base.rstrip('/')}__events"
+
+
+def rows_before_path(base: str) -> str:
+    return f"{base.rstrip('/')}__rows_before"
+
+
+def _logged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A log with a folder per batch, with `batch_id`."""
+    return spark.read.schema(T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])).parquet(path)
+
+
+def fold_batch_events(spark: SparkSession, records: DataFrame, current: DataFrame, started, log: str,
+                      batch_id: int, now) -> DataFrame:
+    """The updated rows of the keys of a batch's `records`.
+
+    The records are first written to `log`, a folder per batch that a replay
+    writes again in place.  A key whose events all follow those folded before
+    goes on from its `current` row.  A key with a late event (files of one
+    landing are in no order, and a batch may end between any two of them) is
+    folded from the row it had before its first batch and all its events, so
+    its row doesn't depend on how the files were dealt to batches; what other
+    jobs wrote to such a row in between is not in it.
+
+    `started(old, new)` gives the rows before the first batch, from the
+    events of the earlier batches and of this one."""
+    records.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+    events = _logged(spark, log, records.schema)
+    new = events.where(F.col("batch_id") == batch_id).drop("batch_id")
+    old = events.where(F.col("batch_id") < batch_id).drop("batch_id")
+    first_rows = started(old, new)
+    at = F.struct("id", "pos")
+    begins = new.groupBy("inner_id").agg(F.min(at).alias("begin"))
+    ends = old.join(begins.select("inner_id"), "inner_id", "left_semi").groupBy("inner_id").agg(F.max(at).alias("end"))
+    late = cut_lineage(begins.join(ends, "inner_id").where(F.col("begin") <= F.col("end")).select("inner_id"))
+    if not late.isEmpty():
+        current = (current.join(new.select("inner_id").distinct(), "inner_id", "left_semi").join(late, "inner_id", "left_anti")
+                   .unionByName(first_rows.join(late, "inner_id", "left_semi")))
+        new = new.unionByName(old.join(late, "inner_id", "left_semi"))
+    return apply_changes(current, new, now).touched
+
+
 def stream_apply(spark: SparkSession, pages_path: str, store: BucketedStore, checkpoint: str, now,
                  max_files: int = 100, multi_line: bool = True, available_now: bool = True,
                  budget: int = BAD_PAGE_BUDGET):
     """H2 (+ A3, A6, H4): drain the landed change pages into the raw store.
     Returns the finished (or running) StreamingQuery."""
+    columns = [f.name for f in RAW.fields]
+    before = rows_before_path(store.path)
+
     def fold_batch(pages: DataFrame, batch_id: int) -> None:
         if batch_id <= store.last_batch():
             return  # replay of a committed batch
         records = batch_records(pages, now, bad_pages_path(store.path), batch_id, budget)
-        store.merge(apply_changes(store.read(), records, now).touched, batch_id)
+        current = store.read()
+
+        def started(old: DataFrame, new: DataFrame) -> DataFrame:
+            """The store's rows as they were when a key's first event came."""
+            fresh = new.select("inner_id").distinct().join(old.select("inner_id"), "inner_id", "left_anti")
+            current.select(*columns).join(fresh, "inner_id", "left_semi").write.mode("overwrite").parquet(f"{before}/batch_id={batch_id}")
+            return _logged(spark, before, RAW).where(F.col("batch_id") <= batch_id).select(*columns)
+
+        store.merge(fold_batch_events(spark, records, current, started, events_path(store.path), batch_id, now), batch_id)
 
     return _drain(stream_pages(spark, pages_path, max_files, multi_line), fold_batch, checkpoint, available_now)
 
@@ -83,7 +143,9 @@ def stream_row_updates(spark: SparkSession, pages_path: str, initial: DataFrame,
         before = _rows_before(spark, initial, out_path, batch_id)
         keys = records.select("inner_id").distinct()
         state = latest_rows(before.join(keys, "inner_id", "left_semi"))
-        apply_changes(state, records, now).touched.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        touched = fold_batch_events(spark, records, state, lambda old, new: initial.select(*[f.name for f in RAW.fields]),
+                                    events_path(out_path), batch_id, now)
+        touched.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     return _drain(stream_pages(spark, pages_path, max_files, multi_line), fold_batch, checkpoint, available_now)
 
