@@ -23,9 +23,10 @@ exactly when its cap is at most its weight's share of what the capped ones
 before it leave.
 
 Defined results: NULL text has size 0 and is taken 0 words; NULL doc_id and
-NULL source are values of their own; rows of equal doc_id, source and size
-are taken or left together; equal keys go by doc_id, then by size; a source
-without words has target 0; an empty table gives an empty table; other columns
+NULL source are values of their own; equal keys go by doc_id, then by size;
+rows of equal key, doc_id, source and size are one unit, and of the unit on
+which a budget ends as many rows are taken as come nearest to it (which ones
+is open); a source without words has target 0; an empty table gives an empty table; other columns
 pass through `apply` untouched and are ignored elsewhere.
 """
 
@@ -95,7 +96,8 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), mos
 
 def cutoffs(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """Per source its targets and where its sample ends: all of the buckets
-    before `edge`, and in that bucket the keys up to `last` (none if NULL)."""
+    before `edge`, and in that bucket the units up to `last` (none if NULL),
+    of which the unit `last` itself gives `quota` of its `members` rows."""
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
     targets = cut_lineage(source_targets(sources, weights, most)).withColumnRenamed("source", "t_source")
     bucketed = with_bucket(rows, targets)
@@ -106,17 +108,21 @@ def cutoffs(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3
              .agg(F.min_by(F.struct("bucket", (F.col("end") - F.col("n")).alias("offset")), "bucket").alias("e"))
              .select(F.col("t_source").alias("e_source"), F.col("e.bucket").alias("edge"), "e.offset"))
     units = (bucketed.join(edges, F.col("t_source").eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("edge")))
-             .groupBy("t_source", "offset", "rest", order_key().alias("at")).agg(F.sum("size").alias("n")))
+             .groupBy("t_source", "offset", "rest", order_key().alias("at"))
+             .agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("members")))
     before = Window.partitionBy("t_source").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("offset") + F.coalesce(F.sum("n").over(before), F.lit(0))
-    # The document on the edge is in when that leaves the sum nearer to the rest.
-    last = (units.withColumn("start", start).where("start + n / 2.0D < rest")
-            .groupBy("t_source").agg(F.max("at").alias("last"))
-            .withColumnRenamed("t_source", "l_source"))
+    # A row on the edge is in when that leaves the sum nearer to the rest: the
+    # i-th of a unit, from 0, if start + (i + 1/2) * size is below it.
+    quota = F.least("members", F.ceil((F.col("rest") - F.col("start")) / F.nullif(F.col("at.size"), F.lit(0)) - 0.5))
+    last = (units.withColumn("start", start).where("start + at.size / 2.0D < rest")
+            .withColumn("quota", F.greatest(F.lit(1), quota))
+            .groupBy("t_source").agg(F.max_by(F.struct("at", "quota", "members"), "at").alias("l"))
+            .select(F.col("t_source").alias("l_source"), F.col("l.at").alias("last"), "l.quota", "l.members"))
     return cut_lineage(
         targets.join(edges, F.col("t_source").eqNullSafe(F.col("e_source")), "left")
         .join(last, F.col("t_source").eqNullSafe(F.col("l_source")), "left")
-        .select("t_source", "source_size", "n_rows", "target", "epochs", "rest", "edge", "last"))
+        .select("t_source", "source_size", "n_rows", "target", "epochs", "rest", "edge", "last", "quota", "members"))
 
 
 def order_key() -> Column:
@@ -135,9 +141,32 @@ def with_bucket(rows: DataFrame, targets: DataFrame) -> DataFrame:
 
 def with_copies(rows: DataFrame, ends: DataFrame) -> DataFrame:
     """`rows` with source_size, target and `copies`, the times the mix takes each."""
-    chosen = (F.col("bucket") < F.col("edge")) | (
-        (F.col("bucket") == F.col("edge")) & F.coalesce(order_key() <= F.col("last"), F.lit(False)))
-    return with_bucket(rows, ends).withColumn("copies", F.col("epochs") + F.coalesce(chosen, F.lit(False)).cast("long"))
+    at_edge = F.col("bucket") == F.col("edge")
+    chosen = F.coalesce((F.col("bucket") < F.col("edge")) | (at_edge & (order_key() <= F.col("last"))), F.lit(False))
+    with_ends = with_bucket(rows, ends)
+    copied = lambda df, c: df.withColumn("copies", F.col("epochs") + c.cast("long"))
+    if ends.where("quota < members").isEmpty():
+        return copied(with_ends, chosen)
+    split = F.coalesce(at_edge & (order_key() == F.col("last")) & (F.col("quota") < F.col("members")), F.lit(False))
+    return copied(with_ends.where(~split), chosen).unionByName(
+        copied(ranked(with_ends.where(split)), F.col("rank") < F.col("quota")).drop("slice", "rank"))
+
+
+def ranked(members: DataFrame) -> DataFrame:
+    """The rows of each source's split unit with `rank` from 0.
+
+    A unit may be a third of a table, and its rows can't be told apart: they
+    are kept once, with a number each, and dealt by it to about sqrt(members)
+    slices; a rank is the rows of the slices before plus the rank in its own."""
+    slices = F.ceil(F.sqrt("members")).cast("long")
+    kept = cut_lineage(members.withColumn("row", F.monotonically_increasing_id()).withColumn("slice", F.pmod(F.xxhash64("row"), slices)))
+    before = Window.partitionBy("c_source").orderBy("c_slice").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (kept.groupBy(F.col("t_source").alias("c_source"), F.col("slice").alias("c_slice")).agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
+    within = Window.partitionBy("t_source", "slice").orderBy("row")
+    return (kept.withColumn("within", F.row_number().over(within) - 1)
+            .join(cells, F.col("t_source").eqNullSafe(F.col("c_source")) & (F.col("slice") == F.col("c_slice")))
+            .withColumn("rank", F.col("offset") + F.col("within")).drop("row", "within", "offset", "c_source", "c_slice"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -152,7 +181,8 @@ def apply(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3)
     """The mixed corpus: every row of `docs` as often as the mix takes it.
 
     Whether a row is in depends on its own key and its source's end, so the
-    texts are read twice and never shuffled.
+    texts are read twice and never shuffled; only the rows of a unit that is
+    taken in part are read once more and dealt out.
     """
     rows = cut_lineage(sized(docs))
     whole = F.struct(*[docs[c] for c in docs.columns])

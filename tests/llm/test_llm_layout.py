@@ -111,6 +111,19 @@ def test_better_documents_come_first(spark):
     assert sum(r.doc_id % 2 for r in taken) > 0.6 * len(taken)
 
 
+def test_a_unit_on_the_edge_is_split(spark):
+    rows = [(None, "one two three four", "en", "a")] * 40 + [(1, "w " * 400, "en", "b"), (2, "x y", "en", "b")]
+    frame = odd_documents(spark, rows)
+    taken = Counter()
+    for r in mixing.mix(frame).collect():
+        taken[r.source] += r.taken
+        if r.source == "a":
+            target, size = r.target, r.size
+    # 40 equal rows without an id, whose target is no multiple of them all.
+    assert target % 160 and abs(taken["a"] - target) <= size / 2 + 1e-6
+    assert 4 * sum(r.source == "a" for r in mixing.apply(frame).collect()) == taken["a"]
+
+
 # --- chat
 
 def test_every_participant_gets_the_whole_dialogue(spark):
