@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
-from . import bpe, chat, language, license_scan, lz_fingerprint, mixing, ngram_join, quality_rules, sharding, substring_dedup
+from . import bpe, chat, language, license_scan, lz_fingerprint, mixing, ngram_join, quality_rules, sharding, substring_dedup, token_align
 from .common import documents
 from .oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 
@@ -62,5 +62,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+
+    return token_align.digests(token_align.align(documents(spark, sf_dir), public.path("byte_bpe_50k.json"),
+                                                 public.path("piece_bpe_32k.model")))
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_lz_fingerprint, op3_source_mix, op4_rank_order_language, op5_perspective_rotation, op6_license_scan, op7_ring_shards, op8_decision_list, op9_byte_bpe,
-                                 op10_substring_dedup)}
+                                 op10_substring_dedup, op11_token_alignment)}
