@@ -114,3 +114,40 @@ WITH RECURSIVE w AS (
 SELECT doc_id, class_id, min(doc_id) OVER (PARTITION BY set_id) AS copy_id, coalesce(n_links, 0)::BIGINT AS n_links
 FROM sets JOIN classes USING (doc_id) LEFT JOIN degree USING (doc_id)
 """
+
+# All phrases of 1 to 3 words counted, cut at every place.
+ORACLES["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), grams AS (
+  SELECT lang, 1 AS len, unnest(words) AS gram FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(words)), lambda i: array_to_string(words[i:i + 1], ' '))) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))) FROM w
+), f AS (SELECT lang, len, gram, count(*) AS n FROM grams GROUP BY ALL
+), sizes AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE len = 1 GROUP BY lang
+), c AS (SELECT lang, len, gram, string_split(gram, ' ') AS words, n AS a FROM f WHERE len > 1 AND n >= 10
+), cuts AS (
+  SELECT *, unnest(range(1, len)) AS k FROM c
+), parts AS (
+  SELECT cuts.lang, cuts.gram, cuts.len, a, k, x.n AS l, y.n AS r,
+         ((1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.gram = array_to_string(words[1:k], ' ')
+            JOIN f y ON y.lang = cuts.lang AND y.gram = array_to_string(words[k + 1:], ' ')
+), low AS (
+  SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, array_to_string(words[1:2], ' ') AS gram, a FROM c WHERE len = 3
+  UNION ALL SELECT lang, array_to_string(words[2:3], ' '), a FROM c WHERE len = 3
+), kept AS (
+  SELECT * FROM low WHERE NOT EXISTS (
+    SELECT 1 FROM longer WHERE longer.lang = low.lang AND longer.gram = low.gram AND low.len = 2 AND 100 * longer.a >= 50 * low.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(gram)) AS rank FROM kept
+)
+SELECT lang, rank::BIGINT AS rank, gram AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, sizes.n AS n, score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
-from . import bpe, chat, language, license_scan, lz_fingerprint, mixing, ngram_join, quality_rules, sharding, substring_dedup, token_align
+from . import bpe, chat, collocations, language, license_scan, lz_fingerprint, mixing, ngram_join, quality_rules, sharding, substring_dedup, token_align
 from .common import documents
 from .oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 
@@ -69,5 +69,9 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  public.path("piece_bpe_32k.model")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir), max_words=3, min_count=10, contained_percent=50, top=2000)
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_lz_fingerprint, op3_source_mix, op4_rank_order_language, op5_perspective_rotation, op6_license_scan, op7_ring_shards, op8_decision_list, op9_byte_bpe,
-                                 op10_substring_dedup, op11_token_alignment)}
+                                 op10_substring_dedup, op11_token_alignment, op12_collocations)}

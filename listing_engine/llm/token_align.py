@@ -19,8 +19,8 @@ tokens are linked.  A pair of ids counts as many times as the corpus links it.
 A text is aligned in pieces that no token of either tokenizer crosses: a piece
 begins at white space after another character.  That is safe for A because its
 pattern starts a match there, and for B if no entry of its vocabulary has
-white space behind another character, which is checked; otherwise, or where
-a text has white space beyond ASCII, it is aligned whole.  Pieces repeat, so a
+that white space behind another character, which is checked; a text with other
+white space (beyond ASCII, or \\r where B has tokens like `;\\r`) is aligned whole.  Pieces repeat, so a
 task remembers the alignment of up to MEMO of them.
 
 Defined results: texts that are NULL, empty, or that the tokens of either side
@@ -39,16 +39,21 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..session import cut_lineage
 from .perfect_hash import MinimalPerfectHash
 
-MEMO = 100_000       # pieces a task remembers
+MEMO = 250_000       # pieces a task remembers
 LONG_PIECE = 256     # characters beyond which a piece is not remembered
-BATCH_CHARS = 1 << 21  # of text aligned at a time, and of groups given back
+HELD_CHARS = 1 << 24   # of text counted, before its distinct pieces are aligned
+BATCH_CHARS = 1 << 22  # of text described at a time
+ALIGNED = 1 << 14      # pieces aligned at a time
 CHUNK = 1 << 14      # counts in a chunk of a dense vector
 FAN = 32             # vectors added at a time
 PAIR_SHIFT = 32
 
 # White space beyond ASCII's, which the two tokenizers' patterns see differently.
-WIDE_SPACE = r"[\x1c-\x1f\x85\xa0  -     　]"
-PIECE = r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+"
+# Fixed value: the split of the byte-level pre-tokenizer.
+BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+COMMON_END = "\u0530"  # the Latin, Greek and Cyrillic blocks lie before
+SPACES = " \t\n\x0b\x0c\r"
+WIDE_SPACE = "\x1c-\x1f\x85\xa0  -     　"
 
 COUNTS = [("n_a", T.LongType()), ("n_b", T.LongType()), ("n_groups", T.LongType()), ("n_links", T.LongType()),
           ("n_best", T.LongType()), ("count_sum", T.LongType())]
@@ -75,11 +80,13 @@ class Tokenizers:
         import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import numpy as np
         import sentencepiece
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(a_file.decode())
         self.a.encode_special_tokens = True
+        self.ranks = self._as_ranks(a_file)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
         symbol = byte_of_symbol()
         self.a_bytes = {i: bytes(symbol[c] for c in token) for token, i in self.a.get_vocab(with_added_tokens=False).items()
@@ -87,9 +94,35 @@ class Tokenizers:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
-        inner = re.compile(r"[^ ] |[\t-\r]")
-        self.cuts_are_safe = not any(inner.search(p.replace("▁", " ")) for p in pieces)
-        self.wide, self.piece = re.compile(WIDE_SPACE), re.compile(PIECE)
+        self.a_len, self.b_len = (np.zeros(1 + max(k for k, _ in x), dtype=np.int64) for x in (self.a_bytes.items(), [*enumerate(self.b_bytes)]))
+        for lengths, side in ((self.a_len, self.a_bytes.items()), (self.b_len, enumerate(self.b_bytes))):
+            for i, token in side:
+                lengths[i] = len(token)
+        spelt = [p.replace("▁", " ") for p in pieces]
+        # White space that no token of B has behind another character (nor, as the added space, before it).
+        uncut = [c for c in SPACES if any(re.search(f"[^{SPACES}]{c}", p) or c != " " and " " + c in p for p in spelt)]
+        self.cuts_are_safe = " " not in uncut
+        self.wide, self.piece = re.compile(f"[{''.join(uncut)}{WIDE_SPACE}]"), re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
+
+    @staticmethod
+    def _as_ranks(a_file: bytes):
+        """A as ranks for tiktoken, if it is a plain byte-level BPE whose ids are in the order of its merges, else None."""
+        import json
+
+        import tiktoken
+
+        whole = json.loads(a_file)
+        model, split = whole["model"], whole["pre_tokenizer"] or {}
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        if any(split.get(k) != v for k, v in plain.items()) or whole["normalizer"] or model["type"] != "BPE" or model.get("ignore_merges"):
+            return None
+        symbol, vocab = byte_of_symbol(), model["vocab"]
+        merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        special = {t["content"] for t in whole["added_tokens"]}
+        ranks = {bytes(symbol[c] for c in token): i for token, i in vocab.items() if token not in special}
+        if merged != sorted(merged) or len(ranks) != 256 + len(merged):
+            return None
+        return tiktoken.Encoding("a", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def pieces(self, text: str) -> list[str]:
         """The pieces of a space and the text, which no token crosses."""
@@ -97,40 +130,71 @@ class Tokenizers:
             return [" " + text]
         return self.piece.findall(" " + text)
 
-    def align(self, pieces: list[str]) -> list[tuple[list[int], list[int], list[tuple[int, int]]] | None]:
-        """(ids of A, ids of B, group ends as indices behind them) of each piece;
-        None where the tokens don't spell the piece."""
-        out = []
-        # B adds a space, so a piece that begins with one goes without it; in
-        # one that begins otherwise the added space is a token of its own.
-        of_b = self.b.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
-        added = self.b.piece_to_id("▁")
-        for piece, a, b in zip(pieces, self.a.encode_batch_fast(pieces, add_special_tokens=False), of_b):
-            a, raw = a.ids, piece.encode()
-            if piece[0] != " ":
-                b = b[1:] if b and b[0] == added else None
-            elif piece == " ":
-                b = [added]  # a space alone is empty text to B
-            if b is None or b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
-                out.append(None)
-                continue
-            ends, i, j, at_a, at_b = [], 0, 0, 0, 0
-            while i < len(a):
-                if at_a <= at_b:
-                    at_a += len(self.a_bytes[a[i]])
-                    i += 1
-                while at_b < at_a:
-                    at_b += len(self.b_bytes[b[j]])
-                    j += 1
-                if at_a == at_b:
-                    ends.append((i, j))
-            out.append((a, b, ends))
+    def _ids_of_a(self, pieces: list[str]) -> list[list[int]]:
+        """The same ids by the quicker of two libraries: `self.ranks` reads the
+        common alphabets, whose letters both know alike, the tokenizer's own the rest."""
+        if self.ranks is None:
+            return [x.ids for x in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+        out = [self.ranks.encode_ordinary(p) if p.isascii() or max(p) < COMMON_END else None for p in pieces]
+        rare = [i for i, ids in enumerate(out) if ids is None]
+        for i, x in zip(rare, self.a.encode_batch_fast([pieces[i] for i in rare], add_special_tokens=False)):
+            out[i] = x.ids
         return out
 
+    def align(self, pieces: list[str]) -> "Alignment":
+        import numpy as np
 
-def _links(aligned) -> list[int]:
-    a, b, ends = aligned
-    return [a[i - 1] << PAIR_SHIFT | b[j - 1] for i, j in ends]
+        # B adds a space, so a piece that begins with one goes without it; in
+        # one that begins otherwise the added space is a token of its own; a
+        # space alone is empty text to B.
+        added = self.b.piece_to_id("▁")
+        of_a = self._ids_of_a(pieces)
+        of_b = self.b.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
+        of_b = [b if p[0] == " " and b else [added] if p == " " else b[1:] if b[:1] == [added] else [] for p, b in zip(pieces, of_b)]
+        bad = np.zeros(len(pieces), dtype=bool)
+        raw = [p.encode() for p in pieces]
+        if not (self._spell(of_a, raw, self.a_bytes) and self._spell(of_b, raw, self.b_bytes)):
+            for i, (a, b, r) in enumerate(zip(of_a, of_b, raw)):
+                bad[i] = b"".join(map(self.a_bytes.__getitem__, a)) != r or b"".join(map(self.b_bytes.__getitem__, b)) != r
+                if bad[i]:
+                    of_a[i], of_b[i] = [], []
+        return Alignment(of_a, of_b, bad, self)
+
+    @staticmethod
+    def _spell(ids: list[list[int]], raw: list[bytes], bytes_of) -> bool:
+        return [*map(len, raw)] == [sum([len(bytes_of[i]) for i in x]) for x in ids] and \
+            b"".join([bytes_of[i] for x in ids for i in x]) == b"".join(raw)
+
+
+class Alignment:
+    """Pieces aligned together: the flat ids of both sides, how many each piece
+    has, and the links as places in them (`at_a`, `at_b`) with their piece."""
+
+    def __init__(self, of_a, of_b, bad, tokenizers: Tokenizers):
+        from itertools import chain
+
+        import numpy as np
+
+        self.bad = bad
+        self.n_a, self.n_b = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (of_a, of_b))
+        self.a, self.b = (np.fromiter(chain.from_iterable(x), dtype=np.int64) for x in (of_a, of_b))
+        _, self.at_a, self.at_b = np.intersect1d(np.cumsum(tokenizers.a_len[self.a]), np.cumsum(tokenizers.b_len[self.b]),
+                                                 assume_unique=True, return_indices=True)
+        self.piece = np.repeat(np.arange(len(of_a)), self.n_a)[self.at_a]
+        self.n_links = np.bincount(self.piece, minlength=len(of_a))
+        self.pairs = (self.a[self.at_a] << PAIR_SHIFT | self.b[self.at_b]).astype(np.uint64)
+
+    def groups(self) -> list[str]:
+        """The groups of each piece, as text."""
+        a, b, out, i, j, low = [*map(str, self.a.tolist())], [*map(str, self.b.tolist())], [], 0, 0, 0
+        shown = []
+        for to_i, to_j in zip((self.at_a + 1).tolist(), (self.at_b + 1).tolist()):
+            shown.append((a[i] if to_i - i == 1 else ",".join(a[i:to_i])) + "|" + (b[j] if to_j - j == 1 else ",".join(b[j:to_j])))
+            i, j = to_i, to_j
+        for n in self.n_links.tolist():
+            out.append(";".join(shown[low:low + n]))
+            low += n
+        return out
 
 
 def pair_bound(tokenizers: Tokenizers) -> int:
@@ -145,62 +209,55 @@ def pair_bound(tokenizers: Tokenizers) -> int:
     return total
 
 
-def _groups_of(texts, limit: int):
-    """Runs of texts of about `limit` characters."""
-    held, n = [], 0
-    for text in texts:
-        held.append(text)
-        n += len(text)
-        if n >= limit:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
-
-
-class _Aligner:
-    """A task's alignments: the pieces of texts, each distinct one aligned once."""
-
-    def __init__(self, files, entry):
-        self.tokenizers, self.memo, self.entry = Tokenizers(*files), {}, entry
-
-    def pieces(self, texts: list[str]):
-        """The pieces of each text, with `entry` of each distinct one."""
-        split = [self.tokenizers.pieces(t) if t else [] for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        fresh = list({p for pieces in split for p in pieces if p not in self.memo})
-        known = {p: e for low in range(0, len(fresh), 4096)
-                 for p, e in zip(fresh[low:low + 4096], self.entry(self.tokenizers.align(fresh[low:low + 4096])))}
-        self.memo.update((p, e) for p, e in known.items() if len(p) <= LONG_PIECE)
-        return split, known
-
-
 def pair_counts(docs: DataFrame, files) -> DataFrame:
     """pair (id of A above id of B) and n, as each task counts them."""
 
     def run(batches):
         from collections import Counter
 
+        import numpy as np
         import pyarrow as pa
 
-        aligner, total = _Aligner(files.value, lambda found: [None if x is None else _links(x) for x in found]), Counter()
-        for batch in batches:
-            for texts in _groups_of((t or "" for t in batch.column(0).to_pylist()), BATCH_CHARS):
-                split, known = aligner.pieces(texts)
+        tokenizers = Tokenizers(*files.value)
+        keys, totals = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+
+        def add(seen: Counter, texts: list[str]):
+            """Count the links of pieces seen; texts with a piece that isn't spelt count nowhere."""
+            nonlocal keys, totals
+            pieces, found, wrong = list(seen), [], set()
+            for low in range(0, len(pieces), ALIGNED):
+                some = pieces[low:low + ALIGNED]
+                x = tokenizers.align(some)
+                wrong.update(p for p, bad in zip(some, x.bad.tolist()) if bad)
+                found.append((x.pairs, x.piece + low))
+            if wrong:
                 seen = Counter()
-                for pieces in split:
-                    seen.update(pieces)
-                links = {p: known[p] if p in known else aligner.memo[p] for p in seen}
-                if None in links.values():  # a text with such a piece counts nowhere
-                    seen = Counter()
-                    for pieces in split:
-                        if not any(links[p] is None for p in pieces):
-                            seen.update(pieces)
-                for p, n in seen.items():
-                    for pair in links[p]:
-                        total[pair] += n
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["pair", "n"])
+                for text in texts:
+                    of = tokenizers.pieces(text)
+                    if wrong.isdisjoint(of):
+                        seen.update(of)
+            times = np.array([seen[p] for p in pieces], dtype=np.int64)
+            every = np.concatenate([keys, *(pairs for pairs, _ in found)])
+            weight = np.concatenate([totals, *(times[piece] for _, piece in found)])
+            keys, at = np.unique(every, return_inverse=True)
+            totals = np.zeros(len(keys), dtype=np.int64)
+            np.add.at(totals, at, weight)
+            keys, totals = keys[totals > 0], totals[totals > 0]
+
+        seen, texts, held = Counter(), [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                text = text.as_py()
+                if not text:
+                    continue
+                seen.update(tokenizers.pieces(text))
+                texts.append(text)
+                held += len(text)
+                if held >= HELD_CHARS:
+                    add(seen, texts)
+                    seen, texts, held = Counter(), [], 0
+        add(seen, texts)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(totals)], ["pair", "n"])
 
     return docs.select("text").mapInArrow(run, "pair long, n long")
 
@@ -265,49 +322,57 @@ def align(docs: DataFrame, a_path: str, b_path: str, keep: tuple[str, ...] = ("d
     def run(batches):
         import pyarrow as pa
 
-        key_of, n = hashed.value, counts.value
+        tokenizers, key_of, n, memo = Tokenizers(*files.value), hashed.value, counts.value, {}
+        unknown: set[str] = set()
         b_of = (key_of.keys & np.uint64((1 << PAIR_SHIFT) - 1)).astype(np.int64)
         best = np.zeros(int(b_of.max()) + 1 if len(b_of) else 0, dtype=np.int64)
         np.maximum.at(best, b_of, n)
 
-        def entry(found):
-            links = [[] if x is None else _links(x) for x in found]
-            flat = np.array([pair for pairs in links for pair in pairs], dtype=np.uint64)
-            place = key_of.place(flat)
-            if (place < 0).any():
-                raise RuntimeError("a document changed between the passes")
-            count, top = n[place].tolist(), (n[place] == best[b_of[place]]).tolist()
-            out, low = [], 0
-            for x, pairs in zip(found, links):
-                if x is None:
-                    out.append(None)
-                    continue
-                a, b, ends = x
-                shown, i, j = [], 0, 0
-                for to_i, to_j in ends:
-                    shown.append(f"{','.join(map(str, a[i:to_i]))}|{','.join(map(str, b[j:to_j]))}")
-                    i, j = to_i, to_j
-                high = low + len(pairs)
-                out.append((len(a), len(b), len(ends), len(pairs), sum(top[low:high]), sum(count[low:high]), ";".join(shown)))
-                low = high
-            return out
-
-        aligner = _Aligner(files.value, entry)
+        def described(pieces: list[str]) -> list[tuple | None]:
+            x = tokenizers.align(pieces)
+            place = key_of.place(x.pairs)
+            # Only in a document that counts nowhere can there be a pair without a count.
+            unknown.update(pieces[i] for i in x.piece[place < 0].tolist())
+            count, top = np.zeros(len(place), dtype=np.int64), np.zeros(len(place), dtype=np.int64)
+            have = place >= 0
+            count[have] = n[place[have]]
+            top[have] = count[have] == best[b_of[place[have]]]
+            sums = [np.zeros(len(pieces), dtype=np.int64) for _ in range(2)]
+            for total, values in zip(sums, (top, count)):
+                np.add.at(total, x.piece, values)
+            entries = zip(x.n_a.tolist(), x.n_b.tolist(), x.n_links.tolist(), *(total.tolist() for total in sums), x.groups())
+            return [None if bad else e for bad, e in zip(x.bad.tolist(), entries)]
+
+        def rows_of(texts: list[str], before):
+            split = [tokenizers.pieces(t) if t else [] for t in texts]
+            if len(memo) > MEMO:
+                memo.clear()
+            fresh, known = list({p for pieces in split for p in pieces if p not in memo}), {}
+            for low in range(0, len(fresh), ALIGNED):
+                some = fresh[low:low + ALIGNED]
+                known.update(zip(some, described(some)))
+            memo.update((p, e) for p, e in known.items() if len(p) <= LONG_PIECE)
+            out = []
+            for pieces in split:
+                entries = [known[p] if p in known else memo[p] for p in pieces]
+                if not entries or None in entries:
+                    out.append((0, 0, 0, 0, 0, 0, ""))
+                elif unknown and not unknown.isdisjoint(pieces):
+                    raise RuntimeError("the documents changed between the passes")
+                else:
+                    a, b, links, top, total, groups = zip(*entries)
+                    out.append((sum(a), sum(b), sum(links), sum(links), sum(top), sum(total), ";".join(groups)))
+            columns = list(zip(*out))
+            return pa.RecordBatch.from_arrays([*before, *(pa.array(c, pa.int64()) for c in columns[:-1]), pa.array(columns[-1], pa.string())], names)
+
         for batch in batches:
-            low = 0
-            for texts in _groups_of((t or "" for t in batch.column(kept).to_pylist()), BATCH_CHARS // 4):
-                split, known = aligner.pieces(texts)
-                out = []
-                for pieces in split:
-                    entries = [known[p] if p in known else aligner.memo[p] for p in pieces]
-                    if not entries or None in entries:
-                        out.append((0, 0, 0, 0, 0, 0, ""))
-                    else:
-                        columns = list(zip(*entries))
-                        out.append((*(sum(c) for c in columns[:-1]), ";".join(columns[-1])))
-                made = [pa.array(c, pa.int64()) for c in list(zip(*out))[:-1]] + [pa.array([x[-1] for x in out], pa.string())]
-                yield pa.RecordBatch.from_arrays([*batch.slice(low, len(texts)).columns[:kept], *made], names)
-                low += len(texts)
+            texts, low, held = [], 0, 0
+            for at, text in enumerate(batch.column(kept), 1):
+                texts.append(text.as_py() or "")
+                held += len(texts[-1])
+                if held >= BATCH_CHARS or at == batch.num_rows:
+                    yield rows_of(texts, batch.slice(low, len(texts)).columns[:kept])
+                    texts, low, held = [], at, 0
 
     schema = T.StructType([*rows.schema.fields[:kept], *(T.StructField(name, t) for name, t in COUNTS), T.StructField("groups", T.StringType())])
     return rows.mapInArrow(run, schema)
