@@ -125,9 +125,9 @@ WITH pieces AS (
 ), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
 ), grams AS (
   SELECT lang, 1 AS len, unnest(words) AS gram FROM w
-  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(words)), lambda i: array_to_string(words[i:i + 1], ' '))) FROM w
-  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))) FROM w
-), f AS (SELECT lang, len, gram, count(*) AS n FROM grams GROUP BY ALL
+  UNION ALL SELECT lang, 2, unnest(list_transform(list_zip(words, words[2:]), lambda z: z[1] || ' ' || z[2])) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(list_zip(words, words[2:], words[3:]), lambda z: z[1] || ' ' || z[2] || ' ' || z[3])) FROM w
+), f AS (SELECT lang, len, gram, count(*) AS n FROM grams WHERE gram IS NOT NULL GROUP BY ALL
 ), sizes AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE len = 1 GROUP BY lang
 ), c AS (SELECT lang, len, gram, string_split(gram, ' ') AS words, n AS a FROM f WHERE len > 1 AND n >= 10
 ), cuts AS (
@@ -142,9 +142,9 @@ WITH pieces AS (
 ), longer AS (
   SELECT lang, array_to_string(words[1:2], ' ') AS gram, a FROM c WHERE len = 3
   UNION ALL SELECT lang, array_to_string(words[2:3], ' '), a FROM c WHERE len = 3
+), most AS (SELECT lang, gram, max(a) AS longest FROM longer GROUP BY ALL
 ), kept AS (
-  SELECT * FROM low WHERE NOT EXISTS (
-    SELECT 1 FROM longer WHERE longer.lang = low.lang AND longer.gram = low.gram AND low.len = 2 AND 100 * longer.a >= 50 * low.a)
+  SELECT low.* FROM low LEFT JOIN most ON most.lang = low.lang AND most.gram = low.gram WHERE 100 * coalesce(longest, 0) < 50 * a
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(gram)) AS rank FROM kept
 )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
-from . import bpe, chat, collocations, language, license_scan, lz_fingerprint, mixing, ngram_join, quality_rules, sharding, substring_dedup, token_align
+from . import bpe, chat, collocations, language, license_scan, lz_fingerprint, mixing, ngram_join, quality_rules, sharding, substring_dedup, token_align, toxicity
 from .common import documents
 from .oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 
@@ -73,5 +73,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir), max_words=3, min_count=10, contained_percent=50, top=2000)
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_lz_fingerprint, op3_source_mix, op4_rank_order_language, op5_perspective_rotation, op6_license_scan, op7_ring_shards, op8_decision_list, op9_byte_bpe,
-                                 op10_substring_dedup, op11_token_alignment, op12_collocations)}
+                                 op10_substring_dedup, op11_token_alignment, op12_collocations, op13_toxicity)}

@@ -213,11 +213,13 @@ def pair_counts(docs: DataFrame, files) -> DataFrame:
     """pair (id of A above id of B) and n, as each task counts them."""
 
     def run(batches):
+        import gc
         from collections import Counter
 
         import numpy as np
         import pyarrow as pa
 
+        gc.disable()  # many small objects and no cycles
         tokenizers = Tokenizers(*files.value)
         keys, totals = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
 
@@ -320,8 +322,11 @@ def align(docs: DataFrame, a_path: str, b_path: str, keep: tuple[str, ...] = ("d
     kept, names = len(keep), [*keep, *(name for name, _ in COUNTS), "groups"]
 
     def run(batches):
+        import gc
+
         import pyarrow as pa
 
+        gc.disable()  # many small objects and no cycles
         tokenizers, key_of, n, memo = Tokenizers(*files.value), hashed.value, counts.value, {}
         unknown: set[str] = set()
         b_of = (key_of.keys & np.uint64((1 << PAIR_SHIFT) - 1)).astype(np.int64)
