@@ -38,25 +38,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage
 
-PIECE_END = rb"[.,;:!?\x0A-\x0D]"
-HELD = 400_000         # distinct runs that a task holds
+PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
+END = b"\xff"           # stands for the end of a piece; no byte of UTF-8
+HELD = 1_500_000        # words that a task holds
 PART_BYTES = 16 << 20  # of text, for a range
 MOST_PARTS = 20_000
-SAMPLE_BYTES = 64 << 20
+SAMPLE_BYTES = 8 << 20
 KEYS_PER_PART = 32
 ROWS = 10_000          # of a record batch
 UNKNOWN = "und"
+RUNS = "part int, lang string, gram binary, n long"
 
 
-def pieces_of(text: str):
-    """The words of each piece of a text, as lower-cased bytes."""
-    import re
-
-    for piece in re.split(PIECE_END, text.encode().lower()):  # bytes.lower touches A-Z only
-        words = piece.replace(b"\t", b" ").split(b" ")
-        words = [w for w in words if w]
-        if words:
-            yield words
+def words_of(text: str) -> list[bytes]:
+    """The words of a text in order, as lower-cased bytes, with END behind each piece."""
+    ends = bytes(0xFF if c in PIECE_ENDS else c for c in range(256))
+    raw = text.encode().lower().translate(ends)  # bytes.lower touches A-Z only
+    return (raw.replace(END, b" \xff ") + b" \xff").split()  # of white space, blanks and tabs are left
 
 
 def _rows(batch):
@@ -65,15 +63,62 @@ def _rows(batch):
         yield lang.as_py(), text.as_py()
 
 
-def _longest_runs(words: list[bytes], most: int):
-    """The run of `most` words from each place on, with empty words behind the end."""
-    padded = words + [b""] * (most - 1)
-    return zip(*(padded[k:len(words) + k] for k in range(most)))
+class _Held:
+    """Words of several texts, numbered, and their longest runs."""
+
+    def __init__(self):
+        self.number, self.places, self.size = {END: 0}, {}, 0
+
+    def add(self, lang: str, words: list[bytes]) -> None:
+        number = self.number
+        self.places.setdefault(lang, []).append([number.setdefault(w, len(number)) for w in words])
+        self.size += len(words)
 
+    def runs(self, most: int):
+        """(lang, runs as bytes in order, how often) of each language.
 
-def _key(run) -> bytes:
-    """Words with a space behind each, so that a phrase's runs stand together in byte order."""
-    return b" ".join(w for w in run if w) + b" "
+        A run has a space behind each word, so that in byte order the runs that
+        begin alike stand together; numbers in the order of the words with
+        their space give the same order."""
+        from itertools import chain
+
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        spelt = sorted((w + b" ", i) for w, i in self.number.items() if i)
+        rank = np.zeros(len(spelt) + 1, dtype=np.int64)
+        rank[[i for _, i in spelt]] = np.arange(1, len(spelt) + 1)
+        table = pa.array([b"", *(w for w, _ in spelt)], pa.binary())
+        for lang in sorted(self.places):
+            at = rank[np.fromiter(chain.from_iterable(self.places[lang]), dtype=np.int64)]
+            columns = [at]
+            for k in range(1, most):  # behind the end of a piece a run has no words
+                following = np.concatenate([at[k:], np.zeros(min(k, len(at)), dtype=np.int64)])
+                columns.append(np.where(columns[-1] > 0, following, 0))
+            columns = [c[at > 0] for c in columns]
+            if len(rank) ** most < 1 << 63:  # a run as one number
+                key = columns[0]
+                for c in columns[1:]:
+                    key = key * len(rank) + c
+                key, n = np.unique(key, return_counts=True)
+                columns = [key // len(rank) ** (most - 1 - k) % len(rank) for k in range(most)]
+            else:
+                columns, n = np.unique(np.stack(columns), axis=1, return_counts=True)
+            yield lang, pc.binary_join_element_wise(*(table.take(pa.array(c)) for c in columns), pa.scalar(b"", pa.binary())), n
+
+
+class _Listed:
+    """An Arrow array as a sequence that `bisect` can search."""
+
+    def __init__(self, array):
+        self.array = array
+
+    def __len__(self):
+        return len(self.array)
+
+    def __getitem__(self, i):
+        return self.array[i].as_py()
 
 
 def _borders(rows: DataFrame, parts: int, total: int, max_words: int) -> list[tuple[str, bytes]]:
@@ -84,19 +129,17 @@ def _borders(rows: DataFrame, parts: int, total: int, max_words: int) -> list[tu
     step = max(1, int(share * total / 6 / (parts * KEYS_PER_PART)))
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
-        n = 0
         for batch in batches:
-            langs, keys = [], []
+            held = _Held()
             for lang, text in _rows(batch):
-                for words in pieces_of(text):
-                    for r in _longest_runs(words, max_words):
-                        n += 1
-                        if n % step == 0:
-                            langs.append(lang)
-                            keys.append(_key(r))
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(keys, pa.binary())], ["lang", "gram"])
+                held.add(lang, words_of(text))
+            for lang, keys, n in held.runs(max_words):
+                upto = np.cumsum(n)
+                some = keys.take(pa.array(np.searchsorted(upto, np.arange(step // 2, upto[-1] if len(upto) else 0, step), side="right")))
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some], ["lang", "gram"])
 
     sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else rows
     keys = sorted((r.lang, bytes(r.gram)) for r in sample.mapInArrow(run, "lang string, gram binary").collect())
@@ -108,83 +151,101 @@ def _counted_runs(rows: DataFrame, borders: list[tuple[str, bytes]], max_words:
     bounds = rows.sparkSession.sparkContext.broadcast(borders)
 
     def run(batches):
-        from bisect import bisect_right
-        from collections import Counter, defaultdict
+        from bisect import bisect_left
 
+        import numpy as np
         import pyarrow as pa
 
-        counts, names = defaultdict(Counter), ["part", "lang", "gram", "n"]
-
-        def flush():
-            for lang, counter in sorted(counts.items()):
-                entries = sorted((_key(r), n) for r, n in counter.items())
-                for low in range(0, len(entries), ROWS):
-                    part_of = entries[low:low + ROWS]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([bisect_right(bounds.value, (lang, k)) for k, _ in part_of], pa.int32()), pa.array([lang] * len(part_of), pa.string()),
-                        pa.array([k for k, _ in part_of], pa.binary()), pa.array([n for _, n in part_of], pa.int64())], names)
-            counts.clear()
+        def flush(held):
+            for lang, keys, n in held.runs(max_words):
+                listed, before = _Listed(keys), bisect_left(bounds.value, (lang, b""))
+                inside = [key for of, key in bounds.value[before:] if of == lang]
+                part = before + np.searchsorted([bisect_left(listed, key) for key in inside], np.arange(len(keys)), side="right")
+                table = pa.table([pa.array(part, pa.int32()), pa.array([lang], pa.string()).take(pa.array(np.zeros(len(keys), dtype=np.int64))),
+                                  keys, pa.array(n, pa.int64())], ["part", "lang", "gram", "n"])
+                yield from table.to_batches(ROWS)
 
+        held = _Held()
         for batch in batches:
             for lang, text in _rows(batch):
-                counter = counts[lang]
-                for words in pieces_of(text):
-                    counter.update(_longest_runs(words, max_words))
-                    if len(counter) > HELD:
-                        yield from flush()
-                        counter = counts[lang]
-            if sum(map(len, counts.values())) > HELD:
-                yield from flush()
-        yield from flush()
+                held.add(lang, words_of(text))
+                if held.size > HELD:
+                    yield from flush(held)
+                    held = _Held()
+        yield from flush(held)
 
-    return rows.mapInArrow(run, "part int, lang string, gram binary, n long")
+    return rows.mapInArrow(run, RUNS)
 
 
-def _phrase_counts(sorted_runs: DataFrame, min_count: int) -> DataFrame:
+def _phrase_counts(sorted_runs: DataFrame, min_count: int, max_words: int) -> DataFrame:
     """lang, gram, words, n and `border`: the counts of all phrases of a range.
 
     `words` 0 is the number of words of a language.  A phrase at either end of
-    a range may go on in the next and is marked; others stay if frequent."""
+    a range may go on in the next and is marked; others stay if frequent.  Of
+    each length one phrase is open at a time."""
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        names, out = ["lang", "gram", "words", "n", "border"], []
-        totals, open_, first = {}, [], True  # open_: [phrase, n, began at the range's first entry] by length
-
-        def batch_of(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*rows) if rows else [()] * 5, [pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.bool_()])], names)
+        types = [pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.bool_()]
+        names, out, totals = ["lang", "gram", "words", "n", "border"], [], {}
+        open_: list = [None] * (max_words + 1)  # by length: [(lang, words), n, at the range's first entry]
+        first = True
 
-        def close(to, last):
-            while len(open_) > to:
-                words, n, at_first = open_.pop()
+        def close(k: int, last: bool):
+            if open_[k] is not None:
+                (lang, words), n, at_first = open_[k]
                 if at_first or last or n >= min_count:
-                    out.append((lang_of, b" ".join(words), len(words), n, at_first or last))
+                    out.append((lang, b" ".join(words), k, n, at_first or last))
+            open_[k] = None
 
-        lang_of = None
         for batch in batches:
-            for lang, gram, n in zip(*(c.to_pylist() for c in batch.columns)):
-                totals[lang] = totals.get(lang, 0) + n
-                words = gram.split(b" ")
-                words.pop()
-                same = 0
-                if lang == lang_of:
-                    while same < len(words) and same < len(open_) and open_[same][0][same] == words[same]:
-                        same += 1
-                close(same, False)
-                lang_of = lang
-                for k in range(same):
-                    open_[k][1] += n
-                for k in range(same, len(words)):
-                    open_.append([words[:k + 1], n, first])
-                first = False
-                if len(out) >= ROWS:
-                    yield batch_of(out)
-                    out = []
-        close(0, True)
-        out += [(lang, b"", 0, n, True) for lang, n in totals.items()]
-        yield batch_of(out)
+            if not batch.num_rows:
+                continue
+            lang, n = batch.column(0), batch.column(2).to_numpy(zero_copy_only=False)
+            split = pc.split_pattern(batch.column(1), b" ")
+            size = pc.list_value_length(split).to_numpy(zero_copy_only=False) - 1
+            offset, flat = split.offsets.to_numpy()[:-1], split.values
+            change = np.zeros(len(n), dtype=bool)
+            change[1:] = pc.not_equal(lang[1:], lang[:-1]).to_numpy(zero_copy_only=False)
+            at_start = np.flatnonzero(np.concatenate(([True], change[1:])))
+            for i, total in zip(at_start.tolist(), np.add.reduceat(n, at_start).tolist()):
+                of = lang[i].as_py()
+                totals[of] = totals.get(of, 0) + total
+            for k in range(1, max_words + 1):
+                # A run without a k-th word has the empty word behind its last one there.
+                word = flat.take(pa.array(offset + np.minimum(k - 1, size)))
+                change[1:] |= pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)
+                start = np.flatnonzero(np.concatenate(([True], change[1:])))
+                total = np.add.reduceat(n, start)
+                there = size[start] >= k
+
+                def phrase(i):
+                    return lang[i].as_py(), [flat[int(offset[i]) + j].as_py() for j in range(k)]
+
+                begins = phrase(0) if there[0] else None
+                if open_[k] is not None and open_[k][0] == begins:
+                    open_[k][1] += int(total[0])
+                else:
+                    close(k, False)
+                    open_[k] = [begins, int(total[0]), first] if there[0] else None
+                if len(start) > 1:
+                    close(k, False)
+                    for s in (np.flatnonzero((total[1:-1] >= min_count) & there[1:-1]) + 1).tolist():
+                        of, words = phrase(int(start[s]))
+                        out.append((of, b" ".join(words), k, int(total[s]), False))
+                    open_[k] = [phrase(int(start[-1])), int(total[-1]), False] if there[-1] else None
+            first = False
+            if len(out) >= ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                out = []
+        for k in range(1, max_words + 1):
+            close(k, True)
+        out += [(of, b"", 0, n, True) for of, n in totals.items()]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
     return sorted_runs.mapInArrow(run, "lang string, gram binary, words int, n long, border boolean")
 
@@ -198,7 +259,7 @@ def frequent_phrases(docs: DataFrame, max_words: int, min_count: int, part_bytes
     borders = _borders(rows, parts, total, max_words)
     runs = _counted_runs(rows, borders, max_words)
     ranged = runs.repartitionById(len(borders) + 1, F.col("part")).select("lang", "gram", "n").sortWithinPartitions("lang", "gram")
-    found = cut_lineage(_phrase_counts(ranged, min_count).select("lang", F.col("gram").cast("string").alias("gram"), "words", "n", "border"))
+    found = cut_lineage(_phrase_counts(ranged, min_count, max_words).select("lang", F.col("gram").cast("string").alias("gram"), "words", "n", "border"))
     # What crosses borders, a few rows a range, is added up by phrase.
     crossing = found.where("border").groupBy("lang", "gram", "words").agg(F.sum("n").alias("n"))
     counts = (found.where("not border").select("lang", "gram", "n")
