@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .scalars import falsy, vkind
@@ -17,6 +17,20 @@ POWER_MAX = 10_000
 DISPLACEMENT_MAX = 20
 
 
+def has_key(c: Column) -> Column:
+    return c.isNotNull() & (c != "")
+
+
+def split_keyless(records: DataFrame, key: str = "inner_id") -> tuple[DataFrame, Observation]:
+    """(records with a key, counter).  The count of those without one,
+    `keyless`, is observed in the pass that reads the records on:
+    `counter.get` has it once that pass has run."""
+    counter = Observation()
+    missing = F.coalesce(~has_key(F.col(key)), F.lit(True))
+    return records.observe(counter, F.count_if(missing).cast("bigint").alias("keyless"), F.count(F.lit(1)).alias("records")) \
+        .where(~missing), counter
+
+
 def reject_reason(current_year: int, key: str = "inner_id") -> Column:
     """NULL when the row passes, else the first failing check.
 

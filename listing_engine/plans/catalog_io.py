@@ -47,10 +47,9 @@ def _damaged_feed(spark: SparkSession, sf: str, root: str) -> str:
 def q50_page_bad_records(spark, sf):
     """A2 + A6: what a read of the damaged feed keeps and what it sets aside."""
     path = _damaged_feed(spark, sf, _scratch(spark, "damaged"))
-    good, bad = PG.read_change_pages(spark, path, A.RUN_TIME, multi_line=False, budget=NO_BUDGET)
-    left_out = PG.read_bad_records(spark, path, multi_line=False)
-    return (good.select(F.lit("good").alias("kind")).unionByName(left_out.select("kind"))
-            .groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.lit(bad).cast("long").alias("bad_pages")))
+    read = PG.load_change_pages(spark, path, A.RUN_TIME, multi_line=False, budget=NO_BUDGET)
+    return (read.records.select(F.lit("good").alias("kind")).unionByName(read.left_out.select("kind"))
+            .groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.lit(read.counters["bad_pages"]).cast("long").alias("bad_pages")))
 
 
 def q51_stream_bad_page(spark, sf):
@@ -62,7 +61,7 @@ def q51_stream_bad_page(spark, sf):
     store.replace(A.snapshot_raw(spark, sf))
     SA.stream_apply(spark, _damaged_feed(spark, sf, root), store, f"{root}/checkpoint", A.RUN_TIME,
                     multi_line=False, budget=NO_BUDGET)
-    aside = spark.read.parquet(SA.bad_pages_path(store.path)).groupBy("kind").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    aside = SA.left_out(spark, store.path).groupBy("kind").agg(F.count(F.lit(1)).cast("int").alias("n"))
     return raw_view(store.read()).unionByName(aside.select(
         F.concat(F.lit("bad "), "kind").alias("inner_id"), F.lit(None).cast("int").alias("price"),
         F.lit(None).cast("int").alias("km_age"), F.col("n").alias("active_status"), F.lit("aside").alias("change_type")))

@@ -54,6 +54,27 @@ RAW = T.StructType([
     T.StructField("is_processed", T.BooleanType()),
 ])
 
+# Who wrote what of a raw row: what a stream of events in any order needs to
+# let a late event lose or win (operators.writers).  `base` is the row before
+# the first event, NULL if there was none.
+_AT = [T.StructField("id", T.LongType()), T.StructField("pos", T.IntegerType())]
+FIELD_WRITER = T.StructType([
+    T.StructField("value", T.StringType()),  # JSON text
+    T.StructField("last", T.StructType([*_AT, T.StructField("p", T.IntegerType())])),
+    T.StructField("first", T.StructType([*_AT, T.StructField("p", T.IntegerType())])),
+])
+WRITERS = T.StructType([
+    T.StructField("base", T.StructType([f for f in RAW.fields if f.name in (
+        "id", "change_type", "created_at", "data", "first_loaded_at", "source", "active_status")])),
+    T.StructField("first", T.StructType([*_AT, T.StructField("change_type", T.StringType()),
+                                         T.StructField("created_at", T.TimestampNTZType()), T.StructField("data", T.StringType())])),
+    T.StructField("type", T.StructType([*_AT, T.StructField("change_type", T.StringType())])),
+    T.StructField("change", T.StructType([*_AT, T.StructField("created_at", T.TimestampNTZType())])),
+    T.StructField("removed", T.BooleanType()),
+    T.StructField("fields", T.MapType(T.StringType(), FIELD_WRITER)),
+])
+RAW_STORED = T.StructType([*RAW.fields, T.StructField("writers", WRITERS)])
+
 CONFIG_ENTRY = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("value", T.StringType()),

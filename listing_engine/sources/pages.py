@@ -4,18 +4,24 @@ A page file holds one envelope `{result: [...], meta: {...}}`.  Pages are read
 with a declared schema (never inferred); `data` is declared STRING so the
 payload keeps its JSON text, key order and duplicate keys.  All pages of a
 directory form one feed (G3): one multi-file scan.  A page is parsed once, with
-its whole schema: what the count calls bad is exactly what the data leave out,
-and a record that doesn't fit its schema is left out alone, not with its page.
+its whole schema, and its rows are staged by kind with their counters observed
+on the way: what the count calls bad is exactly what the data leave out, and a
+record that doesn't fit its schema is left out alone, not with its page.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.quality import has_key
 from ..functions.scalars import default_change_type, default_payload, event_time
 from ..schemas import CHANGE_PAGE, OFFER_PAGE
+from ..session import checkpoint_dir
 
 CORRUPT = "_corrupt_record"
 # Fixed value: failed pages tolerated before a load stops.
@@ -49,99 +55,131 @@ def _record_type(page: T.StructType) -> T.StructType:
     return page["result"].dataType.elementType
 
 
-def page_records(pages: DataFrame, page: T.StructType) -> DataFrame:
-    """The records of good pages: `r` (NULL fields where a value doesn't fit
-    its type), the record's text and `bad_record`."""
-    fields = T.StructType(_record_type(page).fields + [T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    rec = pages.where(~F.col("bad")).select("meta", F.posexplode("result").alias("pos", "record_text"))
-    rec = rec.withColumn("r", F.from_json("record_text", fields, options))
-    return rec.withColumn("bad_record", F.col("record_text").isNull() | F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull())
-
-
 def _texts(reader, path: str, multi_line: bool) -> DataFrame:
     return reader.text(path, wholetext=multi_line)
 
 
-def split_bad_pages(pages: DataFrame, budget: int = BAD_PAGE_BUDGET) -> tuple[DataFrame, int]:
-    """(good pages, number of bad pages); more than `budget` bad pages
-    raises.  The load has to stop before anything is applied, so the count is
-    an action on the same parse the records come from."""
-    bad = pages.agg(F.count_if("bad").alias("n")).first()["n"]
-    if bad > budget:
-        raise BadPageBudgetExceeded(f"{bad} bad pages > budget {budget}")
-    return pages.filter(~F.col("bad")), int(bad)
+def landed_rows(pages: DataFrame, page: T.StructType, page_field: str, now) -> DataFrame:
+    """What pages hold, a row each with its `kind`: `good` records in columns,
+    bad `record`s and bad `page`s as `text`, and `empty` pages."""
+    fields = T.StructType(_record_type(page).fields + [T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = (pages.select("bad", "page_text", "meta", F.posexplode_outer(F.when(~F.col("bad"), F.col("result"))).alias("pos", "record_text"))
+            .withColumn("r", F.from_json("record_text", fields, options)))
+    wrong = F.col("record_text").isNull() | F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
+    kind = F.when(F.col("bad"), "page").when(F.col("pos").isNull(), "empty").when(wrong, "record").otherwise("good")
+    good = kind == "good"
+    return rows.select(
+        kind.alias("kind"), F.when(F.col("bad"), F.col("page_text")).when(kind == "record", F.col("record_text")).alias("text"),
+        F.col("r.id").alias("id"), F.col(f"meta.{page_field}").alias("page"), "pos", F.col("r.inner_id").alias("inner_id"),
+        F.when(good, default_change_type(F.col("r.change_type"))).alias("change_type"),
+        F.when(good, event_time(F.col("r.created_at"), now)).alias("created_at"),
+        F.when(good, default_payload(F.col("r.data"))).alias("data"))
+
+
+# What a load counts while it passes the rows on.
+def _counters() -> list:
+    kind = F.col("kind")
+    n = lambda c, name: F.count_if(c).cast("bigint").alias(name)
+    return [n(kind.isin("page", "empty") | (F.col("pos") == 0), "pages"), n(kind == "page", "bad_pages"), n(kind == "good", "records"),
+            n(kind == "record", "bad_records"), n((kind == "good") & F.coalesce(~has_key(F.col("inner_id")), F.lit(True)), "keyless")]
+
+
+@dataclass
+class PageRead:
+    records: DataFrame   # the good records
+    left_out: DataFrame  # kind and text of bad pages and bad records
+    counters: dict       # pages, bad_pages, records, bad_records, keyless
+    path: str            # the staged rows, a folder per kind
+
+    def drop_good(self) -> None:
+        """Remove the staged good records, once they are applied."""
+        _delete(self.records.sparkSession, f"{self.path}/kind=good")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def stage(rows: DataFrame, path: str, budget: int = BAD_PAGE_BUDGET) -> PageRead:
+    """Write `landed_rows` once, a folder per kind, and read them
+    back.  The counters are observed in that one pass, so a page is read and
+    parsed once, whatever is done with its rows.  More bad pages than `budget`
+    raise before anything is applied."""
+    spark, seen = rows.sparkSession, Observation()
+    rows.observe(seen, *_counters()).write.mode("overwrite").partitionBy("kind").parquet(path)
+    counters = {k: int(v or 0) for k, v in seen.get.items()}
+    if counters["bad_pages"] > budget:
+        raise BadPageBudgetExceeded(f"{counters['bad_pages']} bad pages > budget {budget}")
+    staged = spark.read.schema(rows.schema).parquet(path)
+    return PageRead(staged.where("kind = 'good'").drop("kind", "text"),
+                    staged.where("kind in ('page', 'record')").select("kind", "text"), counters, path)
+
+
+def read_pages(pages: DataFrame, page: T.StructType, page_field: str, now, budget: int) -> PageRead:
+    """Stage parsed pages in a fresh folder of the session's shared checkpoint folder."""
+    path = f"{checkpoint_dir(pages.sparkSession).rstrip('/')}/pages-{uuid.uuid4().hex}"
+    return stage(landed_rows(pages, page, page_field, now), path, budget)
+
+
+def load_offer_pages(spark: SparkSession, path: str, now, max_pages: int | None = None,
+                     multi_line: bool = True, budget: int = BAD_PAGE_BUDGET) -> PageRead:
+    """A1 (+ A5, A6, E10): snapshot records with their page number.
+    `max_pages` keeps pages 1..n, before the records are exploded."""
+    pages = parsed_pages(_texts(spark.read, path, multi_line), OFFER_PAGE)
+    if max_pages:
+        pages = pages.where(F.col("bad") | (F.col("meta.page") <= max_pages))
+    return read_pages(pages, OFFER_PAGE, "page", now, budget)
 
 
-def _records(pages: DataFrame, page: T.StructType, page_field: str, now) -> DataFrame:
-    rec = page_records(pages, page).where(~F.col("bad_record"))
-    return rec.select(
-        F.col("r.id").alias("id"), F.col(f"meta.{page_field}").alias("page"), "pos",
-        F.col("r.inner_id").alias("inner_id"),
-        default_change_type(F.col("r.change_type")).alias("change_type"),
-        event_time(F.col("r.created_at"), now).alias("created_at"),
-        default_payload(F.col("r.data")).alias("data"),
-    )
+def load_change_pages(spark: SparkSession, path: str, now, from_change_id: int | None = None,
+                      multi_line: bool = True, budget: int = BAD_PAGE_BUDGET) -> PageRead:
+    """A2 (+ A6, E10): change records in feed order (id, then position in the
+    page).  A page whose next cursor is not past `from_change_id` is dropped
+    before its records are exploded."""
+    pages = parsed_pages(_texts(spark.read, path, multi_line), CHANGE_PAGE)
+    if from_change_id is not None:
+        pages = pages.where(F.col("bad") | F.col("meta.next_change_id").isNull() | (F.col("meta.next_change_id") > from_change_id))
+    rows = landed_rows(pages, CHANGE_PAGE, "cur_change_id", now)
+    if from_change_id is not None:
+        rows = rows.where((F.col("kind") != "good") | (F.col("id") >= from_change_id))
+    return stage(rows, f"{checkpoint_dir(spark).rstrip('/')}/pages-{uuid.uuid4().hex}", budget)
 
 
 def read_offer_pages(spark: SparkSession, path: str, now, max_pages: int | None = None,
                      multi_line: bool = True, budget: int = BAD_PAGE_BUDGET) -> tuple[DataFrame, int]:
-    """A1 (+ A5, A6): snapshot records with their page number.
-
-    Returns (records, bad page count).  `max_pages` keeps pages 1..n (the
-    filter sits on the page number, before the records are exploded)."""
-    pages, bad = split_bad_pages(parsed_pages(_texts(spark.read, path, multi_line), OFFER_PAGE), budget)
-    if max_pages:
-        pages = pages.filter(F.col("meta.page") <= max_pages)
-    return _records(pages, OFFER_PAGE, "page", now), bad
+    """A1 as (records, bad page count)."""
+    read = load_offer_pages(spark, path, now, max_pages, multi_line, budget)
+    return read.records, read.counters["bad_pages"]
 
 
 def read_change_pages(spark: SparkSession, path: str, now, from_change_id: int | None = None,
                       multi_line: bool = True, budget: int = BAD_PAGE_BUDGET) -> tuple[DataFrame, int]:
-    """A2: change records in feed order (id, then position in the page).
-    A page whose next cursor is not past `from_change_id` is dropped before
-    its records are exploded."""
-    pages, bad = split_bad_pages(parsed_pages(_texts(spark.read, path, multi_line), CHANGE_PAGE), budget)
-    if from_change_id is not None:
-        pages = pages.filter(F.col("meta.next_change_id").isNull()
-                             | (F.col("meta.next_change_id") > from_change_id))
-    rec = _records(pages, CHANGE_PAGE, "cur_change_id", now)
-    if from_change_id is not None:
-        rec = rec.filter(F.col("id") >= from_change_id)
-    return rec, bad
-
-
-def read_bad_records(spark: SparkSession, path: str, page: T.StructType = CHANGE_PAGE,
-                     multi_line: bool = True) -> DataFrame:
-    """What a read leaves out, as text: whole bad pages and single bad records."""
-    pages = parsed_pages(_texts(spark.read, path, multi_line), page)
-    return pages.where("bad").select(F.lit("page").alias("kind"), F.col("page_text").alias("text")).unionByName(
-        page_records(pages, page).where("bad_record").select(F.lit("record").alias("kind"), F.col("record_text").alias("text")))
+    """A2 as (records, bad page count)."""
+    read = load_change_pages(spark, path, now, from_change_id, multi_line, budget)
+    return read.records, read.counters["bad_pages"]
 
 
-def stream_pages(spark: SparkSession, path: str, max_files: int = 100, multi_line: bool = True) -> DataFrame:
-    """A3: the change feed as a stream of parsed pages, bad ones marked (one
-    page file = one unit of progress, `maxFilesPerTrigger` bounds a
-    micro-batch)."""
-    return parsed_pages(_texts(spark.readStream.option("maxFilesPerTrigger", max_files), path, multi_line), CHANGE_PAGE)
+def stream_page_texts(spark: SparkSession, path: str, max_files: int = 100, multi_line: bool = True) -> DataFrame:
+    """A3: the page texts as a stream (one page file = one unit of progress,
+    `maxFilesPerTrigger` bounds a micro-batch)."""
+    return _texts(spark.readStream.option("maxFilesPerTrigger", max_files), path, multi_line)
 
 
-def batch_records(pages: DataFrame, now, bad_path: str, batch_id: int, budget: int = BAD_PAGE_BUDGET) -> DataFrame:
-    """The records of one micro-batch of `stream_pages`; its bad pages and bad
-    records are written to `bad_path`, a folder per batch, so a replay writes
-    them again in place; more bad pages than `budget` stop the query."""
-    good, _ = split_bad_pages(pages, budget)
-    left_out = pages.where("bad").select(F.lit("page").alias("kind"), F.col("page_text").alias("text")).unionByName(
-        page_records(pages, CHANGE_PAGE).where("bad_record").select(F.lit("record").alias("kind"), F.col("record_text").alias("text")))
-    left_out.write.mode("overwrite").parquet(f"{bad_path.rstrip('/')}/batch_id={batch_id}")
-    return _records(good, CHANGE_PAGE, "cur_change_id", now)
+def stage_batch(texts: DataFrame, now, path: str, batch_id: int, budget: int = BAD_PAGE_BUDGET) -> PageRead:
+    """The rows of one micro-batch of `stream_page_texts`, parsed once; a
+    folder per batch, which a replay writes again in place."""
+    rows = landed_rows(parsed_pages(texts, CHANGE_PAGE), CHANGE_PAGE, "cur_change_id", now)
+    return stage(rows, f"{path.rstrip('/')}/batch_id={batch_id}", budget)
 
 
 def stream_change_pages(spark: SparkSession, path: str, now, max_files: int = 100,
                         multi_line: bool = True) -> DataFrame:
-    """A3: the records of the good pages of the stream.  The bad ones are in
-    `stream_pages`, which a job should write to a table as H2 does."""
-    return _records(stream_pages(spark, path, max_files, multi_line), CHANGE_PAGE, "cur_change_id", now)
+    """A3: the records of the good pages of the stream.  A job that wants the
+    bad ones too stages the texts batch by batch, as H2 does."""
+    rows = landed_rows(parsed_pages(stream_page_texts(spark, path, max_files, multi_line), CHANGE_PAGE), CHANGE_PAGE, "cur_change_id", now)
+    return rows.where("kind = 'good'").drop("kind", "text")
 
 
 def page_chain_gaps(pages: DataFrame, cur: str, nxt: str, size: str | None = None) -> DataFrame:

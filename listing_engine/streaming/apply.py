@@ -1,42 +1,45 @@
 """Structured Streaming versions of the change apply (H2, H3, H4, H5).
 
-H2 `stream_apply`: page files -> parsed pages -> `foreachBatch` folding each
-micro-batch into the raw store with the batch operator (`apply_changes`) and a
-bucket-level merge.  The merge's commit holds the batch id, so a batch that is
-replayed after a crash is either not committed or skipped.  Bad pages go to a
-table of their own, and too many of them stop the query.
-
-Files may come in any order and be dealt to batches in any way: each batch's
-events are kept in a log (`fold_batch_events`), and a key with an event that
-comes after a later one was folded is folded anew from all its events.
-
-H3 `stream_row_updates`: the updated row of every touched key per micro-batch,
-as an append-only log next to the initial rows.  The current row of a key, the
-state, is its last one in the log; the fold of a batch reads the rows of the
-keys it touches.  A batch's folder is its commit, and it only reads the folders
-of smaller batch ids, so a replay writes the same rows again.
+Both folds keep, per key, who last wrote what (`operators.writers`), so the
+rows don't depend on how page files are dealt to batches or in which order
+they come, and a batch costs what it touches, however many came before.
+
+H2 `stream_apply`: page texts -> `foreachBatch`: the batch is staged and parsed
+once, its events are summarised per key, and the raw table's buckets that hold
+these keys are merged with the summaries.  The table's pointer holds the batch
+id, so a batch that is replayed after a crash is either not published or
+skipped.  Bad pages stay in the staging folder; too many stop the query.
+
+H3 `stateful_apply`: `transformWithState` keeps the summaries in a RocksDB
+state store (a value state for the row, a map state field -> last writer) and
+gives out the updated row of every key that a batch touches.
 
 H5 `stream_change_stats`: daily counters with a watermark on event time.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..functions.scalars import ntz
-from ..operators.changes import apply_changes
-from ..schemas import RAW
-from ..session import cut_lineage
-from ..sources.pages import BAD_PAGE_BUDGET, batch_records, stream_pages
-from ..sources.stores import BucketedStore, path_exists
+from ..functions.scalars import map_new_keys, ntz
+from ..operators.writers import base_of, combine, event_writers, raw_columns, recognised
+from ..schemas import RAW, WRITERS
+from ..session import ensure_runtime_confs
+from ..sources.pages import BAD_PAGE_BUDGET, stage_batch, stream_change_pages, stream_page_texts
+from ..sources.stores import VersionedTable
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-def _drain(pages: DataFrame, fold_batch, checkpoint: str, available_now: bool):
-    writer = pages.writeStream.foreachBatch(fold_batch).option("checkpointLocation", checkpoint)
+
+def _drain(rows: DataFrame, fold_batch, checkpoint: str, available_now: bool):
+    writer = rows.writeStream.foreachBatch(fold_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     q = writer.start()
     if available_now:
@@ -44,123 +47,221 @@ def _drain(pages: DataFrame, fold_batch, checkpoint: str, available_now: bool):
     return q
 
 
-def bad_pages_path(base: str) -> str:
-    return f"{base.rstrip('/')}__bad_pages"
-
-
-def events_path(base: str) -> str:
-    return f"{base.rstrip('/')}__events"
-
-
-def rows_before_path(base: str) -> str:
-    return f"{base.rstrip('/')}__rows_before"
+def staging_path(base: str) -> str:
+    return f"{base.rstrip('/')}__landed"
 
 
-def _logged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A log with a folder per batch, with `batch_id`."""
-    return spark.read.schema(T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])).parquet(path)
+def left_out(spark: SparkSession, base: str) -> DataFrame:
+    """kind and text of the bad pages and records of all batches."""
+    return (spark.read.schema("text string, kind string, batch_id long").parquet(staging_path(base))
+            .where("kind in ('page', 'record')"))
 
 
-def fold_batch_events(spark: SparkSession, records: DataFrame, current: DataFrame, started, log: str,
-                      batch_id: int, now) -> DataFrame:
-    """The updated rows of the keys of a batch's `records`.
-
-    The records are first written to `log`, a folder per batch that a replay
-    writes again in place.  A key whose events all follow those folded before
-    goes on from its `current` row.  A key with a late event (files of one
-    landing are in no order, and a batch may end between any two of them) is
-    folded from the row it had before its first batch and all its events, so
-    its row doesn't depend on how the files were dealt to batches; what other
-    jobs wrote to such a row in between is not in it.
-
-    `started(old, new)` gives the rows before the first batch, from the
-    events of the earlier batches and of this one."""
-    records.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
-    events = _logged(spark, log, records.schema)
-    new = events.where(F.col("batch_id") == batch_id).drop("batch_id")
-    old = events.where(F.col("batch_id") < batch_id).drop("batch_id")
-    first_rows = started(old, new)
-    at = F.struct("id", "pos")
-    begins = new.groupBy("inner_id").agg(F.min(at).alias("begin"))
-    ends = old.join(begins.select("inner_id"), "inner_id", "left_semi").groupBy("inner_id").agg(F.max(at).alias("end"))
-    late = cut_lineage(begins.join(ends, "inner_id").where(F.col("begin") <= F.col("end")).select("inner_id"))
-    if not late.isEmpty():
-        current = (current.join(new.select("inner_id").distinct(), "inner_id", "left_semi").join(late, "inner_id", "left_anti")
-                   .unionByName(first_rows.join(late, "inner_id", "left_semi")))
-        new = new.unionByName(old.join(late, "inner_id", "left_semi"))
-    return apply_changes(current, new, now).touched
-
-
-def stream_apply(spark: SparkSession, pages_path: str, store: BucketedStore, checkpoint: str, now,
+def stream_apply(spark: SparkSession, pages_path: str, store: VersionedTable, checkpoint: str, now,
                  max_files: int = 100, multi_line: bool = True, available_now: bool = True,
                  budget: int = BAD_PAGE_BUDGET):
     """H2 (+ A3, A6, H4): drain the landed change pages into the raw store.
     Returns the finished (or running) StreamingQuery."""
-    columns = [f.name for f in RAW.fields]
-    before = rows_before_path(store.path)
-
-    def fold_batch(pages: DataFrame, batch_id: int) -> None:
+    def fold_batch(texts: DataFrame, batch_id: int) -> None:
         if batch_id <= store.last_batch():
-            return  # replay of a committed batch
-        records = batch_records(pages, now, bad_pages_path(store.path), batch_id, budget)
-        current = store.read()
-
-        def started(old: DataFrame, new: DataFrame) -> DataFrame:
-            """The store's rows as they were when a key's first event came."""
-            fresh = new.select("inner_id").distinct().join(old.select("inner_id"), "inner_id", "left_anti")
-            current.select(*columns).join(fresh, "inner_id", "left_semi").write.mode("overwrite").parquet(f"{before}/batch_id={batch_id}")
-            return _logged(spark, before, RAW).where(F.col("batch_id") <= batch_id).select(*columns)
-
-        store.merge(fold_batch_events(spark, records, current, started, events_path(store.path), batch_id, now), batch_id)
-
-    return _drain(stream_pages(spark, pages_path, max_files, multi_line), fold_batch, checkpoint, available_now)
-
-
-# --- H3: the latest row of each key -----------------------------------------------
-
-def latest_rows(log: DataFrame) -> DataFrame:
-    """The last row of every key in a log of raw rows with `batch_id`."""
-    columns = [f.name for f in RAW.fields]
-    return (log.groupBy("inner_id").agg(F.max_by(F.struct(*columns), "batch_id").alias("r")).select("r.*"))
-
-
-def _rows_before(spark: SparkSession, initial: DataFrame, out_path: str, batch_id: int) -> DataFrame:
-    columns = [f.name for f in RAW.fields]
-    first = initial.select(*columns).withColumn("batch_id", F.lit(-1).cast("long"))
-    if not path_exists(spark, out_path):
-        return first
-    log = spark.read.parquet(out_path).where(F.col("batch_id") < batch_id)
-    return first.unionByName(log.select(*columns, F.col("batch_id").cast("long")))
-
-
-def stream_row_updates(spark: SparkSession, pages_path: str, initial: DataFrame, out_path: str, checkpoint: str, now,
-                       max_files: int = 100, multi_line: bool = True, available_now: bool = True,
-                       budget: int = BAD_PAGE_BUDGET):
-    """H3: drain the pages into a log of updated rows (`out_path`, a folder
-    per batch) over the `initial` raw rows."""
-    def fold_batch(pages: DataFrame, batch_id: int) -> None:
-        records = batch_records(pages, now, bad_pages_path(out_path), batch_id, budget)
-        before = _rows_before(spark, initial, out_path, batch_id)
-        keys = records.select("inner_id").distinct()
-        state = latest_rows(before.join(keys, "inner_id", "left_semi"))
-        touched = fold_batch_events(spark, records, state, lambda old, new: initial.select(*[f.name for f in RAW.fields]),
-                                    events_path(out_path), batch_id, now)
-        touched.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
-
-    return _drain(stream_pages(spark, pages_path, max_files, multi_line), fold_batch, checkpoint, available_now)
+            return  # replay of a published batch
+        read = stage_batch(texts, now, staging_path(store.path), batch_id, budget)
+        store.merge(event_writers(read.records), batch_id, combine(now))
+        read.drop_good()
+
+    return _drain(stream_page_texts(spark, pages_path, max_files, multi_line), fold_batch, checkpoint, available_now)
+
+
+# --- H3: the fold in keyed state ---------------------------------------------------
+
+_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_BASE = {"timestampNTZFormat": _TIME}
+_NAMES = ("first", "type", "change")
+_ROW_STATE = T.StructType(
+    [T.StructField("base", T.StringType())]
+    + [T.StructField(f"{n}_{f}", t) for n in _NAMES for f, t in (("id", T.LongType()), ("pos", T.LongType()))]
+    + [T.StructField(n, T.StringType()) for n in ("first_type", "first_at", "first_data", "type_value", "change_at")]
+    + [T.StructField("removed", T.BooleanType())])
+_PLACES = ["id", "pos", "p", "first_id", "first_pos", "first_p"]
+_FIELD_STATE = T.StructType([T.StructField("value", T.StringType()), *(T.StructField(n, T.LongType()) for n in _PLACES)])
+_STATE_OUT = T.StructType([
+    T.StructField("inner_id", T.StringType()), *_ROW_STATE.fields,
+    T.StructField("fields", T.ArrayType(T.StructType([T.StructField("key", T.StringType()), *_FIELD_STATE.fields]))),
+    T.StructField("forgotten", T.BooleanType())])
+
+
+class RowFold(StatefulProcessor):
+    """A key's summary: the row in a value state, the last writer of each field
+    in a map state, so that a change writes only the fields it brings.
+
+    With `forget_after` (seconds of event time) a listing is forgotten that
+    long after its removal, by a timer: its last row goes out marked `forgotten`."""
+
+    def __init__(self, forget_after: int | None = None):
+        self.forget_after = forget_after
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.row = handle.getValueState("row", _ROW_STATE)
+        self.fields = handle.getMapState("fields", "key string", _FIELD_STATE)
+
+    def _get(self) -> dict:
+        values = self.row.get() if self.row.exists() else None
+        return dict(zip(_ROW_STATE.names, values)) if values is not None else dict.fromkeys(_ROW_STATE.names) | {"removed": False}
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803 (Spark's names)
+        self.row.update(tuple((self._get() | {"base": initialState.base}).values()))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        state, fields, due = self._get(), {}, None
+        had_row, before = state["base"] is not None or state["first_id"] is not None, (state["first_id"], state["first_pos"])
+        touched = False
+        for e in rows:
+            at = (e.id, e.pos)
+            if state["first_id"] is None or at < (state["first_id"], state["first_pos"]):
+                state.update(first_id=e.id, first_pos=e.pos, first_type=e.change_type, first_at=e.created_at, first_data=e.data)
+            if not (e.is_change or e.change_type == "removed"):
+                continue
+            touched = True
+            if state["type_id"] is None or at > (state["type_id"], state["type_pos"]):
+                state.update(type_id=e.id, type_pos=e.pos, type_value=e.change_type)
+            if e.change_type == "removed":
+                state["removed"] = True
+                due = max(due or 0, e.at_ms)
+            else:
+                if state["change_id"] is None or at > (state["change_id"], state["change_pos"]):
+                    state.update(change_id=e.id, change_pos=e.pos, change_at=e.created_at)
+                for p, (name, value) in enumerate(zip(e.names, e.values)):
+                    place = (*at, p)
+                    if name not in fields:
+                        old = self.fields.getValue((name,)) if self.fields.containsKey((name,)) else None
+                        fields[name] = tuple(old) if old is not None else (None, *place, *place)
+                        if old is None:
+                            fields[name] = (value, *place, *place)
+                    have = fields[name]
+                    last = (value, *place) if place >= have[1:4] else have[:4]
+                    fields[name] = (*last, *min(have[4:], place))
+        new_base = state["base"] is None and (state["first_id"], state["first_pos"]) != before
+        if not (touched or new_base or not had_row):
+            return
+        self.row.update(tuple(state.values()))
+        for name, value in fields.items():
+            self.fields.updateValue((name,), value)
+        if due is not None and self.forget_after is not None:
+            self.handle.registerTimer(due + 1000 * self.forget_after)
+        yield self._out(key, state, False)
+
+    def _out(self, key, state: dict, forgotten: bool) -> Row:
+        every = [Row(key=name[0], **dict(zip(_FIELD_STATE.names, value))) for name, value in self.fields.iterator()]
+        return Row(inner_id=key[0], **state, fields=every, forgotten=forgotten)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        out = self._out(key, self._get(), True)
+        self.row.clear()
+        self.fields.clear()
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+@contextlib.contextmanager
+def _state_store(spark: SparkSession):
+    """`transformWithState` needs RocksDB; the session's own choice comes back afterwards."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+def state_updates(records: DataFrame, initial: DataFrame | None = None, forget_after: int | None = None,
+                  watermark: str = "2 days") -> DataFrame:
+    """H3: a stream of change records -> a stream of (inner_id, writers, forgotten),
+    the summary of every key a batch touches.  `initial`: raw rows from before
+    the stream."""
+    spark = records.sparkSession
+    ensure_runtime_confs(spark)
+    entries = F.coalesce(F.map_entries(map_new_keys(F.col("m"))), F.array())
+    events = recognised(records).select(
+        "inner_id", F.col("ord.id").alias("id"), F.col("ord.pos").cast("long").alias("pos"), "change_type",
+        F.date_format("created_at", _TIME).alias("created_at"), "data", F.coalesce("is_change", F.lit(False)).alias("is_change"),
+        F.when(F.col("is_change"), F.transform(entries, lambda e: e["key"])).alias("names"),
+        F.when(F.col("is_change"), F.transform(entries, lambda e: F.to_json(e["value"]))).alias("values"),
+        _instant(F.col("created_at")).alias("at"))
+    events = events.withColumn("at_ms", F.unix_millis("at"))
+    if forget_after is not None:
+        events = events.withWatermark("at", watermark)
+    before = None
+    if initial is not None:
+        before = initial.select("inner_id", F.to_json(base_of(initial), _BASE).alias("base")).groupBy("inner_id")
+    out = events.groupBy("inner_id").transformWithState(
+        RowFold(forget_after), _STATE_OUT, "Update", "EventTime" if forget_after is not None else "None", before)
+    return out.select("inner_id", _summary().alias("writers"), "forgotten")
+
+
+def _instant(c) -> F.Column:
+    """The UTC wall clock of a record as an instant: what a watermark needs."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", ntz(dt.datetime(1970, 1, 1)), c))
+
+
+def _summary():
+    """The columns of `_STATE_OUT` as a summary."""
+    at = lambda n: [F.col(f"{n}_id").alias("id"), F.col(f"{n}_pos").cast("int").alias("pos")]
+    time = lambda c: F.to_timestamp_ntz(F.col(c), F.lit(_TIME))
+    there = lambda n, *c: F.when(F.col(f"{n}_id").isNotNull(), F.struct(*at(n), *c))
+    field = lambda e: F.struct(e["key"], F.struct(
+        e["value"], F.struct(e["id"], e["pos"].cast("int"), e["p"].cast("int")).alias("last"),
+        F.struct(e["first_id"], e["first_pos"].cast("int"), e["first_p"].cast("int")).alias("first")))
+    parts = {
+        "base": F.from_json("base", WRITERS["base"].dataType, _BASE),
+        "first": there("first", F.col("first_type").alias("change_type"), time("first_at").alias("created_at"), F.col("first_data").alias("data")),
+        "type": there("type", F.col("type_value").alias("change_type")),
+        "change": there("change", time("change_at").alias("created_at")),
+        "removed": F.col("removed"),
+        "fields": F.map_from_entries(F.transform("fields", field)),
+    }
+    return F.struct(*[c.cast(WRITERS[n].dataType.simpleString()).alias(n) for n, c in parts.items()])
+
+
+def stateful_apply(spark: SparkSession, pages_path: str, store: VersionedTable, checkpoint: str, now,
+                   max_files: int = 100, multi_line: bool = True, available_now: bool = True,
+                   forget_after: int | None = None):
+    """H3: drain the pages through keyed state; the updated rows of each batch
+    are upserted into `store`, whose rows from before the first run are the
+    state's initial rows.  Returns the StreamingQuery."""
+    start = f"{checkpoint.rstrip('/')}__initial"
+    # The rows before the first run stay the initial state when the query restarts.
+    if not VersionedTable(spark, start, RAW, buckets=store.buckets).exists():
+        VersionedTable(spark, start, RAW, buckets=store.buckets).replace(store.read())
+    initial = VersionedTable(spark, start, RAW).read()
+
+    def fold_batch(updates: DataFrame, batch_id: int) -> None:
+        if batch_id <= store.last_batch():
+            return
+        # The batch is computed once: its state is committed with it.
+        path = f"{staging_path(store.path)}/batch_id={batch_id}"
+        updates.write.mode("overwrite").parquet(path)
+        rows = spark.read.schema(updates.schema).parquet(path)
+        made = raw_columns(F.col("writers"), F.col("inner_id"), now)
+        store.merge(rows.select(*[c.alias(n) for n, c in made.items()], F.lit(False).alias("is_processed"), "writers"), batch_id)
 
+    with _state_store(spark):
+        records = stream_change_pages(spark, pages_path, now, max_files, multi_line)
+        return _drain(state_updates(records, initial, forget_after), fold_batch, checkpoint, available_now)
 
-def current_rows(spark: SparkSession, initial: DataFrame, out_path: str) -> DataFrame:
-    """The raw table as of the last batch of the log."""
-    return latest_rows(_rows_before(spark, initial, out_path, (1 << 63) - 1))
 
+# --- H5 ----------------------------------------------------------------------------
 
 def stream_change_stats(records: DataFrame, watermark: str = "2 days") -> DataFrame:
-    """H5 (streaming form): events per type per day of event time; a day is
-    final once the watermark passes it (append mode)."""
-    # A watermark needs an instant: the UTC wall clock of the record, read as UTC.
-    instant = F.timestamp_micros(F.timestamp_diff("MICROSECOND", ntz(dt.datetime(1970, 1, 1)), F.col("created_at")))
-    return (records.withColumn("created_at", instant).withWatermark("created_at", watermark)
+    """H5 (streaming form): events per type per day of event time, each change
+    id once.  In append mode a day comes once, when the watermark has passed it;
+    the state of passed days and ids is dropped, and so is an event that comes
+    behind the watermark: `late_events` counts those."""
+    return (records.withColumn("created_at", _instant(F.col("created_at"))).withWatermark("created_at", watermark)
+            .dropDuplicatesWithinWatermark(["id"])
             .groupBy(F.window("created_at", "1 day").alias("day"))
             .agg(F.count_if(F.col("change_type") == "added").cast("bigint").alias("added"),
                  F.count_if(F.col("change_type") == "changed").cast("bigint").alias("changed"),
@@ -168,6 +269,13 @@ def stream_change_stats(records: DataFrame, watermark: str = "2 days") -> DataFr
                  F.count(F.lit(1)).cast("bigint").alias("events")))
 
 
+def late_events(query) -> int:
+    """The events that a finished `stream_change_stats` query left out as late:
+    those that its first stateful operator, the one on change ids, dropped."""
+    by_batch = {p.batchId: p for p in query.recentProgress if p.stateOperators}
+    return sum(p.stateOperators[-1].numRowsDroppedByWatermark for p in by_batch.values())
+
+
 def land_in_order(changes: DataFrame, path: str, chunks: int = 4, page_size: int = 20) -> list[str]:
     """Land a feed as `chunks` id-ordered groups of page files written one
     after the other (file sources pick files up in modification order), each

@@ -57,7 +57,7 @@ def test_change_pages_and_chain(spark):
     assert gaps == {(12, 20, "gap")}
 
 
-def test_bucketed_store_merge_and_lookup(spark):
+def test_table_merge_and_lookup(spark):
     root = tempfile.mkdtemp(prefix="store-", dir="/tmp")
     store = ST.raw_store(spark, f"{root}/raw", buckets=8)
     base = snapshot_raw(spark, "/root/testdata/sf0.001")
@@ -82,8 +82,9 @@ def test_bad_pages_and_bad_records_are_set_aside(spark):
     _write(d, "d.json", {"result": [], "meta": None})
     recs, bad = PG.read_change_pages(spark, d, NOW)
     assert bad == 3 and [r.id for r in recs.collect()] == [1]
-    kinds = sorted(r.kind for r in PG.read_bad_records(spark, d).collect())
-    assert kinds == ["page", "page", "page", "record"]
+    read = PG.load_change_pages(spark, d, NOW)
+    assert sorted(r.kind for r in read.left_out.collect()) == ["page", "page", "page", "record"]
+    assert read.counters == {"pages": 4, "bad_pages": 3, "records": 1, "bad_records": 1, "keyless": 0}
     with pytest.raises(PG.BadPageBudgetExceeded):
         PG.read_change_pages(spark, d, NOW, budget=2)
 
@@ -102,6 +103,19 @@ def test_store_errors_are_not_an_empty_table(spark):
     assert ST.raw_store(spark, f"{root}/raw").last_batch() == -1
 
 
+def test_two_writers_conflict_visibly(spark):
+    root = tempfile.mkdtemp(prefix="store-", dir="/tmp")
+    base = snapshot_raw(spark, "/root/testdata/sf0.001").limit(20)
+    one, two = (ST.raw_store(spark, f"{root}/raw", buckets=2) for _ in range(2))
+    one.replace(base)
+    seen = two.version()
+    one.merge(base.withColumn("active_status", F.lit(1)))
+    two.version = lambda: seen  # read before the other wrote
+    with pytest.raises(ST.VersionConflict):
+        two.merge(base.withColumn("active_status", F.lit(2)))
+    assert {r.active_status for r in one.read().collect()} == {1}
+
+
 def test_store_commit_is_the_switch(spark):
     root = tempfile.mkdtemp(prefix="store-", dir="/tmp")
     store = ST.raw_store(spark, f"{root}/raw", buckets=4)
@@ -109,7 +123,8 @@ def test_store_commit_is_the_switch(spark):
     store.replace(base, batch_id=0)
     before = store.read()
     # A crash after the data and before the commit: a folder that nothing names.
-    store._write(store._with_bucket(base.withColumn("active_status", F.lit(7)), 4))
+    lost = base.withColumn("active_status", F.lit(7))
+    store._write(store._whole(lost).withColumn("bucket", ST.bucket_of(F.col("inner_id"), 4)))
     assert store.read().where("active_status = 7").count() == 0
     changed = base.where("id < 3").withColumn("active_status", F.lit(1))
     store.merge(changed, batch_id=1)
@@ -118,7 +133,7 @@ def test_store_commit_is_the_switch(spark):
     assert before.where("active_status = 1").count() == 0  # an older read still has its files
     store.merge(base.limit(0), batch_id=2)
     assert store.last_batch() == 2 and store.read().count() == base.count()
-    assert store.vacuum() >= 1 and store.read().count() == base.count()
+    assert store.prune() >= 1 and store.read().count() == base.count()
     store.replace(base.limit(5))
     assert store.read().count() == 5 and store.lookup("1").count() <= 1
 

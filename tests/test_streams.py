@@ -3,8 +3,13 @@
 import datetime as dt
 import json
 import os
+import random
+import shutil
 import tempfile
 
+import pytest
+
+from listing_engine.operators import writers as WR
 from listing_engine.operators.changes import apply_changes
 from listing_engine.schemas import RAW
 from listing_engine.sources import stores as ST
@@ -38,18 +43,105 @@ def _shown(rows):
                   for r in rows.collect())
 
 
-def test_files_in_any_order_one_a_batch(spark):
-    initial = spark.createDataFrame([(100, "old", "added", T0, '{"price":8,"mark":"b"}', T0, T0, "initial_load", 0, True),
-                                     (101, "other", "added", T0, '{"price":9}', T0, T0, "initial_load", 0, True)], RAW)
-    feed = spark.createDataFrame([(i, p, k, t, T0 + dt.timedelta(minutes=i), json.dumps(data))
-                                  for page in PAGES for p, (i, k, t, data) in enumerate(page)],
+def _initial(spark):
+    return spark.createDataFrame([(100, "old", "added", T0, '{"price":8,"mark":"b"}', T0, T0, "initial_load", 0, True),
+                                  (101, "other", "added", T0, '{"price":9}', T0, T0, "initial_load", 0, True)], RAW)
+
+
+def _feed(spark, pages=PAGES):
+    return spark.createDataFrame([(i, p, k, t, T0 + dt.timedelta(minutes=i), json.dumps(data))
+                                  for page in pages for p, (i, k, t, data) in enumerate(page)],
                                  "id long, pos int, inner_id string, change_type string, created_at timestamp_ntz, data string")
-    expected = _shown(apply_changes(initial, feed, NOW).table)
-    pages, root = _land([1, 0, 2]), tempfile.mkdtemp(prefix="stream-", dir="/tmp")
+
+
+@pytest.mark.parametrize("fold", [SA.stream_apply, SA.stateful_apply])
+@pytest.mark.parametrize("order", [[1, 0, 2], [2, 1, 0]])
+def test_files_in_any_order_one_a_batch(spark, fold, order):
+    expected = _shown(apply_changes(_initial(spark), _feed(spark), NOW).table)
+    pages, root = _land(order), tempfile.mkdtemp(prefix="stream-", dir="/tmp")
     store = ST.raw_store(spark, f"{root}/raw", buckets=2)
-    store.replace(initial)
-    SA.stream_apply(spark, pages, store, f"{root}/checkpoint", NOW, max_files=1)
+    store.replace(_initial(spark))
+    fold(spark, pages, store, f"{root}/checkpoint", NOW, max_files=1)
     assert store.last_batch() == 2
     assert _shown(store.read()) == expected
-    SA.stream_row_updates(spark, pages, initial, f"{root}/out", f"{root}/checkpoint-rows", NOW, max_files=1)
-    assert _shown(SA.current_rows(spark, initial, f"{root}/out")) == expected
+
+
+@pytest.mark.parametrize("fold", [SA.stream_apply, SA.stateful_apply])
+def test_restart_in_the_middle(spark, fold):
+    expected = _shown(apply_changes(_initial(spark), _feed(spark), NOW).table)
+    pages, root = _land([2, 0]), tempfile.mkdtemp(prefix="stream-", dir="/tmp")
+    store = ST.raw_store(spark, f"{root}/raw", buckets=2)
+    store.replace(_initial(spark))
+    fold(spark, pages, store, f"{root}/checkpoint", NOW, max_files=1)
+    assert store.last_batch() == 1
+    late = _land([1])
+    shutil.copy(f"{late}/p1.json", f"{pages}/p1.json")  # the page between comes last
+    fold(spark, pages, ST.raw_store(spark, f"{root}/raw", buckets=2), f"{root}/checkpoint", NOW, max_files=1)
+    assert store.last_batch() == 2 and _shown(store.read()) == expected
+
+
+def test_a_removed_listing_is_forgotten_after_a_while(spark):
+    root = tempfile.mkdtemp(prefix="forget-", dir="/tmp")
+    day = lambda n: T0 + dt.timedelta(days=n)
+    feed = [(0, "a", "added", day(0)), (1, "a", "removed", day(1)), (2, "b", "added", day(1)), (3, "b", "changed", day(40))]
+    schema = "id long, pos int, inner_id string, change_type string, created_at timestamp_ntz, data string"
+    for i, e in enumerate(feed):
+        spark.createDataFrame([(e[0], 0, e[1], e[2], e[3], '{"price":1}')], schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    with SA._state_store(spark):
+        events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        seen = []
+        query = (SA.state_updates(events, forget_after=86_400).writeStream.outputMode("update")
+                 .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+                 .foreachBatch(lambda b, _: seen.extend((r.inner_id, r.forgotten) for r in b.collect())).start())
+        query.awaitTermination()
+    assert ("a", True) in seen and ("b", True) not in seen
+
+
+def test_any_split_and_order_of_batches_equals_one_fold(spark):
+    """The replay property of the change rules, on random feeds: each case is
+    a key space of its own, dealt to batches at random, some twice."""
+    rng, cases = random.Random(11), 300
+    events, batches = [], [[] for _ in range(6)]
+    for case in range(cases):
+        for i in range(rng.randrange(1, 9)):
+            key = f"{case}-{rng.choice('xy')}"
+            e = (len(events), rng.randrange(2), key, rng.choice(["added", "changed", "changed", "removed", "other", None]),
+                 T0 + dt.timedelta(minutes=rng.randrange(1000)),
+                 rng.choice(['{"new_a":1}', '{"a":2,"b":{"c":[1]}}', '{"b":null,"new_b":3}', "[1]", "{}", '{"c":1.5}', None]))
+            events.append(e)
+            for b in rng.sample(range(6), rng.choice([1, 1, 2])):
+                batches[b].append(e)
+    schema = "id long, pos int, inner_id string, change_type string, created_at timestamp_ntz, data string"
+    base = [(10**6 + c, f"{c}-x", "added", T0, rng.choice(['{"a":9,"z":1}', "[]", "7", None]), T0, T0, "initial_load", rng.randrange(2), True)
+            for c in range(0, cases, 3)]
+    initial = spark.createDataFrame(base, RAW)
+    root = tempfile.mkdtemp(prefix="replay-", dir="/tmp")
+    store = ST.raw_store(spark, f"{root}/raw", buckets=1)
+    store.replace(initial)
+    for n, batch in enumerate(batches):
+        store.merge(WR.event_writers(spark.createDataFrame(batch, schema)), n, WR.combine(NOW))
+    shown = lambda rows: sorted((r.inner_id, r.id, r.change_type, r.created_at, r.active_status, r.data and json.dumps(json.loads(r.data), sort_keys=True))
+                                for r in rows.collect())
+    expected = shown(apply_changes(initial, spark.createDataFrame(events, schema), NOW).table)
+    assert shown(store.read()) == expected
+
+
+def test_day_counts_come_once_without_repeated_and_late_events(spark):
+    root = tempfile.mkdtemp(prefix="days-", dir="/tmp")
+    schema = "id long, change_type string, created_at timestamp_ntz"
+    at = lambda d, h=1: T0 + dt.timedelta(days=d, hours=h)
+    chunks = [[(0, "added", at(0)), (1, "changed", at(0, 5)), (2, "added", at(1))],
+              [(1, "changed", at(0, 5)), (3, "removed", at(3)), (4, "changed", at(4))],  # id 1 again
+              [(6, "added", at(9))],
+              [(5, "added", at(0, 2)), (7, "added", at(10))]]  # id 5 is behind the watermark
+    for n, chunk in enumerate(chunks):
+        spark.createDataFrame(chunk, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        part = max((f for f in os.listdir(f"{root}/in") if f.startswith("part-")), key=lambda f: os.path.getmtime(f"{root}/in/{f}"))
+        os.utime(f"{root}/in/{part}", (1_700_000_000 + 60 * n,) * 2)
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    query = (SA.stream_change_stats(rows, "2 days").writeStream.outputMode("append").format("parquet")
+             .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/out"))
+    query.awaitTermination()
+    days = {r.day.start.date(): (r.added, r.changed, r.removed, r.events) for r in spark.read.parquet(f"{root}/out").collect()}
+    assert days == {at(0).date(): (1, 1, 0, 2), at(1).date(): (1, 0, 0, 1), at(3).date(): (0, 0, 1, 1), at(4).date(): (0, 1, 0, 1)}
+    assert SA.late_events(query) == 1
