@@ -33,13 +33,20 @@ def _load_ranks(path: str) -> bytes:
 
 
 def _encoding(rank_bytes: bytes, pattern: str):
+    """The encoding of a rank file; a worker builds it once, whatever tasks it runs."""
     import base64
+    import hashlib
 
     import tiktoken
+    from tiktoken.registry import ENCODINGS
 
+    name = "local-" + hashlib.sha256(pattern.encode() + b"\0" + rank_bytes).hexdigest()
+    if name in ENCODINGS:
+        return ENCODINGS[name]
     ranks = {base64.b64decode(token): int(rank)
              for token, rank in (line.split() for line in rank_bytes.splitlines() if line)}
-    return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    ENCODINGS[name] = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return ENCODINGS[name]
 
 
 def safe_pieces(text: str, limit: int):

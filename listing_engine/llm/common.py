@@ -9,9 +9,22 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+BATCH_BYTES = "4m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold a few megabytes, where the session has not set a
+    bound itself: with long texts the default of 10,000 rows or 64 MB, held in
+    and out by the JVM and by each Python worker, is most of an executor."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) in (None, "67108864b", "67108864"):
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; none for NULL.
 

@@ -149,24 +149,44 @@ def with_copies(rows: DataFrame, ends: DataFrame) -> DataFrame:
         return copied(with_ends, chosen)
     split = F.coalesce(at_edge & (order_key() == F.col("last")) & (F.col("quota") < F.col("members")), F.lit(False))
     return copied(with_ends.where(~split), chosen).unionByName(
-        copied(ranked(with_ends.where(split)), F.col("rank") < F.col("quota")).drop("slice", "rank"))
+        copied(ranked(with_ends.where(split)), F.col("rank") < F.col("quota")).drop("rank"))
 
 
 def ranked(members: DataFrame) -> DataFrame:
-    """The rows of each source's split unit with `rank` from 0.
+    """The rows of each source's split unit with `rank`; those below `quota` are taken.
 
-    A unit may be a third of a table, and its rows can't be told apart: they
-    are kept once, with a number each, and dealt by it to about sqrt(members)
-    slices; a rank is the rows of the slices before plus the rank in its own."""
+    The rows go by a hash of their text, so that every run takes the same
+    texts.  The text at which the quota ends is found on counts per hash, in
+    about sqrt(members) ranges of it; only rows with that very text, which can't
+    be told apart, are kept once, numbered, and ranked by slices of the number."""
     slices = F.ceil(F.sqrt("members")).cast("long")
-    kept = cut_lineage(members.withColumn("row", F.monotonically_increasing_id()).withColumn("slice", F.pmod(F.xxhash64("row"), slices)))
-    before = Window.partitionBy("c_source").orderBy("c_slice").rowsBetween(Window.unboundedPreceding, -1)
-    cells = (kept.groupBy(F.col("t_source").alias("c_source"), F.col("slice").alias("c_slice")).agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
+    tie = F.xxhash64(F.coalesce("__row.text", F.lit(""))) if "__row" in members.columns else F.lit(0).cast("long")
+    rows = members.withColumn("tie", tie)
+    span = F.least(slices - 1, F.floor((F.col("tie") / float(1 << 64) + 0.5) * slices))
+    ties = (rows.groupBy("t_source", "quota", span.alias("span"), "tie").agg(F.count(F.lit(1)).alias("n")))
+    earlier = Window.partitionBy("c_source").orderBy("c_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (ties.groupBy(F.col("t_source").alias("c_source"), F.col("span").alias("c_span")).agg(F.sum("n").alias("n"))
+             .select("c_source", "c_span", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset")))
+    inner = Window.partitionBy("t_source", "span").orderBy("tie").rowsBetween(Window.unboundedPreceding, -1)
+    ends = cut_lineage(  # one row a source
+        ties.join(spans, F.col("t_source").eqNullSafe(F.col("c_source")) & (F.col("span") == F.col("c_span")))
+        .withColumn("start", F.col("offset") + F.coalesce(F.sum("n").over(inner), F.lit(0)))
+        .where("start < quota and start + n >= quota")
+        .select(F.col("t_source").alias("b_source"), F.col("tie").alias("b_tie"), F.col("start").alias("b_start"), F.col("n").alias("b_n")))
+    small = ends.count() <= MOST_BROADCAST
+    judged = rows.join(F.broadcast(ends) if small else ends, F.col("t_source").eqNullSafe(F.col("b_source")))
+    clear = judged.where("tie <> b_tie").withColumn("rank", F.when(F.col("tie") < F.col("b_tie"), F.lit(0)).otherwise(F.col("members")).cast("long"))
+    equal = cut_lineage(judged.where("tie = b_tie").withColumn("row", F.monotonically_increasing_id())
+                        .withColumn("slice", F.pmod(F.xxhash64("row"), F.ceil(F.sqrt("b_n")).cast("long"))))
+    cells = (equal.groupBy(F.col("t_source").alias("c_source"), F.col("slice").alias("c_slice")).agg(F.count(F.lit(1)).alias("n"))
+             .select("c_source", "c_slice", F.coalesce(F.sum("n").over(
+                 Window.partitionBy("c_source").orderBy("c_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset")))
     within = Window.partitionBy("t_source", "slice").orderBy("row")
-    return (kept.withColumn("within", F.row_number().over(within) - 1)
-            .join(cells, F.col("t_source").eqNullSafe(F.col("c_source")) & (F.col("slice") == F.col("c_slice")))
-            .withColumn("rank", F.col("offset") + F.col("within")).drop("row", "within", "offset", "c_source", "c_slice"))
+    placed = (equal.withColumn("within", F.row_number().over(within) - 1)
+              .join(cells, F.col("t_source").eqNullSafe(F.col("c_source")) & (F.col("slice") == F.col("c_slice")))
+              .withColumn("rank", (F.col("b_start") + F.col("offset") + F.col("within")).cast("long")))
+    names = [*members.columns, "rank"]
+    return clear.select(*names).unionByName(placed.select(*names))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:

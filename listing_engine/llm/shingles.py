@@ -13,7 +13,8 @@ import sys
 
 from pyspark import cloudpickle
 
-CHUNK = 1 << 20  # bytes hashed at a time
+CHUNK = 1 << 16  # bytes hashed at a time
+KEPT_POWERS = 1 << 17  # of each base; longer runs are worked out when they come
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95  # odd
 _POWERS: dict = {}
 
@@ -37,7 +38,9 @@ def powers(base: int, n: int):
         steps = [np.full(size, b, dtype=np.uint64) for b in (base, pow(base, -1, 1 << 64))]
         for s in steps:
             s[0] = 1
-        have = _POWERS[base] = tuple(np.cumprod(s) for s in steps)
+        have = tuple(np.cumprod(s) for s in steps)
+        if size <= KEPT_POWERS:
+            _POWERS[base] = have
     return have[0][:n], have[1][:n]
 
 

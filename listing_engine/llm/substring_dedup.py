@@ -26,7 +26,7 @@ shuffle.  The join that takes this back to the occurrences streams those of one
 window through one partition, as narrow rows that are never held together.
 
 Defined results: NULL text has no words; NULL doc_id counts as larger than any
-other; rows of equal doc_id don't remove from each other; texts of fewer than
+other; rows of equal doc_id, whatever their texts, don't remove from each other; texts of fewer than
 `window` words stay whole; an empty table gives an empty table; other columns
 are passed on by `dedup` and ignored by `kept`.
 """
@@ -35,7 +35,7 @@ from __future__ import annotations
 
 import sys
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -50,6 +50,7 @@ FLUSH = 1 << 20
 LAST_ID = (1 << 63) - 1
 TIE_BITS = 31
 TIE_MASK = (1 << TIE_BITS) - 1
+CHECK_BITS = 32  # of a repeated window's hash, which its text has to have at that place
 
 
 def seeds(words, window: int, seed: int):
@@ -189,10 +190,15 @@ def estimated_repeated(rows: DataFrame, window: int, seed: int, max_sketch_bits:
 
 
 def repeated_starts(rows: DataFrame, window: int = WINDOW, seed: int = SEED, max_sketch_bits: int = MAX_SKETCH_BITS) -> DataFrame:
-    """doc, mark (the low bits of tie) and `starts`, the places of its windows that start in a smaller doc."""
+    """doc, mark (the low bits of tie) and `starts`, the windows that start in a
+    smaller doc: their place and, below it, CHECK_BITS of their hash.
+
+    Rows of one doc_id whose marks agree share `starts`; the hash tells in which
+    of their texts a window stands."""
     windows = estimated_repeated(rows, window, seed, max_sketch_bits)
     first = windows.groupBy("hash", "seed").agg(F.min("doc").alias("least"))
-    mark, place = F.col("at").bitwiseAND(F.lit(TIE_MASK)), F.shiftright("at", TIE_BITS).cast("int")
+    mark = F.col("at").bitwiseAND(F.lit(TIE_MASK))
+    place = F.shiftleft(F.shiftright("at", TIE_BITS), CHECK_BITS).bitwiseOR(F.col("hash").bitwiseAND(F.lit((1 << CHECK_BITS) - 1)))
     return (windows.join(first, ["hash", "seed"]).where("doc > least")
             .groupBy("doc", mark.alias("mark")).agg(F.collect_set(place).alias("starts")))
 
@@ -201,14 +207,22 @@ def mark_of(tie: Column) -> Column:
     return tie.bitwiseAND(F.lit(TIE_MASK))
 
 
-def without(raw: bytes, starts, window: int) -> tuple[list[bytes], list[bytes]]:
-    """(all words, words that no window at `starts` covers) of a text."""
+def without(raw: bytes, starts, window: int, tables) -> tuple[list[bytes], list[bytes]]:
+    """(all words, words that no window at `starts` covers) of a text.
+
+    A window counts if the text has it there: `starts` may hold those of
+    another row of the same doc_id."""
     import numpy as np
 
     words = raw.split()
-    if starts is None or not len(starts):
+    if starts is None or not len(starts) or len(words) < window:
         return words, words
-    edge, at = np.zeros(len(words) + 1, dtype=np.int64), np.asarray(starts)
+    starts = np.asarray(starts, dtype=np.int64)
+    at, check = starts >> CHECK_BITS, starts & ((1 << CHECK_BITS) - 1)
+    hashes = window_hashes(word_hashes(raw, tables), window).view(np.int64) & ((1 << CHECK_BITS) - 1)
+    inside = at < len(hashes)
+    at = at[inside][hashes[at[inside]] == check[inside]]
+    edge = np.zeros(len(words) + 1, dtype=np.int64)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + window, -1)
     stays = np.cumsum(edge[:-1]) == 0
@@ -223,13 +237,13 @@ def kept(docs: DataFrame, window: int = WINDOW, seed: int = SEED, max_sketch_bit
     def run(batches):
         import pyarrow as pa
 
-        names = ["doc", "n_words", "n_removed", "kept"]
+        tables, names = byte_tables(), ["doc", "n_words", "n_removed", "kept"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 out = []
                 for doc, raw, at in zip(*batch.slice(low, 256).columns):
-                    words, stay = without(raw.as_py(), at.as_py(), window)
+                    words, stay = without(raw.as_py(), at.as_py(), window, tables)
                     out.append((doc.as_py(), len(words), len(words) - len(stay), b" ".join(stay).decode()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
@@ -249,14 +263,17 @@ def dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED, max_sketch_bi
               .select(F.col("doc").alias("__s_doc"), F.col("mark").alias("__s_mark"), F.col("starts").alias("__starts")))
     text = F.coalesce("text", F.lit(""))
 
-    @F.pandas_udf("string")
-    def remaining(raw: pd.Series, at: pd.Series) -> pd.Series:
-        return pd.Series([b" ".join(without(r, a, window)[1]).decode() if a is not None else None for r, a in zip(raw, at)],
-                         dtype=object)
+    @F.arrow_udf("string")
+    def remaining(raw: pa.Array, at: pa.Array) -> pa.Array:
+        tables = byte_tables()
+        return pa.array([b" ".join(without(r.as_py(), a.as_py(), window, tables)[1]).decode() if a.is_valid else None for r, a in zip(raw, at)],
+                        pa.string())
 
     marked = docs.withColumns({"__doc": F.coalesce(F.col("doc_id"), F.lit(LAST_ID)), "__mark": mark_of(F.xxhash64(text))})
     joined = marked.join(starts, (F.col("__doc") == F.col("__s_doc")) & (F.col("__mark") == F.col("__s_mark")), "left")
-    left = joined.withColumn("__left", remaining(text.cast("binary"), "__starts"))
+    # Only the texts that lose something go through Python.
+    cut = F.when(F.col("__starts").isNotNull(), text.cast("binary"))
+    left = joined.withColumn("__left", remaining(cut, "__starts"))
     return (left.where("__starts is null or __left <> ''")
             .select(*[F.when(F.col("__starts").isNull(), F.col("text")).otherwise(F.col("__left")).alias(c) if c == "text" else F.col(c)
                       for c in docs.columns]))

@@ -72,6 +72,12 @@ def targets_by_steps(sizes, most=3):
     return target
 
 
+def test_a_split_unit_gives_the_same_texts_however_it_is_read(spark):
+    rows = [(None, f"a b c d e f g h i w{k % 30}", None, "one") for k in range(41)] + [(k, "x y z", None, "two") for k in range(40)]
+    seen = {tuple(sorted(r.text for r in mixing.apply(odd_documents(spark, rows).repartition(n)).collect())) for n in (3, 7)}
+    assert len(seen) == 1
+
+
 def test_mix_meets_its_targets(spark, docs):
     for frame in (docs, odd_documents(spark)):
         rows = mixing.mix(frame).collect()

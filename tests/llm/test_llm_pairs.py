@@ -95,6 +95,28 @@ def test_a_full_sketch_loses_nothing(spark):
     assert got == brute_substring(pairs_of(frame), 7)
 
 
+def test_rows_of_one_id_whose_marks_agree(spark, monkeypatch):
+    """Many texts without an id, told apart by few bits: a window counts only where a text has it."""
+    monkeypatch.setattr(substring_dedup, "TIE_BITS", 2)
+    monkeypatch.setattr(substring_dedup, "TIE_MASK", 3)
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared, rows = words(60), []
+    rows.append((1, " ".join(shared), "en", None))
+    for k in range(200):
+        own = words(rng.choice([3, 60, 300]))
+        if k % 3 == 0:
+            at = rng.randrange(len(own) + 1)
+            own[at:at] = shared
+        rows.append((None, " ".join(own), "en", None))
+    frame = odd_documents(spark, rows).repartition(5)
+    want = brute_substring(pairs_of(frame), 50)
+    got = sorted((as_id(r.doc_id), r.n_words, r.n_removed, r.kept) for r in substring_dedup.kept(frame).collect())
+    assert got == want and sum(r[2] for r in want) == 67 * 60
+    left = sorted(r.text for r in substring_dedup.dedup(frame).collect())
+    assert left == sorted(text for _, _, _, text in want if text)
+
+
 def test_dedup_keeps_columns_and_untouched_texts(spark):
     frame = odd_documents(spark)
     out = substring_dedup.dedup(frame)
