@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listing_engine.llm import bpe, language, mixing, ngram_join, substring_dedup
+from listing_engine.llm.common import documents
 from listing_engine.session import checkpoint_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -70,7 +71,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     root = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for n, (_, stage) in enumerate(STAGES):
         path = f"{root}/{n}"
