@@ -6,9 +6,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Listing page sizes (default and ceiling).
 DEFAULT_PAGE_SIZE = 20
 MAX_PAGE_SIZE = 100
@@ -62,6 +64,33 @@ def offers_page(flat: DataFrame, page: int = 1, size: int = DEFAULT_PAGE_SIZE, k
     return rows, meta
 
 
+def offers_after(flat: DataFrame, after=None, size: int = DEFAULT_PAGE_SIZE, key: str = "inner_id", **filters) -> DataFrame:
+    """F6 by a cursor: the `size` listings behind the key `after` (the last one
+    of the page before), whose cost doesn't grow with the page number."""
+    rows = filter_offers(flat, **filters)
+    if after is not None:
+        rows = rows.where(F.col(key) > F.lit(after))
+    return rows.orderBy(key).limit(max(1, min(int(size or DEFAULT_PAGE_SIZE), MAX_PAGE_SIZE)))
+
+
+def all_pages(flat: DataFrame, size: int = DEFAULT_PAGE_SIZE, key: str = "inner_id", **filters) -> DataFrame:
+    """F6 in bulk: every listing with its `page` (from 1) and `position` (from 0).
+
+    One range partitioning and sort by the key; a row's rank is its place in
+    its partition plus the rows of the partitions before, whose counts are a
+    row a partition.  No window over all rows, no offset that grows."""
+    rows = filter_offers(flat, **filters)
+    ranged = cut_lineage(rows.repartitionByRange(key).sortWithinPartitions(key))
+    numbered = ranged.withColumn("__id", F.monotonically_increasing_id())  # partition above the place in it
+    part, place = F.shiftright("__id", 33).alias("__part"), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (numbered.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+               .select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset")))
+    placed = numbered.withColumn("__part", F.shiftright("__id", 33)).join(F.broadcast(offsets), "__part")  # a row a partition
+    rank = F.col("__offset") + place
+    return placed.select(*rows.columns, (F.floor(rank / size) + 1).cast("long").alias("page"), (rank % size).cast("long").alias("position"))
+
+
 def changes_page(changes: DataFrame, change_id: int, limit: int = CHANGE_PAGE_SIZE) -> tuple[DataFrame, DataFrame]:
     """changes with id >= cursor, `limit` of them, and (cur, next) ids;
     next is the id of the first change not returned (NULL at the end)."""

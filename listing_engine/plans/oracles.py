@@ -682,3 +682,76 @@ FROM ({PARTS_FLAT})
 ORACLES["q69_range_check"] = f"""
 SELECT CASE WHEN year > 2019 THEN 'year' ELSE 'ok' END AS reason, count(*) AS n FROM ({PARTS_FLAT}) GROUP BY 1
 """
+
+# --- feed features (catalog_feed) ---------------------------------------------------
+
+_NESTED = f"SELECT CAST(p_partkey AS VARCHAR) AS inner_id, {TYPE} AS kind, {WORD1} AS word FROM part"
+
+ORACLES["q70_nested_paths"] = f"""
+WITH n AS ({_NESTED})
+SELECT inner_id, path, text FROM (
+  SELECT inner_id, 'a.b[0].c.d[0].e' AS path, kind AS text FROM n UNION ALL SELECT inner_id, 'a.b[0].c.d[1]', word FROM n
+  UNION ALL SELECT inner_id, 'a.b[1]', kind FROM n UNION ALL SELECT inner_id, 't', word FROM n)
+WHERE regexp_matches(text, {HAN})
+"""
+
+ORACLES["q71_nested_rewrite"] = f"""
+SELECT inner_id, '{{"z":{{"none":[],"empty":{{}}}},"a":{{"b":[{{"c":{{"d":[{{"e":"' || {T("kind")} || '"}},"' || {T("word")} || '"]}}}},"'
+       || {T("kind")} || '",7,null]}},"t":"' || {T("word")} || '"}}' AS data
+FROM ({_NESTED})
+"""
+
+ORACLES["q72_all_offer_pages"] = """
+SELECT p_partkey AS id, CAST(p_partkey // 20 + 1 AS INTEGER) AS page,
+       CAST(row_number() OVER (PARTITION BY p_partkey // 20 ORDER BY p_partkey) - 1 AS INTEGER) AS pos,
+       CASE WHEN p_partkey % 13 <> 0 THEN CAST(p_partkey AS VARCHAR) END AS inner_id, 'added' AS change_type, p_brand AS mark
+FROM part
+"""
+
+ORACLES["q73_keyless"] = """
+SELECT 'added' AS change_type, count(*) FILTER (p_partkey % 13 <> 0) AS n, count(*) FILTER (p_partkey % 13 = 0) AS keyless,
+       count(DISTINCT p_partkey // 20) AS pages, count(*) AS records, count(*) FILTER (p_partkey % 13 = 0) AS keyless_at_load
+FROM part
+"""
+
+ORACLES["q74_page_order"] = """
+WITH RECURSIVE p AS (SELECT DISTINCT event_id // 20 AS cur FROM events
+), linked AS (
+  SELECT cur, CASE WHEN cur < (SELECT max(cur) FROM p) THEN CASE cur % 100 WHEN 59 THEN cur + 11 WHEN 69 THEN cur - 9
+         WHEN 79 THEN cur + 2 WHEN 97 THEN cur + 1000000 ELSE cur + 1 END END AS nxt FROM p
+), heads AS (SELECT cur FROM linked WHERE cur NOT IN (SELECT nxt FROM linked WHERE nxt IS NOT NULL)
+), chain AS (
+  SELECT min(cur) AS cur, 0 AS place FROM heads
+  UNION ALL
+  SELECT l.nxt, c.place + 1 FROM chain c JOIN linked l USING (cur) JOIN p ON p.cur = l.nxt
+)
+SELECT l.cur, CAST(place AS BIGINT) AS place,
+       CASE WHEN l.cur % 100 BETWEEN 60 AND 69 AND (l.cur // 100) * 100 + 69 < (SELECT max(cur) FROM p) THEN 'cycle'
+            WHEN place IS NULL AND l.cur IN (SELECT cur FROM heads) THEN 'head' WHEN place IS NULL THEN 'unreached'
+            WHEN l.nxt IS NULL THEN 'end' WHEN l.nxt NOT IN (SELECT cur FROM p) THEN 'gap' ELSE 'chain' END AS kind
+FROM linked l LEFT JOIN chain USING (cur)
+"""
+
+ORACLES["q75_final_days"] = """
+WITH b AS (SELECT min(ts) AS low, max(ts) AS high FROM events)
+SELECT CAST(ts AS DATE) AS day, count(*) FILTER (event_type = 'signup') AS added,
+       count(*) FILTER (event_type IN ('purchase', 'view')) AS changed, count(*) FILTER (event_type = 'error') AS removed, count(*) AS events,
+       (SELECT count(*) FROM events, b WHERE ts < low + (high - low) / 3 AND event_id % 50 = 0) AS late
+FROM events, b GROUP BY 1, high HAVING CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= high - INTERVAL 2 DAY
+"""
+
+ORACLES["q76_all_pages"] = f"""
+SELECT inner_id, CAST((r // 20) + 1 AS BIGINT) AS page, CAST(r % 20 AS BIGINT) AS position
+FROM (SELECT inner_id, row_number() OVER (ORDER BY inner_id) - 1 AS r FROM ({PARTS_FLAT}) WHERE price <= 9800)
+"""
+
+ORACLES["q77_page_by_cursor"] = f"""
+SELECT inner_id, price FROM ({PARTS_FLAT}) WHERE price <= 9800 AND inner_id > '17' ORDER BY inner_id LIMIT 20
+"""
+
+ORACLES["q78_stored_filter"] = ORACLES["q22_filter"]
+ORACLES["q79_stored_offer"] = ORACLES["q26_offer"]
+
+ORACLES["q80_price_sketches"] = f"""
+SELECT model, count(price) AS n, true AS within_bound FROM ({PARTS_FLAT}) GROUP BY model
+"""

@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -290,3 +292,6 @@ def land_in_order(changes: DataFrame, path: str, chunks: int = 4, page_size: int
         write_change_pages(part, folder, page_size)
         out.append(folder)
     return out
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this package
