@@ -40,7 +40,7 @@ from ..session import cut_lineage
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 END = b"\xff"           # stands for the end of a piece; no byte of UTF-8
-HELD = 1_500_000        # words that a task holds
+HELD = 400_000          # words that a task holds
 PART_BYTES = 16 << 20  # of text, for a range
 MOST_PARTS = 20_000
 SAMPLE_BYTES = 8 << 20
