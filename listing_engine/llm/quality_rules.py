@@ -2,14 +2,16 @@
 
 `statistics` computes per document, in one native pass, counts of words, word
 characters, symbols, capitals, repeated lines and repeated three-word windows.
-`learn` joins them with the labels and lets Spark reduce all labelled rows to
-counts of good and bad documents per cell of binned shares (cut points are
-quantiles of the good documents).  There are at most (CUTS + 1) ^ FEATURES
-cells per half, whatever the number of labels, so the table the driver reads
-is bounded.  On it, sequential covering grows one conjunction of thresholds
-after another on one half of the labels, prunes it on the other half and drops
-what it covers, until none is precise enough.  `verdict` turns the ordered
-rules into one Spark conditional expression.
+`learn` joins them with the labels, bins each share at quantiles of the good and
+of the bad documents (every 5 % and the tails), and reduces equal bins to one
+row.  Sequential covering grows one conjunction of thresholds after another on
+one half of the labels: each step is one aggregation that gives, per feature and
+bin, the good and bad documents under the rule so far, from which the gain of
+every threshold follows; the driver sees that table of bounded size.  A rule is
+pruned on the other half and drops what it covers.  The list ends when no rule
+that a threshold could still open is precise enough and covers enough; a feature
+and direction that opened a refused rule opens no other.  `verdict` turns the
+ordered rules into one Spark conditional expression.
 
 Defined results: NULL text has no words, symbols or lines; shares of a text
 without words are 0; labels that are NULL, or NULL doc_ids, teach nothing;
@@ -26,10 +28,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
 from .common import let, words
 
 FEATURES = ("symbol_share", "capital_share", "mark_share", "dup_line_share", "repeat_share", "word_length")
-QUANTILES = (0.005, 0.05, 0.95, 0.995, 1.0)  # of the good documents: the cut points
+# Of the good and of the bad documents: the cut points.
+QUANTILES = (0.005, 0.01, *(k / 20 for k in range(1, 20)), 0.99, 0.995, 1.0)
 
 
 def repeated_window_words(w: Column) -> Column:
@@ -95,57 +99,91 @@ class Condition:
         return f"{self.feature} {'>' if self.above else '<='} {self.cut:.6g}"
 
 
-def cells(labelled: DataFrame) -> tuple[dict[str, list[float]], list]:
-    """Cut points per feature, and good and bad counts per half and cell."""
-    good = labelled.where("bad = 0").agg(*[
-        F.percentile_approx(f, list(QUANTILES), 10000).alias(f) for f in FEATURES]).first()
-    cuts = {f: sorted(set(good[f] or [])) for f in FEATURES}
-    bins = [reduce(lambda a, c: a + (F.col(f) > c).cast("int"), cuts[f], F.lit(0)).alias(f"bin_{f}") for f in FEATURES]
+Choice = tuple[str, bool, int]  # feature, above, which cut
+
+
+def binned(labelled: DataFrame) -> tuple[dict[str, list[float]], DataFrame]:
+    """Cut points per feature, and good and bad counts per half and bins."""
+    cuts: dict[str, set] = {f: set() for f in FEATURES}
+    for row in labelled.groupBy("bad").agg(*[F.percentile_approx(f, list(QUANTILES), 10000).alias(f) for f in FEATURES]).collect():
+        for f in FEATURES:
+            cuts[f] |= set(row[f] or [])
+    ordered = {f: sorted(c) for f, c in cuts.items()}
+
+    def bin_of(f: str) -> Column:
+        return F.size(F.filter(F.array(*map(F.lit, ordered[f])).cast("array<double>"), lambda c: F.col(f) > c)).alias(f)
+
+    bins = [bin_of(f) for f in FEATURES]
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half")
-    table = (labelled.select(half, *bins, "bad").groupBy("half", *[f"bin_{f}" for f in FEATURES])
-             .agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")).collect())
-    return cuts, table
+    return ordered, cut_lineage(labelled.select(half, *bins, "bad").groupBy("half", *FEATURES)
+                                .agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")))
 
 
-def learn(features: DataFrame, labels: DataFrame, least_precision: float = 0.9, least_cover: int = 5,
-          max_rules: int = 12) -> list[tuple[Condition, ...]]:
-    """Rules for bad documents, in the order in which they were learned."""
+def _holds(choice: Choice) -> Column:
+    f, above, k = choice
+    return F.col(f) > k if above else F.col(f) <= k
+
+
+def _covered(rule: list[Choice]) -> Column:
+    return reduce(lambda a, b: a & b, map(_holds, rule), F.lit(True))
+
+
+def _by_bin(rows: DataFrame) -> dict[str, dict[int, tuple[int, int]]]:
+    """Bad and good documents per feature and bin."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("bin")) for f in FEATURES])
+    counts: dict = {f: {} for f in FEATURES}
+    for r in rows.select(F.explode(pairs).alias("x"), "bad", "good").groupBy("x.f", "x.bin").agg(
+            F.sum("bad").alias("bad"), F.sum("good").alias("good")).collect():
+        counts[r.f][r.bin] = (r.bad, r.good)
+    return counts
+
+
+def _best(counts, choices: list[Choice]) -> tuple[float, Choice | None]:
+    """The choice of the highest gain in bits, the first of equals."""
     import math
 
+    p0, n0 = (sum(x[i] for x in counts[FEATURES[0]].values()) for i in range(2))
+    best: tuple[float, Choice | None] = (0.0, None)
+    for f, above, k in choices:
+        inside = [x for b, x in counts[f].items() if (b > k) == above]
+        p, n = sum(x[0] for x in inside), sum(x[1] for x in inside)
+        gain = p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p else 0.0
+        if gain > best[0] + 1e-9:
+            best = gain, (f, above, k)
+    return best
+
+
+def learn(features: DataFrame, labels: DataFrame, least_precision: float = 0.9, least_cover: int = 5) -> list[tuple[Condition, ...]]:
+    """Rules for bad documents, in the order in which they were learned."""
     marked = (labels.where("doc_id is not null and quality is not null")
               .groupBy("doc_id").agg(F.max((F.col("quality") == 0).cast("int")).alias("bad")))
-    cuts, table = cells(features.join(marked, "doc_id").select("doc_id", "bad", *FEATURES))
-    conditions = [(f, above, k) for f in FEATURES for k in range(len(cuts[f])) for above in (True, False)]
-    holds = lambda row, c: (row[f"bin_{c[0]}"] > c[2]) == c[1]
-    covers = lambda row, rule: all(holds(row, c) for c in rule)
-
-    def count(rows):
-        return sum(r["bad"] for r in rows), sum(r["good"] for r in rows)
-
-    def gain(rows, before, c):
-        p, n = count([r for r in rows if holds(r, c)])
-        return p * (math.log2(p / (p + n)) - math.log2(before[0] / sum(before))) if p else 0.0
-
-    grow, prune, rules = [r for r in table if r["half"] == 0], [r for r in table if r["half"] == 1], []
-    openings = list(conditions)  # a condition that opened a refused rule opens no other
-    while len(rules) < max_rules and openings:
-        rule, rows = [], grow
-        while (now := count(rows))[0] and now[1]:
-            best = max(conditions if rule else openings, key=lambda c: gain(rows, now, c))
-            if gain(rows, now, best) <= 1e-9:
+    cuts, table = binned(features.join(marked, "doc_id").select("doc_id", "bad", *FEATURES))
+    choices = [(f, above, k) for f in FEATURES for k in range(len(cuts[f])) for above in (True, False)]
+    openings, rules, left = list(choices), [], table
+    opening_counts = _by_bin(left.where("half = 0"))
+    while openings:
+        rule: list[Choice] = []
+        counts = opening_counts
+        while sum(x[0] for x in counts[FEATURES[0]].values()) and sum(x[1] for x in counts[FEATURES[0]].values()):
+            _, choice = _best(counts, choices if rule else openings)
+            if choice is None:
                 break
-            rule.append(best)
-            rows = [r for r in rows if holds(r, best)]
-        value = lambda k: (lambda p, n: (p - n) / (p + n) if p + n else -1.0)(*count([r for r in prune if covers(r, rule[:k])]))
-        rule = rule[:max(range(1, len(rule) + 1), key=value, default=0)]  # the shortest of the best prefixes
-        p, n = count([r for r in prune if covers(r, rule)])
+            rule.append(choice)
+            counts = _by_bin(left.where((F.col("half") == 0) & _covered(rule)))
         if not rule:
             break
+        sums = [F.sum(F.when(_covered(rule[:k]), F.col(c)).otherwise(0)).alias(f"{c}{k}") for k in range(1, len(rule) + 1) for c in ("bad", "good")]
+        held = left.where("half = 1").agg(*sums).first()
+        of = lambda k: (held[f"bad{k}"] or 0, held[f"good{k}"] or 0)
+        value = lambda k: (lambda p, n: (p - n) / (p + n) if p + n else -1.0)(*of(k))
+        length = max(range(1, len(rule) + 1), key=value)  # the shortest of the best prefixes
+        p, n = of(length)
         if p < least_cover or p < least_precision * (p + n):
-            openings.remove(rule[0])
+            openings = [c for c in openings if c[:2] != rule[0][:2]]
             continue
-        rules.append(rule)
-        grow, prune = ([r for r in half if not covers(r, rule)] for half in (grow, prune))
+        rules.append(rule[:length])
+        left = left.where(~_covered(rule[:length]))
+        opening_counts = _by_bin(left.where("half = 0"))
     return [tuple(Condition(f, above, cuts[f][k]) for f, above, k in rule) for rule in rules]
 
 
