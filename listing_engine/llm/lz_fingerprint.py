@@ -9,9 +9,11 @@ of the Jaccard likeness of the phrase sets (exact below SIZE phrases).
 
 `fingerprints` is a single scan.  `with_neighbours` also needs each document's
 successor in descending doc_id: documents are dealt into slices of the id
-range, sorted within them, and the first document of the next slice is dealt
-to both, so no task sees more than a few slices and no order of all rows is
-ever built.  Each text is shuffled once.
+range, an id with many rows (or none) into slices of its texts' hash, sorted
+within them, and the first document of the next slice is dealt to both, so no
+task sees more than a few slices and no order of all rows is ever built.  Each
+text is shuffled once.  Only rows of one id with one and the same text stay
+together; such a text is parsed once.
 
 Defined results: NULL text is empty; an empty text has an empty fingerprint,
 like another empty one to degree 1 and any other to degree 0; NULL doc_ids
@@ -113,6 +115,16 @@ class Parsed:
         self.hashes = hashes(self.phrases)
         self.signature = smallest(self.hashes)
 
+    def next(self, doc_id, text: str) -> "Parsed":
+        """The document behind this one; the same text isn't parsed again."""
+        import copy
+
+        if text != self.text:
+            return Parsed(doc_id, text)
+        same = copy.copy(self)
+        same.doc_id = doc_id
+        return same
+
     def compared(self, following: "Parsed") -> tuple:
         import hashlib
 
@@ -132,7 +144,15 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
 
     spark = docs.sparkSession
     slices = SLICES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted({int(c) for c in docs.approxQuantile("doc_id", [i / slices for i in range(1, slices)], 0.25 / slices)})
+    found = [int(c) for c in docs.approxQuantile("doc_id", [i / slices for i in range(1, slices)], 0.25 / slices)]
+    # An id that stands at several cuts has the rows of as many slices: it gets
+    # a slice of its own, cut again by its texts' hash, the second sort key.
+    # So do the rows without an id.
+    hot = {c: found.count(c) + 1 for c in set(found) if found.count(c) > 1}
+    cuts = sorted({*found, *(c + 1 for c in hot if c < (1 << 63) - 1)})
+    n, without_id = docs.agg(F.count("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
+    parts = {len(cuts) - cuts.index(c) - 1: k for c, k in hot.items()}
+    parts[len(cuts) + 1] = max(1, slices * without_id // max(1, n + without_id))
 
     @F.pandas_udf("int")
     def slice_of(doc_id: pd.Series) -> pd.Series:
@@ -142,7 +162,10 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text")).withColumn(
-        "slice", F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(slice_of(F.coalesce("doc_id", F.lit(0)))))
+        "range", F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(slice_of(F.coalesce("doc_id", F.lit(0)))))
+    k = F.coalesce(F.get(F.array(*[F.lit(parts.get(r, 1)) for r in range(len(cuts) + 2)]), F.col("range")), F.lit(1))
+    part = F.least(k - 1, F.floor((0.5 - F.col("tie") / float(1 << 64)) * k))
+    rows = rows.withColumn("slice", (F.col("range") * (slices + 1) + part).cast("int")).drop("range")
     # The first document of each slice: one narrow row a slice.
     first = {r.slice: r.top for r in rows.groupBy("slice").agg(F.max(F.struct("doc_id", "tie")).alias("top")).collect()}
     order = sorted(first)
@@ -167,7 +190,7 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
             for _, follows, doc_id, _, text in zip(*(c for c in batch.columns)):
                 if follows.as_py() and waiting is None:
                     continue  # a further copy of the head
-                current = Parsed(doc_id.as_py(), text.as_py())
+                current = Parsed(doc_id.as_py(), text.as_py()) if waiting is None else waiting.next(doc_id.as_py(), text.as_py())
                 if waiting is not None:
                     done.append(waiting.compared(current))
                 waiting = None if follows.as_py() else current

@@ -149,6 +149,24 @@ def test_fingerprints_of_documents_and_their_edits(docs):
     assert alone == {i: r.fingerprint for i, r in got.items()}
 
 
+def test_fingerprints_of_ids_with_many_rows(spark):
+    """A third of the rows without an id, a third with one: cut by their texts, the order is whole."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("abcdefg") for _ in range(30)), None, None) for i in [*[None] * 60, *[77] * 60, *range(60)]]
+    rows += [(77, "the same text", None, None)] * 20
+    frame = odd_documents(spark, rows).repartition(4)
+    got = lz.with_neighbours(frame).collect()
+    order = sorted(((as_id(i) if i is not None else -1), t) for i, t in pairs_of(frame))
+    assert sorted((as_id(r.doc_id) if r.doc_id is not None else -1) for r in got) == [i for i, _ in order]
+    ties = {r.text: r.tie for r in frame.selectExpr("text", "xxhash64(text) tie").distinct().collect()}
+    ordered = sorted(pairs_of(frame), key=lambda x: (-1 if x[0] is None else x[0], ties[x[1]]), reverse=True)
+    want = []
+    for k, (doc_id, text) in enumerate(ordered):
+        following, third = ordered[(k + 1) % len(ordered)][1], len(text) // 3
+        want.append((str(doc_id), hashlib.sha256((text[:len(text) - third] + following[:third]).encode()).hexdigest()))
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in got) == sorted(want)
+
+
 def test_likeness_estimates_the_phrase_sets(docs):
     texts = [t for _, t in pairs_of(docs)][:40]
     for a, b in zip(texts, texts[1:]):
