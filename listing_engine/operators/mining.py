@@ -22,9 +22,9 @@ from .dictionary import lookup_side
 TOPK_SALT = 64
 
 
-def candidate_texts(flat: DataFrame) -> DataFrame:
-    """G1: (field, text) for every Han text of every record, bag semantics;
-    configuration paths are `configuration.<id>.name|value`."""
+def candidate_texts(flat: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """G1: `keep` columns, field and text of every Han text of every record, bag
+    semantics; configuration paths are `configuration.<id>.name|value`."""
     scalar = [F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in TRANSLATED_TEXT_COLUMNS]
     opts = F.transform(F.coalesce(F.col("options"), F.array().cast("array<string>")),
                        lambda o: F.struct(F.lit("options").alias("field"), o.alias("text")))
@@ -37,8 +37,13 @@ def candidate_texts(flat: DataFrame) -> DataFrame:
                  e["value"]["value"].alias("text")),
     )))
     allt = F.concat(F.array(*scalar), opts, cfg)
-    return (flat.select(F.explode(F.filter(allt, lambda t: t["text"].rlike(HAN_CLASS))).alias("t"))
-            .select("t.field", "t.text"))
+    return (flat.select(*keep, F.explode(F.filter(allt, lambda t: t["text"].rlike(HAN_CLASS))).alias("t"))
+            .select(*keep, "t.field", "t.text"))
+
+
+def text_index(flat: DataFrame) -> DataFrame:
+    """(text, inner_id): which listings hold a Han text, each pair once."""
+    return candidate_texts(flat, ("inner_id",)).select("text", "inner_id").distinct()
 
 
 def mine_untranslated(flat: DataFrame, dictionary: DataFrame) -> DataFrame:

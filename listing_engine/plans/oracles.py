@@ -755,3 +755,19 @@ ORACLES["q79_stored_offer"] = ORACLES["q26_offer"]
 ORACLES["q80_price_sketches"] = f"""
 SELECT model, count(price) AS n, true AS within_bound FROM ({PARTS_FLAT}) GROUP BY model
 """
+
+ORACLES["q81_daily_exports"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS inner_id, p_brand AS mark, CAST(CAST(round(p_retailprice) AS INTEGER) AS VARCHAR) AS price,
+       make_date(2024, 3, CAST(p_partkey % 10 + 1 AS INTEGER)) AS day
+FROM part WHERE p_partkey % 10 BETWEEN 1 AND 7
+"""
+
+ORACLES["q82_enrich_incremental"] = f"""
+WITH {_MINED_SEED},
+  left_parts AS ({PARTS_FLAT}), left_cfg AS ({CONFIG_ROWS})
+SELECT 2 AS rounds, CAST((SELECT count(DISTINCT text) FROM new_entries) + {len(SEED)} AS BIGINT) AS dictionary_size,
+       CAST((SELECT count(*) FROM part) + (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS BIGINT) AS first_round,
+       CAST((SELECT count(*) FROM left_parts WHERE regexp_matches(concat_ws(' ', mark, model, color, address, o1, o2), {HAN}))
+          + (SELECT count(DISTINCT l_orderkey) FROM left_cfg WHERE regexp_matches(concat_ws(' ', name, value), {HAN})) AS BIGINT) AS last_round,
+       CAST(0 AS BIGINT) AS records_with_han
+"""

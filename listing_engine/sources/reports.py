@@ -6,6 +6,8 @@ data); they are assembled by Spark aggregations and written as text.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,3 +75,25 @@ def preview(flat: DataFrame, n: int = 3) -> DataFrame:
 def read_daily_export(spark: SparkSession, path: str) -> DataFrame:
     """Pipe-separated daily export files (one directory per date)."""
     return spark.read.option("sep", "|").option("header", False).schema(EXPORT).csv(path)
+
+
+def read_daily_exports(spark: SparkSession, root: str, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+    """J7 over many days: the exports below `root`, one folder per date
+    (`2024-01-31`), with the date as `day`.  Folders outside the span, and
+    those whose name is no date, are not read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    days = []
+    for status in fs.listStatus(folder):
+        try:
+            day = dt.date.fromisoformat(status.getPath().getName())
+        except ValueError:
+            continue
+        if status.isDirectory() and (since is None or day >= since) and (until is None or day <= until):
+            days.append(day)
+    if not days:
+        return spark.createDataFrame([], EXPORT).withColumn("day", F.lit(None).cast("date"))
+    paths = [f"{root.rstrip('/')}/{day.isoformat()}" for day in sorted(days)]
+    rows = spark.read.option("sep", "|").option("header", False).schema(EXPORT).csv(paths)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
+    return rows.select(*EXPORT.names, F.to_date(name).alias("day"))

@@ -136,3 +136,29 @@ def test_price_sketches_add_up(spark):
         for share, q in zip((0.1, 0.5, 0.9), r.quantiles):
             rank = sum(v <= q for v in values) / len(values)
             assert abs(rank - share) <= MK.RANK_ERROR + 1 / len(values)
+
+
+# --- incremental enrichment, exports
+
+def test_incremental_rounds_end_in_the_same_tables(spark):
+    from listing_engine.plans import adapters as A, jobs as J
+    from listing_engine.plans.catalog import code_point_translator
+    from listing_engine.schemas import FLAT
+    raw, none = A.snapshot_raw(spark, SF), spark.createDataFrame([], FLAT)
+    args = (raw, none, A.seed_dictionary(spark), code_point_translator, A.RUN_TIME, 2024)
+    whole, part = J.enrich(*args), J.enrich_incremental(*args)
+    shown = lambda t: sorted(str(r) for r in t.drop("updated_at").collect())
+    assert shown(part.flat) == shown(whole.flat) and part.converged
+    assert sorted(map(tuple, part.dictionary.collect())) == sorted(map(tuple, whole.dictionary.collect()))
+    assert [r["normalised"] for r in part.rounds][0] == raw.count() > part.rounds[1]["normalised"] > 0
+
+
+def test_exports_of_a_span_of_days(spark, tmp_path):
+    import datetime as dt
+    from listing_engine.sources import reports as RP
+    for day in ("2024-03-01", "2024-03-02", "2024-03-03", "notes"):
+        (tmp_path / day).mkdir()
+        (tmp_path / day / "active.csv").write_text(f"{day}|added|x|u|m|n|2020|5|1\n")
+    got = RP.read_daily_exports(spark, str(tmp_path), dt.date(2024, 3, 2))
+    assert sorted((r.inner_id, str(r.day)) for r in got.collect()) == [("2024-03-02", "2024-03-02"), ("2024-03-03", "2024-03-03")]
+    assert RP.read_daily_exports(spark, str(tmp_path), dt.date(2025, 1, 1)).collect() == []
