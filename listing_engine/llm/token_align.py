@@ -39,9 +39,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..session import cut_lineage
 from .perfect_hash import MinimalPerfectHash
 
-MEMO = 250_000       # pieces a task remembers
+MEMO = 400_000       # pieces a task remembers
 LONG_PIECE = 256     # characters beyond which a piece is not remembered
-HELD_CHARS = 1 << 24   # of text counted, before its distinct pieces are aligned
+HELD_CHARS = 1 << 25   # of text counted, before its distinct pieces are aligned
 BATCH_CHARS = 1 << 22  # of text described at a time
 ALIGNED = 1 << 14      # pieces aligned at a time
 CHUNK = 1 << 14      # counts in a chunk of a dense vector
@@ -151,39 +151,50 @@ class Tokenizers:
         of_a = self._ids_of_a(pieces)
         of_b = self.b.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
         of_b = [b if p[0] == " " and b else [added] if p == " " else b[1:] if b[:1] == [added] else [] for p, b in zip(pieces, of_b)]
-        bad = np.zeros(len(pieces), dtype=bool)
         raw = [p.encode() for p in pieces]
-        if not (self._spell(of_a, raw, self.a_bytes) and self._spell(of_b, raw, self.b_bytes)):
-            for i, (a, b, r) in enumerate(zip(of_a, of_b, raw)):
-                bad[i] = b"".join(map(self.a_bytes.__getitem__, a)) != r or b"".join(map(self.b_bytes.__getitem__, b)) != r
-                if bad[i]:
-                    of_a[i], of_b[i] = [], []
-        return Alignment(of_a, of_b, bad, self)
-
-    @staticmethod
-    def _spell(ids: list[list[int]], raw: list[bytes], bytes_of) -> bool:
-        return [*map(len, raw)] == [sum([len(bytes_of[i]) for i in x]) for x in ids] and \
-            b"".join([bytes_of[i] for x in ids for i in x]) == b"".join(raw)
+        found = Alignment(of_a, of_b, self)
+        if not (found.spells(raw, self)):
+            bad = [i for i, (a, b, r) in enumerate(zip(of_a, of_b, raw))
+                   if b"".join(map(self.a_bytes.__getitem__, a)) != r or b"".join(map(self.b_bytes.__getitem__, b)) != r]
+            for i in bad:
+                of_a[i], of_b[i] = [], []
+            found = Alignment(of_a, of_b, self)
+            found.bad[bad] = True
+        return found
 
 
 class Alignment:
     """Pieces aligned together: the flat ids of both sides, how many each piece
     has, and the links as places in them (`at_a`, `at_b`) with their piece."""
 
-    def __init__(self, of_a, of_b, bad, tokenizers: Tokenizers):
+    def __init__(self, of_a, of_b, tokenizers: Tokenizers):
         from itertools import chain
 
         import numpy as np
 
-        self.bad = bad
+        self.bad = np.zeros(len(of_a), dtype=bool)
         self.n_a, self.n_b = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (of_a, of_b))
         self.a, self.b = (np.fromiter(chain.from_iterable(x), dtype=np.int64) for x in (of_a, of_b))
-        _, self.at_a, self.at_b = np.intersect1d(np.cumsum(tokenizers.a_len[self.a]), np.cumsum(tokenizers.b_len[self.b]),
-                                                 assume_unique=True, return_indices=True)
+        self.ends_a, self.ends_b = np.cumsum(tokenizers.a_len[self.a]), np.cumsum(tokenizers.b_len[self.b])
+        # Both ends ascend, so the common ones are found by search.
+        place = np.searchsorted(self.ends_b, self.ends_a)
+        self.at_a = np.flatnonzero(self.ends_b[np.minimum(place, len(self.ends_b) - 1)] == self.ends_a) if len(self.ends_b) else place[:0]
+        self.at_b = place[self.at_a]
         self.piece = np.repeat(np.arange(len(of_a)), self.n_a)[self.at_a]
         self.n_links = np.bincount(self.piece, minlength=len(of_a))
         self.pairs = (self.a[self.at_a] << PAIR_SHIFT | self.b[self.at_b]).astype(np.uint64)
 
+    def spells(self, raw: list[bytes], tokenizers: Tokenizers) -> bool:
+        """Whether the tokens of both sides spell every piece, byte for byte."""
+        import numpy as np
+
+        whole, upto = b"".join(raw), np.cumsum([len(r) for r in raw])
+        for ids, n, ends, bytes_of in ((self.a, self.n_a, self.ends_a, tokenizers.a_bytes), (self.b, self.n_b, self.ends_b, tokenizers.b_bytes)):
+            last = np.cumsum(n)
+            if not n.all() or (ends[last - 1] != upto).any() or b"".join(map(bytes_of.__getitem__, ids.tolist())) != whole:
+                return False
+        return True
+
     def groups(self) -> list[str]:
         """The groups of each piece, as text."""
         a, b, out, i, j, low = [*map(str, self.a.tolist())], [*map(str, self.b.tolist())], [], 0, 0, 0
@@ -352,14 +363,13 @@ def align(docs: DataFrame, a_path: str, b_path: str, keep: tuple[str, ...] = ("d
             split = [tokenizers.pieces(t) if t else [] for t in texts]
             if len(memo) > MEMO:
                 memo.clear()
-            fresh, known = list({p for pieces in split for p in pieces if p not in memo}), {}
+            fresh = list({p for pieces in split for p in pieces if p not in memo})
             for low in range(0, len(fresh), ALIGNED):
                 some = fresh[low:low + ALIGNED]
-                known.update(zip(some, described(some)))
-            memo.update((p, e) for p, e in known.items() if len(p) <= LONG_PIECE)
-            out = []
+                memo.update(zip(some, described(some)))
+            out, entry_of = [], memo.__getitem__
             for pieces in split:
-                entries = [known[p] if p in known else memo[p] for p in pieces]
+                entries = [*map(entry_of, pieces)]
                 if not entries or None in entries:
                     out.append((0, 0, 0, 0, 0, 0, ""))
                 elif unknown and not unknown.isdisjoint(pieces):
@@ -367,6 +377,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, keep: tuple[str, ...] = ("d
                 else:
                     a, b, links, top, total, groups = zip(*entries)
                     out.append((sum(a), sum(b), sum(links), sum(links), sum(top), sum(total), ";".join(groups)))
+            for p in fresh:
+                if len(p) > LONG_PIECE:
+                    del memo[p]
             columns = list(zip(*out))
             return pa.RecordBatch.from_arrays([*before, *(pa.array(c, pa.int64()) for c in columns[:-1]), pa.array(columns[-1], pa.string())], names)
 

@@ -20,8 +20,8 @@ one table from subsequence to landmarks.
 3. Scores.  A document's margin is that of its highest sentence.  A logistic
    curve over the training documents' margins turns it into the score.
 
-The sample is bounded: `sample_per_label` documents of each label, by a hash
-of doc_id.  The driver sees landmarks and one feature vector a document of it;
+The sample is bounded: about `sample_per_label` documents of each label, by a
+hash of doc_id.  The driver sees landmarks and one feature vector a document of it;
 units are counted and sentences chosen on executors.  Scoring is one scan
 without a shuffle: a unit's margin is one number, so a task remembers units'
 margins and adds them up; every text is judged whole.
@@ -41,14 +41,15 @@ import sys
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from .language import held_out
+from ..session import cut_lineage
+from .language import held_out, letter_table
 from .shingles import mixed
 
 DECAY, SPAN = 0.85, 6
 UNIT_BITS = 11         # 2^11 units are compared at a time
 POWER = 2
 PER_GRAM = 3           # landmarks for one such run
-LANDMARKS = 96
+LANDMARKS = 64
 MARKS = ".,;:!?()[]\"'"  # at a unit's ends
 START = 1              # stands before a unit's first character, as a letter
 GRAM = 4               # letters of the runs that tell toxic documents apart
@@ -60,7 +61,7 @@ SAMPLE_PER_LABEL = 4000
 ROUNDS = 2
 SENTENCE_UNITS = 40    # longer sentences are cut
 UNIT_CHARS, UNIT_STEP = 32, 16  # longer units are cut into overlapping windows
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 THRESHOLD = 0.3
 
 
@@ -93,20 +94,25 @@ def windows_of(unit: str) -> list[str]:
 
 # --- the kernel
 
-def subsequences(units: list[str]):
+def subsequences(units: list[str], letters):
     """(unit index, code, weight) of each weighted subsequence, by unit, and each
     unit's length, the square root of its kernel with itself.  A code may come twice."""
     import numpy as np
 
-    flat, sizes = [], []
-    for u in units:
-        places = [ord(c) for c in u if c.isalpha()]
-        places = [START, *places] if len(places) > 2 else []
-        flat += places
-        flat += [0] * SPAN
-        sizes.append(len(places) + SPAN)
-    flat = np.array(flat, dtype=np.int64)
-    of = np.repeat(np.arange(len(units)), sizes)
+    # All units at once: letters only, START before and room for a span behind each.
+    points = np.frombuffer("\n".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    high = points > 0xFFFF
+    letter = letters[np.where(high, 0, points)]
+    for c in np.unique(points[high]):
+        letter[points == c] = chr(c).isalpha()
+    owner = np.cumsum(points == 10)[letter]
+    size = np.bincount(owner, minlength=len(units))
+    place = np.arange(len(owner)) - (np.cumsum(size) - size)[owner]
+    start = np.cumsum(size + 1 + SPAN) - (size + 1 + SPAN)
+    flat = np.zeros(int((size + 1 + SPAN).sum()), dtype=np.int64)
+    flat[start[owner] + 1 + place] = np.where(size[owner] > 2, points[letter], 0)
+    flat[start[size > 2]] = START
+    of = np.repeat(np.arange(len(units)), size + 1 + SPAN)
     found, letter = [], flat > 0
     for second in range(1, SPAN - 1):
         for third in range(second + 1, SPAN):
@@ -131,16 +137,15 @@ class Landmarks:
     def __init__(self, units: list[str]):
         import numpy as np
 
-        self.units = units
+        self.units, self.letters = units, letter_table()
         unit, code, weight, length = (np.concatenate(x) for x in zip(*self._parts(units)))
         self.codes, at = np.unique(code, return_inverse=True)
         self.table = np.zeros((len(self.codes), len(units)), dtype=np.float32)
         np.add.at(self.table, (at, unit), weight / length[unit])
 
-    @staticmethod
-    def _parts(units: list[str]):
+    def _parts(self, units: list[str]):
         for low in range(0, max(1, len(units)), 1 << UNIT_BITS):
-            unit, code, weight, length = subsequences(units[low:low + (1 << UNIT_BITS)])
+            unit, code, weight, length = subsequences(units[low:low + (1 << UNIT_BITS)], self.letters)
             yield unit + low, code, weight, length
 
     def kernel(self, units: list[str]):
@@ -155,7 +160,7 @@ class Landmarks:
         import numpy as np
 
         out = np.zeros((len(units), len(self.units)), dtype=np.float32)
-        unit, code, weight, length = subsequences(units)
+        unit, code, weight, length = subsequences(units, self.letters)
         if len(self.codes) and len(code):
             at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
             known = np.flatnonzero(self.codes[at] == code)
@@ -179,12 +184,13 @@ class Landmarks:
 def _sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
     """(toxic, text): labelled documents that aren't held out, about `per_label` of each label."""
     marked = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
-              .agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
-    rows = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text").join(marked, "doc_id")
-    sizes = rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("rows"))
+              .agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
+    ids = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").distinct().join(marked, "doc_id")
+    sizes = ids.groupBy("toxic").agg(F.count(F.lit(1)).alias("rows"))
     share = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1 << 30)) / float(1 << 30)
-    return (rows.join(F.broadcast(sizes), "toxic").where(share * F.col("rows") < per_label)  # two rows
-            .select("toxic", F.coalesce("text", F.lit("")).alias("text")))
+    # Which documents: narrow rows.  Their texts: a join with that bounded list, without a shuffle.
+    chosen = cut_lineage(ids.join(F.broadcast(sizes), "toxic").where(share * F.col("rows") < per_label).select("doc_id", "toxic"))
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("toxic", "text")
 
 
 def _document_counts(sample: DataFrame, parts_of) -> DataFrame:
@@ -369,8 +375,6 @@ def learn(docs: DataFrame, labels: DataFrame, landmarks: int = LANDMARKS, sample
     """A model from the labelled documents that aren't held out; None without labels of both kinds."""
     import numpy as np
 
-    from ..session import cut_lineage
-
     sample = cut_lineage(_sample(docs, labels, sample_per_label))
     n = {r.toxic: r["count"] for r in sample.groupBy((F.col("toxic") > 0).alias("toxic")).count().collect()}
     if len(n) < 2:
