@@ -33,7 +33,7 @@ def test_query_returns_a_row_for_each_document(spark, name):
 def test_registered_in_the_entry_module():
     import __spark_entry__ as entry
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stage_by_stage(spark):
