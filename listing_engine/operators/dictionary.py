@@ -2,8 +2,8 @@
 
 The dictionary is a two-column DataFrame (cn, ru) with unique `cn`.  Lookups
 are exact whole-string matches; a miss returns the original text, NULL stays
-NULL.  The dictionary is broadcast only after its row count is proven under
-the bound; above it the lookups become shuffle joins on the text.
+NULL.  Lookups are joins on the text; Spark's statistics and adaptive execution
+choose between broadcasting the dictionary and a shuffle.
 """
 
 from __future__ import annotations
@@ -25,8 +25,7 @@ def as_lookup(dictionary: DataFrame) -> DataFrame:
 
 def lookup_side(dictionary: DataFrame) -> DataFrame:
     """The dictionary prepared as the build side of lookup joins."""
-    lk = as_lookup(dictionary)
-    return lk
+    return as_lookup(dictionary)
 
 
 def translate_column(df: DataFrame, col: str, lookup: DataFrame, out: str | None = None) -> DataFrame:
