@@ -16,7 +16,7 @@ from ..operators import flat as FL
 from ..operators import mining as MI
 from ..operators import serving as SV
 from ..operators.normalise import normalise_rows
-from ..session import ensure_runtime_confs
+from ..session import ensure_runtime_confs, written_out
 from ..sources import dictionary_io as DI
 from ..sources import pages as PG
 from ..sources import reports as RP
@@ -24,7 +24,8 @@ from ..sources import stores as ST
 from ..streaming import apply as SA
 from . import adapters as A
 from . import jobs as J
-from .catalog import CURRENT_YEAR, _fold, _mined, _scratch, code_point_translator, mining_dictionary, mining_flat, raw_view, snapshot_flat
+from .catalog import (CURRENT_YEAR, _fold, _mined, _mined_with_flat, _scratch, code_point_translator, mining_dictionary, raw_view,
+                      snapshot_flat)
 
 # Damage of the landed feed: pages (of 20 change ids) whose text breaks off,
 # and records whose id is not a number.
@@ -156,10 +157,10 @@ def q57_report_text(spark, sf):
 
 def q58_dictionary_files(spark, sf):
     """A11 + A14: mined entries with a translation written out and read as a dictionary."""
-    mined = _mined(spark, sf)
+    mined, flat = _mined_with_flat(spark, sf)
     entries = MI.new_entries(mined).withColumn("translation", F.concat(F.lit("T:"), "text"))
     path = _scratch(spark, "dictionary")
-    RP.write_mining_report(entries, MI.mining_metadata(mining_flat(spark, sf), mined), MI.priority_summary(entries),
+    RP.write_mining_report(entries, MI.mining_metadata(flat, mined), MI.priority_summary(entries),
                            path, A.RUN_TIME.isoformat())
     return DI.read_dictionary(spark, path).select("cn", "ru")
 
@@ -234,7 +235,7 @@ def q66_daily_export(spark, sf):
 def q67_enrich_once_applied(spark, sf):
     """I5 (real run): the dictionary is extended and the listings re-translated."""
     ensure_runtime_confs(spark)
-    flat = snapshot_flat(spark, sf).withColumn("updated_at", F.lit(A.SNAPSHOT_TIME).cast("timestamp_ntz"))
+    flat = written_out(snapshot_flat(spark, sf).withColumn("updated_at", F.lit(A.SNAPSHOT_TIME).cast("timestamp_ntz")))
     out = J.enrich_once(A.snapshot_raw(spark, sf), flat, A.seed_dictionary(spark), code_point_translator, A.RUN_TIME,
                         CURRENT_YEAR, auto_add=True, auto_retranslate=True)
     return MI.record_has_han(out["flat"]).agg(
@@ -245,7 +246,7 @@ def q67_enrich_once_applied(spark, sf):
 def q68_unvalidated_retranslate(spark, sf):
     """Listings whose numbers validation would reject are re-translated all the same."""
     raw = A.snapshot_raw(spark, sf).withColumn("data", F.regexp_replace("data", r'"price":"[^"]*"', '"price":"999999999"'))
-    flat = snapshot_flat(spark, sf).withColumn("updated_at", F.lit(A.SNAPSHOT_TIME).cast("timestamp_ntz"))
+    flat = written_out(snapshot_flat(spark, sf).withColumn("updated_at", F.lit(A.SNAPSHOT_TIME).cast("timestamp_ntz")))
     table, _ = FL.retranslate(flat, raw, mining_dictionary(spark), A.RUN_TIME, fields=["model", "price"])
     return table.select("inner_id", "model", "price")
 
