@@ -172,6 +172,15 @@ def translate_assemble(pre: DataFrame, dictionary: DataFrame) -> DataFrame:
         *[F.col(c).try_cast("int").alias(c) if c in INT_FIELDS else F.col(c) for c in FLAT_ORDER])
 
 
+def _dealt(raw: DataFrame) -> DataFrame:
+    """The raw rows dealt by key to as many tasks as the session shuffles to.
+
+    A small file is one task's, and a payload takes long to parse.  The number
+    is named so that adaptive execution doesn't merge these partitions: it goes
+    by their compressed payloads, a small part of what a task makes of them."""
+    return raw.repartition(int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions")), "inner_id")
+
+
 @dataclass
 class Normalised:
     rows: DataFrame      # FLAT columns except updated_at, one per accepted raw row
@@ -184,8 +193,7 @@ def normalise_rows(raw: DataFrame, dictionary: DataFrame, current_year: int | No
     `validate` only the quarantine (C4) holds rows back, as D5 wants; a number
     too large for its column is then NULL."""
     reason = F.col("quarantine_reason")
-    # A small file is one task's, and a payload takes long to parse.
-    pre = project_payload(raw.repartition("inner_id")).withColumn(
+    pre = project_payload(_dealt(raw)).withColumn(
         "reject_reason", F.coalesce(reason, reject_reason(current_year)) if validate else reason)
     rejected = pre.filter(F.col("reject_reason").isNotNull()).select(
         "id", "inner_id",

@@ -28,6 +28,14 @@ def test_dictionary_is_broadcast_and_texts_stay(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_small_payloads_keep_their_partitions(spark):
+    """Adaptive execution goes by compressed bytes and would merge these into one task."""
+    keys = [str(i) for i in range(400)]
+    rows = normalise_rows(_raw(spark, keys), A.seed_dictionary(spark), 2026).rows
+    tasks = rows.select("inner_id", "mark").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 8 and sum(r["count"] for r in tasks) == 400
+
+
 def test_missing_texts_and_configuration(spark):
     r = normalise_rows(_raw(spark, ["a"]), A.seed_dictionary(spark), 2026).rows.first()
     assert (r.mark, r.model, r.color, r.options) == ("Стандарт", "未知", None, [])
