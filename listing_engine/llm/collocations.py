@@ -40,14 +40,15 @@ from ..session import cut_lineage
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 END = b"\xff"           # stands for the end of a piece; no byte of UTF-8
-HELD = 400_000          # words that a task holds
+HELD = 800_000          # words that a task holds
 PART_BYTES = 16 << 20  # of text, for a range
 MOST_PARTS = 20_000
 SAMPLE_BYTES = 8 << 20
 KEYS_PER_PART = 32
 ROWS = 10_000          # of a record batch
 UNKNOWN = "und"
-RUNS = "part int, lang string, gram binary, n long"
+HEAD_BYTES = 7         # of a run, for comparisons
+RUNS = "part int, head long, lang string, gram binary, n long"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -121,6 +122,40 @@ class _Listed:
         return self.array[i].as_py()
 
 
+def _head(borders: list[tuple[str, bytes]], part: int, lang: str) -> tuple[int, int]:
+    """(group, bytes to leave out) of a language's runs in a range, for `_heads`.
+
+    The groups of a range are in the order of languages: that of its lower
+    border, those between, that of its upper one.  What both borders begin
+    with, all runs between them do."""
+    low = borders[part - 1] if part else (None, b"")
+    high = borders[part] if part < len(borders) else (None, b"")
+    if lang != low[0]:
+        return (2 if lang == high[0] else 1), 0
+    if lang != high[0]:
+        return 0, 0
+    alike = 0
+    while alike < min(len(low[1]), len(high[1])) and low[1][alike] == high[1][alike]:
+        alike += 1
+    return 0, alike
+
+
+def _heads(keys, group, left_out):
+    """Numbers in the order of (lang, run) within a range, alike for some runs that
+    differ: the sort compares few runs whole.  Group 1 may hold several languages."""
+    import numpy as np
+
+    if not len(keys):
+        return np.zeros(0, dtype=np.int64)
+    offsets = np.frombuffer(keys.buffers()[1], dtype=np.int32)[keys.offset:keys.offset + len(keys) + 1].astype(np.int64)
+    letters = np.frombuffer(keys.buffers()[2], dtype=np.uint8)
+    head, at, end = group.astype(np.int64), offsets[:-1] + left_out, offsets[1:]
+    for k in range(HEAD_BYTES):
+        inside = at + k < end
+        head = (head << 8) | np.where(inside, letters[np.where(inside, at + k, 0)], 0)
+    return np.where(group == 1, np.int64(1) << (8 * HEAD_BYTES), head)
+
+
 def _borders(rows: DataFrame, parts: int, total: int, max_words: int) -> list[tuple[str, bytes]]:
     """About equal ranges of (lang, run), from the runs of a share of the texts."""
     if parts < 2:
@@ -147,7 +182,7 @@ def _borders(rows: DataFrame, parts: int, total: int, max_words: int) -> list[tu
 
 
 def _counted_runs(rows: DataFrame, borders: list[tuple[str, bytes]], max_words: int) -> DataFrame:
-    """part, lang, gram (bytes of a longest run), n: the runs of each task, in order within a batch."""
+    """part, head, lang, gram (bytes of a longest run), n: the runs of each task, in order within a batch."""
     bounds = rows.sparkSession.sparkContext.broadcast(borders)
 
     def run(batches):
@@ -161,8 +196,10 @@ def _counted_runs(rows: DataFrame, borders: list[tuple[str, bytes]], max_words:
                 listed, before = _Listed(keys), bisect_left(bounds.value, (lang, b""))
                 inside = [key for of, key in bounds.value[before:] if of == lang]
                 part = before + np.searchsorted([bisect_left(listed, key) for key in inside], np.arange(len(keys)), side="right")
-                table = pa.table([pa.array(part, pa.int32()), pa.array([lang], pa.string()).take(pa.array(np.zeros(len(keys), dtype=np.int64))),
-                                  keys, pa.array(n, pa.int64())], ["part", "lang", "gram", "n"])
+                head = np.array([_head(bounds.value, p, lang) for p in range(before, before + len(inside) + 1)], dtype=np.int64)[part - before]
+                table = pa.table([pa.array(part, pa.int32()), pa.array(_heads(keys, head[:, 0], head[:, 1])),
+                                  pa.array([lang], pa.string()).take(pa.array(np.zeros(len(keys), dtype=np.int64))),
+                                  keys, pa.array(n, pa.int64())], ["part", "head", "lang", "gram", "n"])
                 yield from table.to_batches(ROWS)
 
         held = _Held()
@@ -258,7 +295,8 @@ def frequent_phrases(docs: DataFrame, max_words: int, min_count: int, part_bytes
     parts = int(max(1, min(MOST_PARTS, -(-total // part_bytes))))
     borders = _borders(rows, parts, total, max_words)
     runs = _counted_runs(rows, borders, max_words)
-    ranged = runs.repartitionById(len(borders) + 1, F.col("part")).select("lang", "gram", "n").sortWithinPartitions("lang", "gram")
+    ranged = (runs.repartitionById(len(borders) + 1, F.col("part")).sortWithinPartitions("head", "lang", "gram")
+              .select("lang", "gram", "n"))
     found = cut_lineage(_phrase_counts(ranged, min_count, max_words).select("lang", F.col("gram").cast("string").alias("gram"), "words", "n", "border"))
     # What crosses borders, a few rows a range, is added up by phrase.
     crossing = found.where("border").groupBy("lang", "gram", "words").agg(F.sum("n").alias("n"))

@@ -159,6 +159,23 @@ def test_longer_phrases(spark):
     assert got == brute_collocations(rows, 5, 3)
 
 
+def test_runs_are_sorted_by_numbers_in_their_order(spark):
+    """Within a range the heads follow (lang, run), and tell most runs apart."""
+    import random
+
+    rng = random.Random(3)
+    pool = ["a", "ab", "abc", "abcdefghij", "abcdefghik", "Ж", "\x00", "zz"]
+    rows = [(lang, " ".join(rng.choices(pool, k=9))) for lang in ("a", "a", "b", "c", "c", "a\x00") for _ in range(40)]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    borders = [("a", b"abcdefghij ab "), ("a", b"abcdefghij zz "), ("c", b"ab "), ("c", b"zz ")]
+    got = collocations._counted_runs(frame, borders, 3).collect()
+    for part in range(len(borders) + 1):
+        mine = sorted((r for r in got if r.part == part), key=lambda r: (r.lang, bytes(r.gram)))
+        assert mine and all(x["head"] <= y["head"] for x, y in zip(mine, mine[1:]))
+    narrow = [r for r in got if r.part == 1]
+    assert len({r["head"] for r in narrow}) > 1 and len({r["head"] for r in got if r.part == 3}) > 1
+
+
 def test_collocations_of_odd_and_empty_tables(spark):
     frame = odd_documents(spark)
     rows = [(r.lang, r.text) for r in frame.collect()]
