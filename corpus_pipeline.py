@@ -1,7 +1,8 @@
 """Corpus pipeline: from raw documents to the token ids of a training mix.
 
 Each stage takes (spark, docs, sf_dir), works on all the rows its predecessor
-kept and returns a DataFrame, which `run` writes as Parquet into the shared
+kept and returns a DataFrame (a stage that runs Python bounds its Arrow
+batches itself, whoever read its input), which `run` writes as Parquet into the shared
 checkpoint folder and reads back as the next stage's input.  A lost executor
 therefore costs a stage at most its own tasks.
 
@@ -17,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listing_engine.llm import bpe, language, mixing, ngram_join, substring_dedup
-from listing_engine.llm.common import documents
+from listing_engine.llm.common import bounded_batches, documents
 from listing_engine.session import checkpoint_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -28,6 +29,7 @@ LEAST_LANGUAGE_SCORE = 0.2
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters and those far from every learned language go;
     the others keep their `lang`, or get the predicted one where it is NULL."""
+    bounded_batches(spark)
     profiles = language.learn(language.training_rows(docs))
     judged = language.predict(docs, profiles, keep=COLUMNS)
     return (judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
@@ -36,12 +38,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the smallest doc_id stays."""
+    bounded_batches(spark)
     return ngram_join.deduplicate(docs.select(*COLUMNS), n=5, threshold=0.8)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words that start in an earlier document go, and documents
     of which nothing is left; n_chars follows the text."""
+    bounded_batches(spark)
     return (substring_dedup.dedup(docs.select(*COLUMNS))
             .withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS))
 
@@ -55,6 +59,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Byte-level BPE ids of every document, as digests of the ids and of the round trip."""
     import public_tokenizers as public
 
+    bounded_batches(spark)
     ranks = public.path("byte_bpe_50k.tiktoken")
     return bpe.digests(bpe.encode(docs, ranks, public.PATTERN, round_trip=True))
 

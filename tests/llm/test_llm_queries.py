@@ -77,3 +77,13 @@ def test_pipeline_of_awkward_and_empty_tables(spark):
             docs = stage(spark, docs, SF)
         assert docs.count() >= least
         assert WORD
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES if f is not corpus_pipeline.mix_sources])
+def test_python_stage_bounds_its_batches(spark, stage):
+    """A stage is given rows that anyone may have read."""
+    from llm_cases import odd_documents
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    stage(spark, odd_documents(spark), SF)
+    assert spark.conf.get(name) == "4m"
