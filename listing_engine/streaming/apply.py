@@ -11,8 +11,8 @@ id, so a batch that is replayed after a crash is either not published or
 skipped.  Bad pages stay in the staging folder; too many stop the query.
 
 H3 `stateful_apply`: `transformWithState` keeps the summaries in a RocksDB
-state store (a value state for the row, a map state field -> last writer) and
-gives out the updated row of every key that a batch touches.
+state store (for each group of keys a map state key -> row and last writer of
+each field) and gives out the updated row of every key that a batch touches.
 
 H5 `stream_change_stats`: daily counters with a watermark on event time.
 """
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import json
 import sys
 from collections.abc import Iterator
 
@@ -86,15 +87,20 @@ _ROW_STATE = T.StructType(
     + [T.StructField("removed", T.BooleanType())])
 _PLACES = ["id", "pos", "p", "first_id", "first_pos", "first_p"]
 _FIELD_STATE = T.StructType([T.StructField("value", T.StringType()), *(T.StructField(n, T.LongType()) for n in _PLACES)])
-_STATE_OUT = T.StructType([
-    T.StructField("inner_id", T.StringType()), *_ROW_STATE.fields,
-    T.StructField("fields", T.ArrayType(T.StructType([T.StructField("key", T.StringType()), *_FIELD_STATE.fields]))),
-    T.StructField("forgotten", T.BooleanType())])
+_SUMMARY = T.StructType([*_ROW_STATE.fields, T.StructField("fields", T.MapType(T.StringType(), _FIELD_STATE))])
+# Groups of keys in the state store; a checkpoint holds rows by them, so the number stays.
+KEY_GROUPS = 1 << 14
+_STATE_OUT = "inner_id string, summary string, forgotten boolean"
 
 
 class RowFold(StatefulProcessor):
-    """A key's summary: the row in a value state, the last writer of each field
-    in a map state, so that a change writes only the fields it brings.
+    """A map state key -> summary (`_SUMMARY`: the row, and the last writer of each
+    field) as a JSON text, which is also what goes out.
+
+    The stream is grouped by a hash of the key: Spark exchanges Arrow batches
+    with Python per group, and each call to the state store is a message to the
+    JVM, so a touched key costs one read, one write and its share of a batch,
+    however many fields it has.
 
     With `forget_after` (seconds of event time) a listing is forgotten that
     long after its removal, by a timer: its last row goes out marked `forgotten`."""
@@ -104,64 +110,81 @@ class RowFold(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.row = handle.getValueState("row", _ROW_STATE)
-        self.fields = handle.getMapState("fields", "key string", _FIELD_STATE)
+        self.rows = handle.getMapState("rows", "inner_id string", "summary string")
+        self.due = handle.getMapState("due", "at long", "inner_ids string")
+
+    def _get(self, key: str) -> dict:
+        held = self.rows.getValue((key,))
+        return json.loads(held[0]) if held is not None else dict.fromkeys(_ROW_STATE.names) | {"removed": False, "fields": {}}
 
-    def _get(self) -> dict:
-        values = self.row.get() if self.row.exists() else None
-        return dict(zip(_ROW_STATE.names, values)) if values is not None else dict.fromkeys(_ROW_STATE.names) | {"removed": False}
+    def _put(self, key: str, state: dict) -> str:
+        text = json.dumps(state, ensure_ascii=False)
+        self.rows.updateValue((key,), (text,))
+        return text
 
     def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803 (Spark's names)
-        self.row.update(tuple((self._get() | {"base": initialState.base}).values()))
+        self._put(initialState.inner_id, self._get(initialState.inner_id) | {"base": initialState.base})
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        state, fields, due = self._get(), {}, None
-        had_row, before = state["base"] is not None or state["first_id"] is not None, (state["first_id"], state["first_pos"])
-        touched = False
+        states, before, due = {}, {}, {}
+        touched = set()
         for e in rows:
-            at = (e.id, e.pos)
+            key = e.inner_id
+            if key not in states:
+                states[key] = state = self._get(key)
+                before[key] = state["base"], state["first_id"], state["first_pos"]
+            state, at = states[key], (e.id, e.pos)
             if state["first_id"] is None or at < (state["first_id"], state["first_pos"]):
                 state.update(first_id=e.id, first_pos=e.pos, first_type=e.change_type, first_at=e.created_at, first_data=e.data)
             if not (e.is_change or e.change_type == "removed"):
                 continue
-            touched = True
+            touched.add(key)
             if state["type_id"] is None or at > (state["type_id"], state["type_pos"]):
                 state.update(type_id=e.id, type_pos=e.pos, type_value=e.change_type)
             if e.change_type == "removed":
                 state["removed"] = True
-                due = max(due or 0, e.at_ms)
+                due[key] = max(due.get(key, 0), e.at_ms)
             else:
                 if state["change_id"] is None or at > (state["change_id"], state["change_pos"]):
                     state.update(change_id=e.id, change_pos=e.pos, change_at=e.created_at)
-                for p, (name, value) in enumerate(zip(e.names, e.values)):
-                    place = (*at, p)
-                    if name not in fields:
-                        old = self.fields.getValue((name,)) if self.fields.containsKey((name,)) else None
-                        fields[name] = tuple(old) if old is not None else (None, *place, *place)
-                        if old is None:
-                            fields[name] = (value, *place, *place)
-                    have = fields[name]
-                    last = (value, *place) if place >= have[1:4] else have[:4]
-                    fields[name] = (*last, *min(have[4:], place))
-        new_base = state["base"] is None and (state["first_id"], state["first_pos"]) != before
-        if not (touched or new_base or not had_row):
-            return
-        self.row.update(tuple(state.values()))
-        for name, value in fields.items():
-            self.fields.updateValue((name,), value)
-        if due is not None and self.forget_after is not None:
-            self.handle.registerTimer(due + 1000 * self.forget_after)
-        yield self._out(key, state, False)
-
-    def _out(self, key, state: dict, forgotten: bool) -> Row:
-        every = [Row(key=name[0], **dict(zip(_FIELD_STATE.names, value))) for name, value in self.fields.iterator()]
-        return Row(inner_id=key[0], **state, fields=every, forgotten=forgotten)
+                self._write_fields(state["fields"], e)
+        for key, state in states.items():
+            base, *first = before[key]
+            new_base = base is None and [state["first_id"], state["first_pos"]] != first
+            if key in touched or new_base or (base is None and first[0] is None):
+                yield Row(inner_id=key, summary=self._put(key, state), forgotten=False)
+        if self.forget_after is not None:
+            self._forget_later(due)
+
+    @staticmethod
+    def _write_fields(fields: dict, e: Row) -> None:
+        for p, (name, value) in enumerate(zip(e.names, e.values)):
+            place, have = (e.id, e.pos, p), fields.get(name)
+            if have is None:
+                fields[name] = dict(zip(_FIELD_STATE.names, (value, *place, *place)))
+                continue
+            if place >= (have["id"], have["pos"], have["p"]):
+                have.update(value=value, id=e.id, pos=e.pos, p=p)
+            if place < (have["first_id"], have["first_pos"], have["first_p"]):
+                have.update(first_id=e.id, first_pos=e.pos, first_p=p)
+
+    def _forget_later(self, due: dict) -> None:
+        """One timer per group and time; the keys that it is for stand in `due`."""
+        by_time = {}
+        for key, removed_at in due.items():
+            by_time.setdefault(removed_at + 1000 * self.forget_after, []).append(key)
+        for at, keys in by_time.items():
+            held = self.due.getValue((at,))
+            self.due.updateValue((at,), (json.dumps(list(dict.fromkeys((json.loads(held[0]) if held is not None else []) + keys))),))
+            self.handle.registerTimer(at)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        out = self._out(key, self._get(), True)
-        self.row.clear()
-        self.fields.clear()
-        yield out
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        for inner_id in json.loads(self.due.getValue((at,))[0]):
+            out = Row(inner_id=inner_id, summary=json.dumps(self._get(inner_id), ensure_ascii=False), forgotten=True)
+            self.rows.removeKey((inner_id,))
+            yield out
+        self.due.removeKey((at,))
 
     def close(self) -> None:
         pass
@@ -193,15 +216,15 @@ def state_updates(records: DataFrame, initial: DataFrame | None = None, forget_a
         F.when(F.col("is_change"), F.transform(entries, lambda e: e["key"])).alias("names"),
         F.when(F.col("is_change"), F.transform(entries, lambda e: F.to_json(e["value"]))).alias("values"),
         _instant(F.col("created_at")).alias("at"))
-    events = events.withColumn("at_ms", F.unix_millis("at"))
-    if forget_after is not None:
-        events = events.withWatermark("at", watermark)
+    group = F.pmod(F.xxhash64("inner_id"), F.lit(KEY_GROUPS)).cast("int")
+    events = events.withColumn("at_ms", F.unix_millis("at")).withColumn("key_group", group)
+    events = events.drop("at") if forget_after is None else events.withWatermark("at", watermark)
     before = None
     if initial is not None:
-        before = initial.select("inner_id", F.to_json(base_of(initial), _BASE).alias("base")).groupBy("inner_id")
-    out = events.groupBy("inner_id").transformWithState(
+        before = initial.select("inner_id", F.to_json(base_of(initial), _BASE).alias("base"), group.alias("key_group")).groupBy("key_group")
+    out = events.groupBy("key_group").transformWithState(
         RowFold(forget_after), _STATE_OUT, "Update", "EventTime" if forget_after is not None else "None", before)
-    return out.select("inner_id", _summary().alias("writers"), "forgotten")
+    return out.withColumn("s", F.from_json("summary", _SUMMARY)).select("inner_id", _summary(F.col("s")).alias("writers"), "forgotten")
 
 
 def _instant(c) -> F.Column:
@@ -209,21 +232,21 @@ def _instant(c) -> F.Column:
     return F.timestamp_micros(F.timestamp_diff("MICROSECOND", ntz(dt.datetime(1970, 1, 1)), c))
 
 
-def _summary():
-    """The columns of `_STATE_OUT` as a summary."""
-    at = lambda n: [F.col(f"{n}_id").alias("id"), F.col(f"{n}_pos").cast("int").alias("pos")]
-    time = lambda c: F.to_timestamp_ntz(F.col(c), F.lit(_TIME))
-    there = lambda n, *c: F.when(F.col(f"{n}_id").isNotNull(), F.struct(*at(n), *c))
-    field = lambda e: F.struct(e["key"], F.struct(
+def _summary(s):
+    """A `_SUMMARY` as the columns of `WRITERS`."""
+    at = lambda n: [s[f"{n}_id"].alias("id"), s[f"{n}_pos"].cast("int").alias("pos")]
+    time = lambda c: F.to_timestamp_ntz(s[c], F.lit(_TIME))
+    there = lambda n, *c: F.when(s[f"{n}_id"].isNotNull(), F.struct(*at(n), *c))
+    field = lambda _, e: F.struct(
         e["value"], F.struct(e["id"], e["pos"].cast("int"), e["p"].cast("int")).alias("last"),
-        F.struct(e["first_id"], e["first_pos"].cast("int"), e["first_p"].cast("int")).alias("first")))
+        F.struct(e["first_id"], e["first_pos"].cast("int"), e["first_p"].cast("int")).alias("first"))
     parts = {
-        "base": F.from_json("base", WRITERS["base"].dataType, _BASE),
-        "first": there("first", F.col("first_type").alias("change_type"), time("first_at").alias("created_at"), F.col("first_data").alias("data")),
-        "type": there("type", F.col("type_value").alias("change_type")),
+        "base": F.from_json(s["base"], WRITERS["base"].dataType, _BASE),
+        "first": there("first", s["first_type"].alias("change_type"), time("first_at").alias("created_at"), s["first_data"].alias("data")),
+        "type": there("type", s["type_value"].alias("change_type")),
         "change": there("change", time("change_at").alias("created_at")),
-        "removed": F.col("removed"),
-        "fields": F.map_from_entries(F.transform("fields", field)),
+        "removed": s["removed"],
+        "fields": F.transform_values(s["fields"], field),
     }
     return F.struct(*[c.cast(WRITERS[n].dataType.simpleString()).alias(n) for n, c in parts.items()])
 
@@ -236,9 +259,11 @@ def stateful_apply(spark: SparkSession, pages_path: str, store: VersionedTable,
     state's initial rows.  Returns the StreamingQuery."""
     start = f"{checkpoint.rstrip('/')}__initial"
     # The rows before the first run stay the initial state when the query restarts.
-    if not VersionedTable(spark, start, RAW, buckets=store.buckets).exists():
-        VersionedTable(spark, start, RAW, buckets=store.buckets).replace(store.read())
-    initial = VersionedTable(spark, start, RAW).read()
+    table = VersionedTable(spark, start, RAW, buckets=store.buckets)
+    if not table.exists():
+        table.replace(store.read())
+    # With initial rows Spark hands each group of the first batch to Python as an Arrow batch of its own.
+    initial = table.read() if any(table.version().folders) else None
 
     def fold_batch(updates: DataFrame, batch_id: int) -> None:
         if batch_id <= store.last_batch():

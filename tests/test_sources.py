@@ -7,6 +7,7 @@ import tempfile
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listing_engine.sources import dictionary_io as DI
 from listing_engine.sources import pages as PG
@@ -159,3 +160,17 @@ def test_dictionary_formats(spark):
     assert got == {"大通": "Maxus2", "智界": "Zhijie", "车联网": "Интернет в автомобиле"}
     got2 = {r.cn: r.ru for r in DI.read_dictionary(spark, d2).collect()}
     assert got2 == {"红色": "Красный"}
+
+
+def test_a_merge_that_writes_the_whole_table_deals_it_by_its_size(spark):
+    path = f"{tempfile.mkdtemp(prefix='buckets-', dir='/tmp')}/t"
+    table = ST.VersionedTable(spark, path, T.StructType.fromDDL("inner_id string, n long"), rows_per_bucket=10)
+    rows = lambda lo, hi, by: spark.range(lo, hi).selectExpr("cast(id as string) inner_id", f"id * {by} n")
+    table.merge(rows(0, 35, 1), 0)
+    assert len(table.version().folders) == 4
+    table.merge(rows(30, 100, 2), 1)
+    assert len(table.version().folders) >= 10
+    assert sorted((int(r.inner_id), r.n) for r in table.read().collect()) == [(i, i if i < 30 else 2 * i) for i in range(100)]
+    assert [r.n for r in table.lookup("50").collect()] == [100]
+    table.merge(rows(7, 8, 3), 2)  # one key: the other buckets stay
+    assert len(table.version().folders) >= 10 and table.read().count() == 100 and [r.n for r in table.lookup("7").collect()] == [21]

@@ -6,8 +6,10 @@ import os
 import random
 import shutil
 import tempfile
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import Row
 
 from listing_engine.operators import writers as WR
 from listing_engine.operators.changes import apply_changes
@@ -97,6 +99,51 @@ def test_a_removed_listing_is_forgotten_after_a_while(spark):
     assert ("a", True) in seen and ("b", True) not in seen
 
 
+class _Store:
+    """Stands in for the state of one group of keys; counts what is asked of it."""
+
+    def __init__(self):
+        self.maps, self.calls, self.timers = {}, [], []
+
+    def getMapState(self, name, *_):  # noqa: N802
+        held, store = self.maps.setdefault(name, {}), self
+
+        class State:
+            def getValue(self, k):  # noqa: N802
+                store.calls.append(("get", name, *k))
+                return held.get(k)
+
+            def updateValue(self, k, v):  # noqa: N802
+                store.calls.append(("put", name, *k))
+                held[k] = v
+
+            def removeKey(self, k):  # noqa: N802
+                del held[k]
+        return State()
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.append(at)
+
+
+def test_a_touched_key_costs_one_read_and_one_write_of_state():
+    def event(i, key, kind, names=()):
+        return Row(id=i, pos=0, inner_id=key, change_type=kind, created_at="t", data="{}", is_change=kind == "changed",
+                   names=list(names), values=[str(i)] * len(names), at_ms=1000)
+
+    store, fold = _Store(), SA.RowFold(forget_after=5)
+    fold.init(store)
+    wide = [f"f{n}" for n in range(50)]
+    out = list(fold.handleInputRows((3,), iter([event(1, "a", "changed", wide), event(2, "b", "added"), event(3, "a", "changed", wide)]), None))
+    assert sorted(store.calls) == [("get", "rows", "a"), ("get", "rows", "b"), ("put", "rows", "a"), ("put", "rows", "b")]
+    assert [r.inner_id for r in out] == ["a", "b"] and {f["value"] for f in json.loads(out[0].summary)["fields"].values()} == {"3"}
+    # One timer forgets both keys of the group that were removed at one time, and no other.
+    list(fold.handleInputRows((3,), iter([event(4, "a", "removed"), event(5, "b", "removed"), event(6, "c", "added")]), None))
+    assert store.timers == [6000]
+    expired = SimpleNamespace(getExpiryTimeInMs=lambda: 6000)
+    assert [(r.inner_id, r.forgotten) for r in fold.handleExpiredTimer((3,), None, expired)] == [("a", True), ("b", True)]
+    assert list(store.maps["rows"]) == [("c",)] and not store.maps["due"]
+
+
 def test_any_split_and_order_of_batches_equals_one_fold(spark):
     """The replay property of the change rules, on random feeds: each case is
     a key space of its own, dealt to batches at random, some twice."""
