@@ -60,6 +60,26 @@ def test_once_mines_once(spark):
     assert seen.value == 3
 
 
+def test_normalising_counts_in_the_pass_that_parses(spark):
+    """Pending and rejected rows are counted without reading the payloads again."""
+    from listing_engine.schemas import FLAT
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    raw = _raw(spark, ["a", "a", None, "b", "c"]).withColumn("data", F.when(F.col("inner_id") == "b", "7").otherwise(F.col("data")))
+    n = J.normalise_tables(raw.mapInPandas(touch, RAW), spark.createDataFrame([], FLAT), A.seed_dictionary(spark), A.RUN_TIME, 2026)
+    assert seen.value == 5
+    assert {k: n.stats.counters[k] for k in ("pending", "errors", "created", "updated", "processed")} == {
+        "pending": 5, "errors": 2, "created": 2, "updated": 0, "processed": 2}
+    assert sorted(r.inner_id for r in n.keys.collect()) == ["a", "c"] and n.rejected.count() == 2
+    none = J.normalise_tables(raw.where("false"), spark.createDataFrame([], FLAT), A.seed_dictionary(spark), A.RUN_TIME, 2026)
+    assert none.stats.counters["pending"] == none.stats.counters["errors"] == 0
+
+
 def test_page_reads_listings_once(spark):
     rows = spark.range(50).select(F.format_string("%03d", "id").alias("inner_id"), F.lit(1).alias("price"))
     page, meta = SV.offers_page(rows, page=2, size=20)
