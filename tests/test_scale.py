@@ -80,6 +80,24 @@ def test_normalising_counts_in_the_pass_that_parses(spark):
     assert none.stats.counters["pending"] == none.stats.counters["errors"] == 0
 
 
+def test_incremental_rounds_read_due_listings_once(spark, monkeypatch):
+    """Each round reads the listings it normalises once, counters included."""
+    from listing_engine.plans.catalog import code_point_translator
+    from listing_engine.schemas import FLAT
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    found = FL.pending
+    monkeypatch.setattr(FL, "pending", lambda raw, limit=None: found(raw, limit).mapInPandas(touch, RAW))
+    raw = _raw(spark, ["a", "b"]).unionByName(_raw(spark, ["c"], '{"mark":"标准"}'))
+    res = J.enrich_incremental(raw, spark.createDataFrame([], FLAT), A.seed_dictionary(spark), code_point_translator, A.RUN_TIME, 2026)
+    assert [r["normalised"] for r in res.rounds] == [3, 2] and seen.value == 5
+
+
 def test_page_reads_listings_once(spark):
     rows = spark.range(50).select(F.format_string("%03d", "id").alias("inner_id"), F.lit(1).alias("price"))
     page, meta = SV.offers_page(rows, page=2, size=20)
